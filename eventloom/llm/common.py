@@ -64,14 +64,14 @@ class Durable:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
-def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]]) -> DataFrame:
-    """mapInArrow in slices of SLICE_ROWS. start() runs once a task and gives the function from a slice to batches."""
+def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]], rows: int = SLICE_ROWS) -> DataFrame:
+    """mapInArrow in slices of so many rows. start() runs once a task and gives the function from a slice to batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = start()
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                yield from step(batch.slice(at, SLICE_ROWS))
+            for at in range(0, batch.num_rows, rows):
+                yield from step(batch.slice(at, rows))
 
     return df.mapInArrow(run, schema)
 

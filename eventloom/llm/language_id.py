@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
+import uuid
 from collections import defaultdict
 
 import numpy as np
@@ -207,7 +208,7 @@ class Scorer:
 def identify(docs: DataFrame, prob: dict, path: str | None = None) -> DataFrame:
     """doc_id, lang_pred, score (posterior of the prediction under equal priors)."""
     path = path or default_path()
-    key = ("lid", path, hash(str(sorted((k, sorted(v.items())) for k, v in prob.items()))))
+    key = ("lid", path, uuid.uuid4().hex)
     shared = docs.sparkSession.sparkContext.broadcast(prob)  # bounded by vocabulary and languages
 
     def start():

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, piece_codec, token_counts
+from . import decontaminate, language_id, license_scan, piece_codec, token_counts, toxicity
 from .common import table
 
 
@@ -14,6 +14,18 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.learn_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.learn_and_identify(table(spark, sf_dir, "documents"))
 
@@ -23,7 +35,7 @@ def op9_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op8_language_id, op9_piece_codec)}
+    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_license_scan, op6_decontaminate, op8_language_id, op9_piece_codec)}
 
 
 def oracle_sql() -> dict[str, str]:
