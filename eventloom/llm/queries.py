@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, license_scan, piece_codec, token_counts, toxicity
+from . import decontaminate, language_id, license_scan, pii, piece_codec, quality_mcd, token_counts, toxicity
 from .common import table
 
 
@@ -22,10 +22,18 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mcd.judge(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.learn_and_identify(table(spark, sf_dir, "documents"))
 
@@ -35,7 +43,7 @@ def op9_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_license_scan, op6_decontaminate, op8_language_id, op9_piece_codec)}
+    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_license_scan, op5_pii, op6_decontaminate, op7_quality_mcd, op8_language_id, op9_piece_codec)}
 
 
 def oracle_sql() -> dict[str, str]:
