@@ -240,6 +240,10 @@ def longest_matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW) ->
 
 
 def remove_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents that aren't contaminated, all columns; documents without an id are judged too, and kept if clean."""
-    bad = contamination(docs, bench, window).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["doc_id"]), "left_anti")
+    """The documents that aren't contaminated, all columns.
+
+    The ids to remove are written first: Spark broadcasts them while they are few, and shuffles beyond.
+    """
+    bad = contamination(docs, bench, window).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
+    bad = common.Durable(docs.sparkSession, "contaminated").put(bad)
+    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad"]), "left_anti")

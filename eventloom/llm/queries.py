@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, license_scan, pii, piece_codec, quality_mcd, token_counts, toxicity
+from . import decontaminate, jaccard_join, language_id, license_scan, pii, piece_codec, quality_mcd, token_counts, toxicity
 from .common import table
 
 
@@ -42,8 +42,12 @@ def op9_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_digests(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_components(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_license_scan, op5_pii, op6_decontaminate, op7_quality_mcd, op8_language_id, op9_piece_codec)}
+    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_license_scan, op5_pii, op6_decontaminate, op7_quality_mcd, op8_language_id, op9_piece_codec, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:

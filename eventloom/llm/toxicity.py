@@ -323,6 +323,18 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     return common.map_rows(common.id_text(docs), "doc_id long, score double, predicted int, n_hits long", start)
 
 
+def without_toxic(docs: DataFrame, model: dict) -> DataFrame:
+    """The documents that aren't predicted toxic, all columns; a filter, no shuffle."""
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+
+    @F.arrow_udf("boolean")
+    def toxic(texts: pa.Array) -> pa.Array:
+        s = common.resident(("toxicity", key), lambda: Scorer(shared.value))
+        return pa.array([s.score(t.as_py())[0] >= 0.5 for t in texts], pa.bool_())
+
+    return docs.where(~toxic(F.col("text").cast("string")))
+
+
 def learned(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000) -> dict:
     """A model from labelled rows whose crc32(doc_id as text) mod 5 is not 0."""
     learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
