@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, language_id, license_scan, pii, piece_codec, quality_mcd, token_counts, toxicity
+from . import decontaminate, jaccard_join, language_id, license_scan, pii, piece_codec, quality_mcd, token_binary, token_counts, toxicity
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_binary.write_and_read(table(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_license_scan, op5_pii, op6_decontaminate, op7_quality_mcd, op8_language_id, op9_piece_codec, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_license_scan, op4_token_binary, op5_pii, op6_decontaminate, op7_quality_mcd, op8_language_id, op9_piece_codec, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
