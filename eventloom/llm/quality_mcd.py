@@ -4,7 +4,7 @@ Text statistics are computed in one pass over the texts and written once. For ea
 covariance determinant estimate is found by concentration steps: the start is the medians and absolute deviations, then
 mean and covariance of the three quarters of rows that lie nearest, again and again. A row is kept if its squared
 Mahalanobis distance stays under the cut. Covariances are inverted by a Cholesky factor written out as columns. Only
-the small table of estimates is joined back; Spark broadcasts it while it is small and shuffles it beyond.
+the table of estimates is joined back, broadcast while it is small, so the rows of a hot group stay where they are.
 
 Rows fail the base rules with fewer than 50 words or more than half of their words in repeated three-word windows; they
 neither shape the estimates nor are kept. Groups of fewer than `min_group` rows share their language's estimate. Null
@@ -25,6 +25,8 @@ SYMBOLS = "#*$%&|<>"
 FEATURES = {"f_words": 0.5, "f_length": 0.01, "f_symbols": 0.5, "f_lines": 0.5, "f_repeats": 0.5}
 #: Share of rows in a concentration step; squared distance beyond which a row is an outlier (chi-squared of 5, 1e-6).
 CORE, CUT = 0.75, 35.9
+#: Most groups whose estimates are broadcast.
+GROUPS = 100_000
 #: Makes the covariance of the nearest three quarters that of all rows, for normal data of five dimensions.
 CONSISTENCY = 1.6
 
@@ -108,6 +110,11 @@ def _distance() -> Column:
     return total
 
 
+def _small(groups: DataFrame) -> DataFrame:
+    """A table of one row a group, broadcast up to GROUPS rows (about 30 MB); beyond, Spark shuffles the join."""
+    return F.broadcast(groups) if groups.count() <= GROUPS else groups
+
+
 def judge(docs: DataFrame, steps: int = 3, min_group: int = 40, cut: float = CUT) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance.
 
@@ -117,13 +124,13 @@ def judge(docs: DataFrame, steps: int = 3, min_group: int = 40, cut: float = CUT
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(F.coalesce(F.col(c).cast("string"), F.lit("\x00")).alias(f"g_{c}") for c in ("lang", "source")))
     stats = store.put(text_stats(plain).drop("text").withColumns(_features()).withColumn("base_failed", base_failed()))
     small = store.put(stats.where("not base_failed").groupBy("g_lang", "g_source").agg(F.count("*").alias("_n")))
-    rows = stats.join(small.where(F.col("_n") >= min_group).drop("_n").withColumn("_own", F.lit(True)), ["g_lang", "g_source"], "left")
+    rows = stats.join(_small(small.where(F.col("_n") >= min_group).drop("_n").withColumn("_own", F.lit(True))), ["g_lang", "g_source"], "left")
     rows = rows.withColumn("g_source", F.when(F.col("_own"), F.col("g_source")).otherwise(F.lit("\x00\x00"))).drop("_own")
     sound = rows.where("not base_failed")
 
     middle = sound.groupBy("g_lang", "g_source").agg(*(F.percentile_approx(f, 0.5, 2000).alias(f"m_{f}") for f in FEATURES))
     middle = store.put(middle)
-    spread = sound.join(middle, ["g_lang", "g_source"]).groupBy("g_lang", "g_source").agg(
+    spread = sound.join(_small(middle), ["g_lang", "g_source"]).groupBy("g_lang", "g_source").agg(
         *(F.first(f"m_{f}").alias(f"m_{f}") for f in FEATURES), *(F.percentile_approx(F.abs(F.col(f) - F.col(f"m_{f}")), 0.5, 2000).alias(f"d_{f}") for f in FEATURES)
     )
     for i, f in enumerate(FEATURES):
@@ -131,9 +138,9 @@ def judge(docs: DataFrame, steps: int = 3, min_group: int = 40, cut: float = CUT
             spread = spread.withColumn(f"v_{i}_{j}", (1.4826 * F.col(f"d_{f}")) ** 2 if i == j else F.lit(0.0))
     estimate = store.put(_cholesky(spread.drop(*(f"d_{f}" for f in FEATURES)), 1.0))
     for _ in range(steps):
-        at = sound.join(estimate, ["g_lang", "g_source"]).withColumn("_d", _distance())
+        at = sound.join(_small(estimate), ["g_lang", "g_source"]).withColumn("_d", _distance())
         radius = store.put(at.groupBy("g_lang", "g_source").agg(F.percentile_approx("_d", CORE, 2000).alias("_r")))
-        estimate = store.put(_estimate(at.join(radius, ["g_lang", "g_source"]).where("_d <= _r").select("g_lang", "g_source", *FEATURES)))
-    judged = rows.join(estimate, ["g_lang", "g_source"], "left").withColumn("distance", _distance())
+        estimate = store.put(_estimate(at.join(_small(radius), ["g_lang", "g_source"]).where("_d <= _r").select("g_lang", "g_source", *FEATURES)))
+    judged = rows.join(_small(estimate), ["g_lang", "g_source"], "left").withColumn("distance", _distance())
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut, F.lit(True))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), F.when(~F.col("base_failed"), F.col("distance")).alias("distance"))
