@@ -1,21 +1,19 @@
-"""Named queries over the driver's tables with the SQL that must give the same rows."""
+"""All named queries of the event operators."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs.groupBy("lang").agg(F.count("*").alias("n_docs"))
+from . import aggregate_queries, resolve_queries, row_queries  # noqa: F401  they register their queries
+from .registry import QUERIES, SQL
+from .row_queries import category_counts as flagship  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
