@@ -286,17 +286,28 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, store: common.D
 
 
 def components(edges: DataFrame, store: common.Durable) -> DataFrame:
-    """v, label (the smallest vertex that edges lead to): neighbours' smallest label and a jump to the label's label, until nothing changes."""
-    both = store.put(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = store.put(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("a"), F.min("b")).alias("label")))
-    while True:
-        near = both.join(label, both["b"] == label["v"]).groupBy(F.col("a").alias("v")).agg(F.min("label").alias("near"))
-        hop = label.select(F.col("v").alias("at"), F.col("label").alias("hop"))
-        new = label.join(near, "v", "left").join(hop, F.col("label") == F.col("at"), "left").select("v", F.least("label", "near", "hop").alias("label"), F.col("label").alias("old"))
-        new = store.put(new)
-        label = new.select("v", "label")
-        if new.where("label <> old").isEmpty():
-            return label
+    """v, label (the smallest vertex that edges lead to).
+
+    Each round gives a vertex its smallest neighbour, jumps on from there, and contracts the edges to what is left
+    between different ones; so a hub's edges are gone after the round in which it is met. The rounds' steps are then
+    followed one after the other.
+    """
+    rest, steps = store.put(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()), []
+    while not rest.isEmpty():
+        near = rest.select(F.col("a").alias("v"), F.col("a").alias("p")).union(rest.select(F.col("b").alias("v"), F.col("a").alias("p")))
+        near = store.put(near.groupBy("v").agg(F.min("p").alias("p")))
+        jump = near.select(F.col("v").alias("at"), F.col("p").alias("hop"))
+        step = store.put(near.join(jump, near["p"] == jump["at"], "left").select("v", F.coalesce("hop", "p").alias("p")))
+        steps.append(step)
+        for end in ("a", "b"):
+            rest = rest.join(step.select(F.col("v").alias(end), F.col("p").alias(f"_{end}")), end).drop(end).withColumnRenamed(f"_{end}", end)
+        rest = store.put(rest.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    if not steps:
+        return edges.select(F.col("a").alias("v"), F.col("a").alias("label")).limit(0)
+    label = steps[0].select("v", F.col("p").alias("label"))
+    for step in steps[1:]:
+        label = label.join(step.select(F.col("v").alias("label"), "p"), "label", "left").select("v", F.coalesce("p", "label").alias("label"))
+    return store.put(label)
 
 
 def remaining(buckets: DataFrame, label: DataFrame, sets: DataFrame, store: common.Durable) -> DataFrame:
