@@ -16,6 +16,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 FULL_DIGITS = ("０１２３４５６７８９", "0123456789")
 
@@ -212,18 +213,18 @@ def meta_content(page: Column, name: str) -> Column:
     return F.coalesce(F.nullif(first, F.lit("")), F.nullif(second, F.lit("")))
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def nfkc_folded(c: pa.Array) -> pa.Array:
     """NFKC and case folding."""
     return pa.array([None if v is None else unicodedata.normalize("NFKC", v).casefold() for v in c.to_pylist()], pa.string())
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def html_unescaped(c: pa.Array) -> pa.Array:
     return pa.array([None if v is None else html.unescape(v) for v in c.to_pylist()], pa.string())
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(DoubleType())
 def ratcliff(left: pa.Array, right: pa.Array) -> pa.Array:
     """Ratcliff/Obershelp similarity; 0 if either side is empty or null. Not symmetric: the earlier row goes left."""
     out = []

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def top_k(rows: DataFrame, group: list[str], k: int, *order: Column) -> DataFrame:
@@ -75,7 +76,7 @@ def mmr(candidates: DataFrame, user: str, k: int = 6, trade: float = 0.82, pool:
     return best.groupBy("user").applyInArrow(choose, f"user {kinds['user']}, item {kinds['item']}, rank int")
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(DoubleType())
 def novelty(c: pa.Array) -> pa.Array:
     """FNV-1a (32 bit) of a string modulo 1000, in thousandths."""
     out = []

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import times
 from ..operators import metrics
@@ -20,7 +21,7 @@ def ics_escape(c: Column) -> Column:
     return out
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def ics_folded(c: pa.Array) -> pa.Array:
     """Lines of at most 75 UTF-8 bytes; what follows starts with a blank; no character is cut."""
     out = []
