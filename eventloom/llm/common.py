@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -79,7 +80,7 @@ def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable[[pa.Record
 class Memo(dict):
     """A bounded memo of a function of one string: two generations of at most cap entries; long keys aren't kept."""
 
-    def __init__(self, fn: Callable, cap: int = 200_000, longest: int = 48):
+    def __init__(self, fn: Callable, cap: int = 120_000, longest: int = 48):
         super().__init__()
         self.fn, self.cap, self.longest, self.old = fn, cap, longest, {}
 
@@ -100,8 +101,13 @@ _RESIDENT: dict = {}
 
 
 def resident(key, build: Callable):
-    """One object a worker process: vocabularies and memo tables that later tasks of the worker use again."""
+    """The one object that a worker process keeps for later tasks: a vocabulary, a model and its memo.
+
+    Another key takes its place, so a worker that serves one operator after the other holds one memo at a time.
+    """
     if key not in _RESIDENT:
+        _RESIDENT.clear()
+        gc.collect()
         _RESIDENT[key] = build()
     return _RESIDENT[key]
 

@@ -46,7 +46,7 @@ class MergeEncoder:
         key = (left, right)
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= 400_000:
+            if len(self.pairs) >= 200_000:
                 self.pairs.clear()
             known = self.pairs[key] = self.remerge(left + right) == [left, right]
         return known
