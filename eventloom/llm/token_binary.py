@@ -29,10 +29,10 @@ BLOCK = 2048
 #: Ids in a frame at least (but for the last), blocks in lockstep at most, and words that a worker remembers.
 FRAME_IDS, LANES, REMEMBER = 1 << 18, 4096, 300_000
 SLOTS = 2048
-BITS = 15
+BITS = 14
 _ONE = 1 << BITS
 _TOP, _BOTTOM = np.uint32(1 << 24), np.uint32(1 << 16)
-_STEP = np.arange(17, dtype=np.int32)
+_STEP = np.arange(17, dtype=np.int16)
 
 
 class Coder:
@@ -52,12 +52,11 @@ class Coder:
         self.lane = np.arange(n)
         self.guess2, self.guess1 = np.full((n, SLOTS), -1, np.int32), np.full((n, SLOTS), -1, np.int32)
         self.sure2, self.sure1 = np.zeros((n, SLOTS), np.int8), np.zeros((n, SLOTS), np.int8)
-        third = np.array([0, _ONE // 3, 2 * _ONE // 3, _ONE], np.float64) / _ONE
-        self.by_sure, self.by_past = np.tile(np.diff(third), (n, 32, 1)), np.tile(np.diff(third), (n, 9, 1))
-        self.weight = np.full(n, 0.5)
+        self.by_sure, self.by_past = np.full((n, 32, 3), 1 / 3, np.float32), np.full((n, 9, 3), 1 / 3, np.float32)
+        self.weight = np.full(n, 0.5, np.float32)
         self.past = np.zeros(n, np.int64)
         self.prev1, self.prev2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        self.nibble = np.tile((_STEP * (_ONE // 16)).astype(np.int32), (n, 1 + 16 + 256 + 16, 1))
+        self.nibble = np.tile((_STEP.astype(np.int32) * (_ONE // 16)).astype(np.int16), (n, 1 + 16 + 256 + 16, 1))
 
     def _narrow(self, at: np.ndarray, cum: np.ndarray, freq: np.ndarray) -> None:
         """Takes the part [cum, cum + freq) of 2**BITS for the blocks `at`, and moves bytes out or in."""
@@ -102,9 +101,9 @@ class Coder:
         if symbol is None:
             symbol = (c[:, 1:16] <= self._target(at)[:, None]).sum(1)
         i = np.arange(len(at))
-        cum = c[i, symbol]
+        cum = c[i, symbol].astype(np.int32)
         self._narrow(at, cum, c[i, symbol + 1] - cum)
-        goal = _STEP + (_STEP[None, :] > symbol[:, None]) * np.int32(_ONE - 16)
+        goal = _STEP + (_STEP[None, :] > symbol.astype(np.int16)[:, None]) * np.int16(_ONE - 16)
         c += (goal - c) >> rate
         self.nibble[at, context] = c
         return symbol
@@ -119,7 +118,7 @@ class Coder:
         agree = g1 == g2
         x, y = s2 * 8 + s1 * 2 + agree, self.past[:live]
         px, py, w = self.by_sure[at, x], self.by_past[at, y], self.weight[:live]
-        p = w[:, None] * px + (1 - w)[:, None] * py
+        p = w[:, None] * (px - py) + py
         if ids is None:
             mode = self._mode(at, p, None)
         else:
@@ -137,11 +136,10 @@ class Coder:
         # what was learned
         i = np.arange(live)
         ex, ey = px[i, mode], py[i, mode]
-        self.weight[:live] = np.clip(w * ex / (w * ex + (1 - w) * ey) * 0.98 + 0.01, 0.02, 0.98)
-        px *= 0.95
-        px[i, mode] += 0.05
-        py *= 0.95
-        py[i, mode] += 0.05
+        self.weight[:live] = np.clip(w * ex / (w * ex + (1 - w) * ey) * np.float32(0.98) + np.float32(0.01), 0.02, 0.98)
+        for q in (px, py):
+            q *= np.float32(0.95)
+            q[i, mode] += np.float32(0.05)
         self.by_sure[at, x], self.by_past[at, y] = px, py
         self.past[:live] = y % 3 * 3 + mode
         hit1, hit2 = g1 == got, g2 == got
