@@ -5,6 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import times
+from . import rules
+
+
+def reevaluate(history: DataFrame, now: Column, rule_set: rules.RuleSet, known_ids: DataFrame | None = None) -> DataFrame:
+    """The whole ledger judged again: dates in a text count from when it was posted, the last gates from now.
+
+    history: status_id, text, retweet_count, first_seen (timestamp). Adds source_created_at, category, starts_at,
+    last_decision, last_reason. One projection; only known ids are joined.
+    """
+    created = times.snowflake_time(F.col("status_id"))
+    df = history.withColumn("source_created_at", F.when(created <= now + F.expr("interval 1 day"), created))
+    df = df.withColumn("_anchor", F.coalesce("source_created_at", "first_seen", now))
+    out = rules.accept_or_reject(df, F.col("_anchor"), rule_set, known_ids)
+    late = F.when(F.col("accepted") & (F.col("starts_at") < now - F.expr("interval 12 hours")), "past_event_now").when(F.col("accepted") & (F.col("starts_at") > now + F.expr("interval 180 days")), "too_far_future_now")
+    out = out.withColumn("last_reason", F.coalesce(late, "reason"))
+    return out.withColumn("last_decision", F.when(F.col("last_reason").isNull(), "accepted").otherwise("rejected")).drop("_anchor", "reason", "accepted")
+
+
+def archive(history: DataFrame, now: Column, rule_set: rules.RuleSet) -> DataFrame:
+    """The archive policy: a text with few retweets counts as having the floor, past events are accepted and marked."""
+    floor = F.greatest(F.coalesce(F.col("retweet_count").try_cast("long"), F.lit(0)), F.lit(rule_set.min_retweets))
+    out = reevaluate(history.withColumn("retweet_count", floor), now, rule_set)
+    past = F.col("last_reason").isin("past_event_now", "past_event")
+    out = out.withColumns({"last_decision": F.when(past, "accepted").otherwise(F.col("last_decision")), "last_reason": F.when(~past, F.col("last_reason"))})
+    return out.withColumns({"temporal_status": rules.archive_status(F.col("starts_at"), now), "is_archived": F.coalesce(F.col("starts_at") < now, F.lit(False))})
+
 
 def merge(old: DataFrame, new: DataFrame, key: str = "status_id") -> DataFrame:
     """Full outer merge: first_seen from the old row, last_seen and text from the new, counts summed, greatest retweets, keys united.

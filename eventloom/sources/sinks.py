@@ -58,9 +58,11 @@ def write_calendar(events: DataFrame, path: str) -> None:
     body = events.select("starts_at", "uid", vevent(events).alias("value")).orderBy("starts_at", "uid").select("value")
 
     def wrap(batches):
-        yield pa.RecordBatch.from_pydict({"value": ["BEGIN:VCALENDAR\r\nVERSION:2.0\r\nPRODID:-//eventloom//EN"]})
-        yield from batches
-        yield pa.RecordBatch.from_pydict({"value": ["END:VCALENDAR"]})
+        lines = lambda x: pa.RecordBatch.from_arrays([pa.array(x, pa.string())], ["value"])
+        yield lines(["BEGIN:VCALENDAR\r\nVERSION:2.0\r\nPRODID:-//eventloom//EN"])
+        for b in batches:
+            yield lines(b.column(0).to_pylist())
+        yield lines(["END:VCALENDAR"])
 
     body.mapInArrow(wrap, "value string").write.mode("overwrite").option("lineSep", "\r\n").text(path)
 
