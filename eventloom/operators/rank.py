@@ -78,12 +78,13 @@ def mmr(candidates: DataFrame, user: str, k: int = 6, trade: float = 0.82, pool:
 
 @F.arrow_udf(DoubleType())
 def novelty(c: pa.Array) -> pa.Array:
-    """FNV-1a (32 bit) of a string modulo 1000, in thousandths."""
+    """FNV-1a (32 bit) over the first UTF-16 unit of each character, modulo 1000, in thousandths."""
     out = []
     for v in c.to_pylist():
         h = 2166136261
-        for x in (v or "").encode():
-            h = (h ^ x) * 16777619 & 0xFFFFFFFF
+        for ch in v or "":
+            unit = ord(ch) if ord(ch) < 0x10000 else 0xD800 + (ord(ch) - 0x10000 >> 10)
+            h = (h ^ unit) * 16777619 & 0xFFFFFFFF
         out.append(h % 1000 / 1000)
     return pa.array(out, pa.float64())
 
@@ -91,3 +92,29 @@ def novelty(c: pa.Array) -> pa.Array:
 def recommendation_score(affinity: Column, soon: Column, new: Column, seen: Column) -> Column:
     """With a history (affinity not null) mostly affinity, else how soon."""
     return F.when(affinity.isNotNull(), 0.83 * affinity + 0.13 * soon + 0.04 * new - 0.18 * seen).otherwise(0.82 * soon + 0.18 * new)
+
+
+#: Fixed: weights of what describes an event.
+FEATURE_WEIGHTS = {"group": 2.6, "organizer": 2.15, "detail": 1.45, "tag": 1.35, "format": 1.05, "audience": 0.9, "time": 0.8, "mode": 0.7, "location": 0.65, "weekday": 0.55, "source": 0.25}
+
+
+def event_features(columns: dict[str, Column], tags: Column | None = None, most: int = 28) -> Column:
+    """array<struct<key, weight>> of kind:value keys, at most 14 tags and 28 features; blank values are left out.
+
+    columns: one for each kind of FEATURE_WEIGHTS but tag.
+    """
+    rows = [F.struct(F.concat(F.lit(f"{k}:"), F.lower(F.trim(c))).alias("key"), F.lit(FEATURE_WEIGHTS[k]).alias("weight")) for k, c in columns.items()]
+    own = F.filter(F.array(*rows), lambda r: r["key"].isNotNull() & ~r["key"].rlike(":$"))
+    if tags is not None:
+        few = F.slice(F.array_distinct(F.transform(F.coalesce(tags, F.array().cast("array<string>")), lambda t: F.lower(F.trim(t)))), 1, 14)
+        own = F.concat(own, F.transform(F.filter(few, lambda t: t != ""), lambda t: F.struct(F.concat(F.lit("tag:"), t).alias("key"), F.lit(FEATURE_WEIGHTS["tag"]).alias("weight"))))
+    return F.slice(own, 1, most)
+
+
+def interaction(views: Column) -> Column:
+    """What opening an event so often counts."""
+    return 1 + F.log2(views + 1)
+
+
+def start_utility(days: Column) -> Column:
+    return F.when(days.between(0, 120), 1 / (1 + days / 12)).otherwise(0.0)

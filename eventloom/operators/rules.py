@@ -66,6 +66,26 @@ def structured(f: dict[str, Column]) -> tuple[Column, Column]:
     return F.when(reason.isNull(), F.when(recruitment, "recruitment_deadline").otherwise("event")), reason
 
 
+#: Fixed vocabularies of the first, simpler rules.
+SIMPLE_TERMS = {
+    "event": ["イベント", "参加方法", "参加条件", "開催", "join", "ジョイン", "リクイン", "reqin", "リクエストインバイト", "request invite", "営業", "公演", "集会", "ライブ", "ツアー", "開場", "group instance", "グループインスタンス", "join先"],
+    "recruitment": ["募集", "応募", "締切", "〆切", "テスター"],
+}
+
+
+def simple(text: Column, rules: RuleSet) -> tuple[Column, Column]:
+    """(category, reason) by the first version of the rules."""
+    event, recruitment = (T.has_any(text, SIMPLE_TERMS[k]) for k in ("event", "recruitment"))
+    product, giveaway, tester = T.has_any(text, rules.terms["product"]), T.has_any(text, rules.terms["giveaway"]), T.has_any(text, ["テスター"])
+    recruiting = recruitment & T.has_any(text, ["締切", "〆切", "応募", "テスター"])
+    marked = F.lit(True) if rules.marker is None else F.coalesce(text, F.lit("")).rlike(rules.marker)
+    reason = (
+        F.when(~marked, "not_vrchat").when(giveaway & ~event, "giveaway_only").when(product & ~event & ~(recruitment & tester), "product_only")
+        .when(~recruiting & ~event, "missing_event_marker")
+    )
+    return F.when(reason.isNull(), F.when(recruiting, "recruitment_deadline").otherwise("event")), reason
+
+
 def _pre_gates(text: Column, f: dict[str, Column]) -> Column:
     no = F.lit(False)
     g = lambda k: f.get(k, no)
