@@ -35,6 +35,8 @@ LINK = Fraction(4, 5)
 SKETCH_BITS = 512
 #: Bytes of signatures in a partition, documents whose signatures are sent together, and members compared with one leader in a task.
 PART_BYTES, SEND_ROWS, MEMBERS = 16 << 20, 2048, 256
+#: Shuffle partitions at most; each serves several parts beyond.
+MOST_PARTITIONS = 20_000
 #: What a false candidate costs, in signatures.
 CANDIDATE_COST = 50.0
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -211,44 +213,57 @@ def sent_signatures(docs: DataFrame, parts: int) -> DataFrame:
     return common.map_rows(common.id_text(docs), "part int, payload binary", start, SEND_ROWS)
 
 
+def _buckets(payloads: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of one part: distinct (smallest, other) pairs of its buckets, and the distinct buckets of three classes or more."""
+    both = np.frombuffer(b"".join(payloads), np.int64).reshape(-1, 2)
+    both = both[np.lexsort((both[:, 1], both[:, 0]))]
+    new_sig = np.concatenate([[True], both[1:, 0] != both[:-1, 0]])
+    fresh = new_sig | np.concatenate([[True], both[1:, 1] != both[:-1, 1]])
+    key, head = both[fresh, 1], new_sig[fresh]
+    at = np.flatnonzero(head)
+    size = np.diff(np.append(at, len(key)))
+    pick = np.repeat(size > 1, size) & ~head
+    pairs = np.unique(np.stack([np.repeat(key[at], size)[pick], key[pick]], 1), axis=0) if pick.any() else np.empty((0, 2), np.int64)
+    known, lists = set(), []
+    for i in np.flatnonzero(size > 2):
+        members = key[at[i] : at[i] + size[i]]
+        mark = xxhash.xxh64_intdigest(members.tobytes())
+        if mark not in known:
+            known.add(mark)
+            lists.append(members)
+    return pairs, lists
+
+
 def candidates(sent: DataFrame, parts: int) -> DataFrame:
-    """a, b (a the smallest of a bucket, b another) or members (a bucket of three or more); each once a task."""
+    """a, b (a the smallest of a bucket, b another) or members (a bucket of three or more); each once a part.
+
+    A task takes its parts one after the other, so it holds about PART_BYTES however many parts there are.
+    """
 
     def run(batches):
-        held: dict[int, list[bytes]] = {}
+        part, held = None, []
+
+        def flush():
+            pairs, lists = _buckets(held)
+            held.clear()
+            for i in range(0, len(pairs), 50_000):
+                own = pairs[i : i + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(own[:, 0]), pa.array(own[:, 1]), pa.nulls(len(own), pa.list_(pa.int64()))], ["a", "b", "members"])
+            for i in range(0, len(lists), 2_000):
+                own = [m.tolist() for m in lists[i : i + 2_000]]
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(own), pa.int64()), pa.nulls(len(own), pa.int64()), pa.array(own, pa.list_(pa.int64()))], ["a", "b", "members"])
+
         for batch in batches:
             for p, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held.setdefault(p, []).append(x)
-        for p in list(held):
-            both = np.frombuffer(b"".join(held.pop(p)), np.int64).reshape(-1, 2)
-            both = both[np.lexsort((both[:, 1], both[:, 0]))]
-            new_sig = np.concatenate([[True], both[1:, 0] != both[:-1, 0]])
-            fresh = new_sig | np.concatenate([[True], both[1:, 1] != both[:-1, 1]])
-            key, head = both[fresh, 1], new_sig[fresh]
-            at = np.flatnonzero(head)
-            size = np.diff(np.append(at, len(key)))
-            shared = np.repeat(size > 1, size)
-            leader = np.repeat(key[at], size)
-            pick = shared & ~head
-            pairs = np.unique(np.stack([leader[pick], key[pick]], 1), axis=0) if pick.any() else np.empty((0, 2), np.int64)
-            for i in range(0, len(pairs), 50_000):
-                part = pairs[i : i + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1]), pa.nulls(len(part), pa.list_(pa.int64()))], ["a", "b", "members"])
-            known, lists, n = set(), [], 0
-            for i in np.flatnonzero(size > 2):
-                members = key[at[i] : at[i] + size[i]]
-                mark = xxhash.xxh64_intdigest(members.tobytes())
-                if mark not in known:
-                    known.add(mark)
-                    lists.append(members.tolist())
-                    n += len(members)
-                if n > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.nulls(len(lists), pa.int64()), pa.nulls(len(lists), pa.int64()), pa.array(lists, pa.list_(pa.int64()))], ["a", "b", "members"])
-                    lists, n = [], 0
-            if lists:
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(lists), pa.int64()), pa.nulls(len(lists), pa.int64()), pa.array(lists, pa.list_(pa.int64()))], ["a", "b", "members"])
-
-    return sent.repartition(parts, "part").mapInArrow(run, "a long, b long, members array<long>")
+                if held and p != part:
+                    yield from flush()
+                part = p
+                held.append(x)
+        if held:
+            yield from flush()
+
+    dealt = sent.repartition(min(parts, MOST_PARTITIONS), "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(run, "a long, b long, members array<long>")
 
 
 def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, store: common.Durable) -> DataFrame:
