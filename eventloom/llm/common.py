@@ -52,6 +52,7 @@ class Durable:
 
     def __init__(self, spark: SparkSession, tag: str):
         self.spark, self.base, self.n = spark, f"{shared_dir(spark)}/eventloom/{tag}-{uuid.uuid4().hex[:12]}", 0
+        self.tables: list[tuple[DataFrame, str]] = []
         atexit.register(_delete, spark, self.base)
 
     def put(self, df: DataFrame, replaces: str | None = None) -> DataFrame:
@@ -62,7 +63,16 @@ class Durable:
         if replaces:
             _delete(self.spark, replaces)
         self.path = path
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.tables.append((out, path))
+        return out
+
+    def keep(self, *needed: DataFrame) -> None:
+        """Deletes all tables but those that are still needed."""
+        for df, path in self.tables:
+            if not any(df is x for x in needed):
+                _delete(self.spark, path)
+        self.tables = [t for t in self.tables if any(t[0] is x for x in needed)]
 
 
 def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]], rows: int = SLICE_ROWS) -> DataFrame:

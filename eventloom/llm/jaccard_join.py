@@ -390,6 +390,7 @@ def link_components(docs: DataFrame) -> DataFrame:
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     classes = reps.select("set_key", "rep").join(named.select(F.col("v").alias("set_key"), "label").join(smallest, "label").select("set_key", "component_id"), "set_key", "left")
     classes = store.put(classes.select("set_key", F.coalesce("component_id", "rep").alias("component_id")))
+    store.keep(sets, classes)
     return sets.join(classes, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

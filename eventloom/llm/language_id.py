@@ -123,6 +123,7 @@ def train(labelled: DataFrame, path: str, sample_rows: int, rounds: int) -> dict
         for lang, own in found.items():
             total = sum(own.values()) + SMOOTH * 32_000
             prob[lang] = {k: (x + SMOOTH) / total for k, x in own.items()} | {-1: SMOOTH / total}
+    store.keep()
     return prob
 
 

@@ -12,6 +12,7 @@ Long texts are cut into segments (see vocabulary.py), so memory follows the long
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 
 import pyarrow as pa
@@ -21,9 +22,13 @@ from . import common
 from .vocabulary import MARK, PieceVocabulary, default_path
 
 
+codecs.register_error("each_byte", lambda e: ("\ufffd", e.start + 1))
+
+
 class MergeEncoder:
     def __init__(self, path: str):
         self.vocab = v = PieceVocabulary(path)
+        self.byte_of = {i: b for b, i in v.byte_id.items()}
         self.rank = {p: v.score[i] for p, i in v.id_of.items()}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.memo = common.Memo(self._entry)
@@ -90,21 +95,22 @@ class MergeEncoder:
         return out
 
     def decode(self, ids: list[int]) -> str:
-        """Text of ids: marks are blanks, byte pieces are UTF-8 with U+FFFD for what is none, the leading mark goes."""
-        return self._plain(ids).removeprefix(" ") if ids else ""
+        """Text of ids: marks are blanks, byte pieces are UTF-8 with U+FFFD for each byte of what is none, a leading mark goes."""
+        first = bool(ids) and self.vocab.normal[ids[0]] and self.vocab.piece[ids[0]].startswith(MARK)
+        return self._plain(ids)[first:]
 
     def _plain(self, ids: list[int]) -> str:
         v, out, run = self.vocab, [], bytearray()
         for i in ids:
             if v.normal[i]:
                 if run:
-                    out.append(run.decode(errors="replace"))
+                    out.append(run.decode(errors="each_byte"))
                     run.clear()
                 out.append(v.piece[i])
-            elif v.piece[i].startswith("<0x"):
-                run.append(int(v.piece[i][3:5], 16))
+            elif i in self.byte_of:
+                run.append(self.byte_of[i])
         if run:
-            out.append(run.decode(errors="replace"))
+            out.append(run.decode(errors="each_byte"))
         return "".join(out).replace(MARK, " ")
 
     def _entry(self, segment: str) -> tuple[str, str]:

@@ -141,6 +141,7 @@ def judge(docs: DataFrame, steps: int = 3, min_group: int = 40, cut: float = CUT
         at = sound.join(_small(estimate), ["g_lang", "g_source"]).withColumn("_d", _distance())
         radius = store.put(at.groupBy("g_lang", "g_source").agg(F.percentile_approx("_d", CORE, 2000).alias("_r")))
         estimate = store.put(_estimate(at.join(_small(radius), ["g_lang", "g_source"]).where("_d <= _r").select("g_lang", "g_source", *FEATURES)))
+    store.keep(stats, small, estimate)
     judged = rows.join(_small(estimate), ["g_lang", "g_source"], "left").withColumn("distance", _distance())
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut, F.lit(True))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), F.when(~F.col("base_failed"), F.col("distance")).alias("distance"))

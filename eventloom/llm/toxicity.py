@@ -277,6 +277,7 @@ def train(sample: DataFrame, min_log_rate: float = 1.5, min_evidence: float = 40
         return step
 
     rows = common.map_rows(sample.select("text", "toxic"), "x array<double>, toxic int", start).collect()  # sample_rows rows of four numbers
+    store.keep()
     model["fit"] = _logistic(np.array([r.x for r in rows]), np.array([float(r.toxic > 0) for r in rows])).tolist()
     return model
 
