@@ -9,8 +9,9 @@ both. For small sets, segments with their one-deletion neighbourhoods cost less:
 of them differs by at most one shingle. A cost estimate decides for each band.
 
 Nothing is lost, and no group is expanded into all its pairs: sets with equal hashes are one class; in each bucket of a
-signature first the smallest class is compared with the others, and only pairs whose ends are still in different
-components then, and whose parity sketches allow a link, follow. Comparisons are exact, on the whole sets.
+signature first the smallest class is compared with the others, then each class that is not yet in the bucket's main
+component with its likeliest partner elsewhere, and at last all pairs whose ends are still in different components and
+whose parity sketches allow a link. Comparisons are exact, on the whole sets.
 
 Words are [^\\x20\\x09-\\x0D]+ after lower-casing A-Z. With fewer than five words the whole sequence is the only shingle.
 Null, empty and blank texts have no set and link with nothing. Ties go to the smallest doc_id.
@@ -32,7 +33,7 @@ from . import common
 
 SHINGLE = 5
 LINK = Fraction(4, 5)
-SKETCH_BITS = 512
+SKETCH_BITS = 2048
 #: Bytes of signatures in a partition, documents whose signatures are sent together, and members compared with one leader in a task.
 PART_BYTES, SEND_ROWS, MEMBERS = 16 << 20, 2048, 256
 #: Shuffle partitions at most; each serves several parts beyond.
@@ -325,47 +326,68 @@ def components(edges: DataFrame, store: common.Durable) -> DataFrame:
     return store.put(label)
 
 
-def remaining(buckets: DataFrame, label: DataFrame, sets: DataFrame, store: common.Durable) -> DataFrame:
-    """Pairs of a bucket's classes in different components whose sizes and sketches allow a link."""
+def remaining(buckets: DataFrame, label: DataFrame, sets: DataFrame, store: common.Durable, nearest: bool) -> DataFrame:
+    """Pairs of a bucket's classes in different components whose sizes and sketches allow a link; each once.
+
+    nearest: only the likeliest partner of each class outside its bucket's most frequent component. It can't find every
+    link, but after it few components are left, and so few pairs for the full pass.
+    """
     rows = buckets.select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("set_key")).distinct()
     rows = rows.join(label.withColumnRenamed("v", "set_key"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
     rows = store.put(rows)
     open_ = rows.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
     rows = rows.join(open_, "bucket").join(sets, "set_key").repartition("bucket").sortWithinPartitions("bucket")
+    num, den = LINK.numerator, LINK.denominator
 
     def pairs_of(part):
         key, lab, n = (np.array(x, np.int64) for x in (part[1], part[2], part[3]))
         bits = np.frombuffer(b"".join(part[4]), np.uint64).reshape(len(key), -1)
+        values, at, count = np.unique(lab, return_inverse=True, return_counts=True)
+        minor = np.flatnonzero(at != count.argmax())  # a pair across components has an end outside any one component
         out = []
-        for i in range(0, len(key), 256):
-            sl = slice(i, i + 256)
-            total = n[sl, None] + n[None, :]
-            ok = (lab[sl, None] != lab[None, :]) & (key[sl, None] < key[None, :]) & (LINK.denominator * np.minimum(n[sl, None], n[None, :]) >= LINK.numerator * np.maximum(n[sl, None], n[None, :]))
+        for i in range(0, len(minor), 256):
+            own = minor[i : i + 256]
+            ok = (lab[own, None] != lab[None, :]) & (den * np.minimum(n[own, None], n[None, :]) >= num * np.maximum(n[own, None], n[None, :]))
             x, y = np.nonzero(ok)
-            for at in range(0, len(x), 1 << 18):
-                xs, ys = x[at : at + (1 << 18)], y[at : at + (1 << 18)]
-                apart = np.bitwise_count(bits[sl][xs] ^ bits[ys]).sum(1, dtype=np.int64)
-                near = (LINK.numerator + LINK.denominator) * apart <= (LINK.denominator - LINK.numerator) * total[xs, ys]
-                out.append(np.stack([key[sl][xs[near]], key[ys[near]]], 1))
-        return np.concatenate(out) if out else np.empty((0, 2), np.int64)
+            best = np.full(len(own), 1 << 40, np.int64)
+            for k in range(0, len(x), 1 << 16):
+                xs, ys = x[k : k + (1 << 16)], y[k : k + (1 << 16)]
+                apart = np.bitwise_count(bits[own[xs]] ^ bits[ys]).sum(1, dtype=np.int64)
+                near = (num + den) * apart <= (den - num) * (n[own[xs]] + n[ys])
+                if nearest:
+                    np.minimum.at(best, xs[near], apart[near] << 20 | ys[near])
+                else:
+                    out.append(np.stack([key[own[xs[near]]], key[ys[near]]], 1))
+            if nearest:
+                got = np.flatnonzero(best < 1 << 40)
+                out.append(np.stack([key[own[got]], key[best[got] & 0xFFFFF]], 1))
+        return np.sort(np.concatenate(out), 1) if out else np.empty((0, 2), np.int64)
 
     def run(batches):
         held: list[list] = [[], [], [], [], []]
+        found: list[np.ndarray] = []
 
-        def flush():
-            got = pairs_of(held)
+        def emit():
+            got = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], ["a", "b"])
+
+        def close():
+            found.append(pairs_of(held))
             for c in held:
                 c.clear()
-            return pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], ["a", "b"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held[0] and held[0][0] != row[0]:
-                    yield flush()
+                    close()
+                    if sum(map(len, found)) > 1_000_000:
+                        yield emit()
                 for c, v in zip(held, row, strict=True):
                     c.append(v)
         if held[0]:
-            yield flush()
+            close()
+        yield emit()
 
     return rows.select("bucket", "set_key", "label", "n_shingles", "sketch").mapInArrow(run, "a long, b long").distinct()
 
@@ -382,10 +404,16 @@ def link_components(docs: DataFrame) -> DataFrame:
     pairs = store.put(found.where("a is not null").select("a", "b").distinct())
     edges = verified(docs, reps, pairs, store)
     label = components(edges, store)
-    rest = remaining(found.where("members is not null"), label, reps.select("set_key", "n_shingles", "sketch"), store)
-    rest = store.put(rest.join(pairs, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        label = components(edges.unionByName(verified(docs, reps, rest, store)), store)
+    buckets, known = found.where("members is not null"), reps.select("set_key", "n_shingles", "sketch")
+    for nearest in (True, True, False):
+        rest = store.put(remaining(buckets, label, known, store, nearest).join(pairs, ["a", "b"], "left_anti"))
+        if rest.isEmpty():
+            continue
+        more = verified(docs, reps, rest, store)
+        pairs = store.put(pairs.unionByName(rest))
+        if not more.isEmpty():
+            edges = edges.unionByName(more)
+            label = components(edges, store)
     named = label.join(reps.select(F.col("set_key").alias("v"), "rep"), "v")
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     classes = reps.select("set_key", "rep").join(named.select(F.col("v").alias("set_key"), "label").join(smallest, "label").select("set_key", "component_id"), "set_key", "left")
