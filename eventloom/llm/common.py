@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 SLICE_ROWS = 256
 #: Most bytes that may be broadcast; larger sides take another way.
 BROADCAST_BYTES = 64 << 20
+#: Rows in a file of a narrow intermediate table whose greatest length is known.
+FILE_ROWS = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,10 +57,15 @@ class Durable:
         self.tables: list[tuple[DataFrame, str]] = []
         atexit.register(_delete, spark, self.base)
 
-    def put(self, df: DataFrame, replaces: str | None = None) -> DataFrame:
-        """Writes df and reads it back; a table that it replaces is deleted after."""
+    def put(self, df: DataFrame, replaces: str | None = None, rows: int | None = None) -> DataFrame:
+        """Writes df and reads it back; a table that it replaces is deleted after.
+
+        rows: most rows that df can have, if known; a small table then goes to few files, FILE_ROWS rows or less in each.
+        """
         self.n += 1
         path = f"{self.base}/{self.n}"
+        if rows is not None:
+            df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
         df.write.parquet(path)
         if replaces:
             _delete(self.spark, replaces)

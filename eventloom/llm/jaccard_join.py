@@ -273,12 +273,13 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, store: common.D
     Members travel to their leader as texts, at most about MEMBERS to one task's leader at a time.
     """
     needed = pairs.select(F.col("a").alias("set_key")).union(pairs.select(F.col("b").alias("set_key"))).distinct()
-    needed = store.put(needed.join(reps.select("set_key", "rep"), "set_key"))
+    most = pairs.count()
+    needed = store.put(needed.join(reps.select("set_key", "rep"), "set_key"), rows=2 * most)
     few = needed.count() <= 500_000  # at most 8 MB of ids; a shuffle join beyond
     texts = common.id_text(docs).withColumnRenamed("doc_id", "rep").join(F.broadcast(needed) if few else needed, "rep")
     texts = store.put(texts.select("set_key", "text"))
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("salts"))
-    dealt = store.put(pairs.join(salts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt")))
+    dealt = store.put(pairs.join(salts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt")), rows=most)
     leaders = dealt.select("a", "salt").distinct().join(texts, F.col("a") == F.col("set_key")).select("a", "salt", F.lit(0).alias("member"), F.col("a").alias("b"), "text")
     members = dealt.join(texts, F.col("b") == F.col("set_key")).select("a", "salt", F.lit(1).alias("member"), "b", "text")
     rows = leaders.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
@@ -298,7 +299,7 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, store: common.D
                     b.append(kb)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return store.put(rows.mapInArrow(run, "a long, b long"))
+    return store.put(rows.mapInArrow(run, "a long, b long").distinct(), rows=most)
 
 
 def components(edges: DataFrame, store: common.Durable) -> DataFrame:
@@ -308,33 +309,34 @@ def components(edges: DataFrame, store: common.Durable) -> DataFrame:
     between different ones; so a hub's edges are gone after the round in which it is met. The rounds' steps are then
     followed one after the other.
     """
-    rest, steps = store.put(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()), []
-    while not rest.isEmpty():
+    rest = store.put(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), rows=edges.count())
+    steps, vertices = [], 0
+    while n := rest.count():
         near = rest.select(F.col("a").alias("v"), F.col("a").alias("p")).union(rest.select(F.col("b").alias("v"), F.col("a").alias("p")))
-        near = store.put(near.groupBy("v").agg(F.min("p").alias("p")))
+        near = store.put(near.groupBy("v").agg(F.min("p").alias("p")), rows=2 * n)
         jump = near.select(F.col("v").alias("at"), F.col("p").alias("hop"))
-        step = store.put(near.join(jump, near["p"] == jump["at"], "left").select("v", F.coalesce("hop", "p").alias("p")))
+        step = store.put(near.join(jump, near["p"] == jump["at"], "left").select("v", F.coalesce("hop", "p").alias("p")), rows=2 * n)
         steps.append(step)
+        vertices = vertices or step.count()
         for end in ("a", "b"):
             rest = rest.join(step.select(F.col("v").alias(end), F.col("p").alias(f"_{end}")), end).drop(end).withColumnRenamed(f"_{end}", end)
-        rest = store.put(rest.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        rest = store.put(rest.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), rows=n)
     if not steps:
         return edges.select(F.col("a").alias("v"), F.col("a").alias("label")).limit(0)
     label = steps[0].select("v", F.col("p").alias("label"))
     for step in steps[1:]:
         label = label.join(step.select(F.col("v").alias("label"), "p"), "label", "left").select("v", F.coalesce("p", "label").alias("label"))
-    return store.put(label)
+    return store.put(label, rows=vertices)
 
 
-def remaining(buckets: DataFrame, label: DataFrame, sets: DataFrame, store: common.Durable, nearest: bool) -> DataFrame:
+def remaining(members: DataFrame, n_members: int, label: DataFrame, sets: DataFrame, store: common.Durable, nearest: bool) -> DataFrame:
     """Pairs of a bucket's classes in different components whose sizes and sketches allow a link; each once.
 
-    nearest: only the likeliest partner of each class outside its bucket's most frequent component. It can't find every
+    members: bucket, set_key. nearest: only the likeliest partner of each class outside its bucket's most frequent component. It can't find every
     link, but after it few components are left, and so few pairs for the full pass.
     """
-    rows = buckets.select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("set_key")).distinct()
-    rows = rows.join(label.withColumnRenamed("v", "set_key"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
-    rows = store.put(rows)
+    rows = members.join(label.withColumnRenamed("v", "set_key"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
+    rows = store.put(rows, rows=n_members)
     open_ = rows.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
     rows = rows.join(open_, "bucket").join(sets, "set_key").repartition("bucket").sortWithinPartitions("bucket")
     num, den = LINK.numerator, LINK.denominator
@@ -401,12 +403,13 @@ def link_components(docs: DataFrame) -> DataFrame:
     total = reps.agg(F.sum("n_shingles")).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total * 0.55 * 16 / PART_BYTES))
     found = store.put(candidates(sent_signatures(docs, parts), parts))
-    pairs = store.put(found.where("a is not null").select("a", "b").distinct())
+    pairs = store.put(found.where("a is not null").select("a", "b").distinct(), rows=found.count())
     edges = verified(docs, reps, pairs, store)
     label = components(edges, store)
-    buckets, known = found.where("members is not null"), reps.select("set_key", "n_shingles", "sketch")
+    members = store.put(found.where("members is not null").select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("set_key")).distinct())
+    n_members, known = members.count(), reps.select("set_key", "n_shingles", "sketch")
     for nearest in (True, True, False):
-        rest = store.put(remaining(buckets, label, known, store, nearest).join(pairs, ["a", "b"], "left_anti"))
+        rest = store.put(remaining(members, n_members, label, known, store, nearest).join(pairs, ["a", "b"], "left_anti"))
         if rest.isEmpty():
             continue
         more = verified(docs, reps, rest, store)
