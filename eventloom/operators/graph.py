@@ -26,16 +26,20 @@ def broken(edges: DataFrame, nodes: DataFrame, node: str) -> DataFrame:
     return edges.join(nodes.select(F.col(node).alias("dst")).distinct(), "dst", "left_anti")
 
 
-def bfs(edges: DataFrame, start: DataFrame, depth: int = 50) -> DataFrame:
-    """node, depth of all that is reachable: a frontier loop; each round joins only the frontier."""
+def bfs(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """node, depth of all that is reachable: a frontier loop until no new node is met; each round joins only the frontier.
+
+    Each round's plan is cut (checkpoint, or a local one where no folder is set), so long chains don't make it grow.
+    """
+    cut = (lambda t: t.checkpoint()) if edges.sparkSession.sparkContext.getCheckpointDir() else (lambda t: t.localCheckpoint())
     e = edges.select("src", "dst").distinct().persist()
-    seen = start.select(F.col(start.columns[0]).alias("node"), F.lit(0).alias("depth")).distinct()
-    frontier = seen
-    for d in range(1, depth + 1):
+    seen = frontier = cut(start.select(F.col(start.columns[0]).alias("node"), F.lit(0).alias("depth")).distinct())
+    d = 0
+    while not frontier.isEmpty():
+        d += 1
         nxt = frontier.join(e, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
-        frontier = nxt.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(d))
-        frontier = frontier.checkpoint() if edges.sparkSession.sparkContext.getCheckpointDir() else frontier.persist()
-        if frontier.isEmpty():
-            break
+        frontier = cut(nxt.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(d)))
         seen = seen.unionByName(frontier)
+        if d % 16 == 0:  # few parts to read in each round
+            seen = cut(seen.coalesce(int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     return seen

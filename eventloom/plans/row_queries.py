@@ -215,7 +215,7 @@ def graph_indegree(spark, d) -> DataFrame:
 def graph_bfs(spark, d) -> DataFrame:
     e = _edges(spark, d).distinct()
     both = e.union(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    return graph.bfs(both, e.agg(F.min("src").alias("node")), 8).select("node", F.col("depth").cast("long").alias("depth"))
+    return graph.bfs(both, e.agg(F.min("src").alias("node"))).select("node", F.col("depth").cast("long").alias("depth"))
 
 
 _PLAN = [("core", ["Event", "event", "Party"]), ("access", ["join", "PARTY", "instance"])]

@@ -109,6 +109,20 @@ def test_graph(spark):
     assert {r.dst for r in graph.broken(e, nodes, "n").collect()} == {3, 6}
 
 
+def test_bfs_reaches_the_end_of_a_long_chain(spark):
+    e = spark.createDataFrame([(i, i + 1) for i in range(60)], "src int, dst int")
+    assert {r.node: r.depth for r in graph.bfs(e, spark.createDataFrame([(0,)], "n int")).collect()} == {i: i for i in range(61)}
+
+
+def test_graph_bfs_query_has_no_depth_cap(spark, tmp_path):
+    from eventloom.plans import queries as plain
+
+    pages = [(i, f"https://h{i:02}/", f'<a href="https://u{i:02}/a">x</a><a href="https://u{i + 1:02}/a">y</a>') for i in range(8)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.node: r.depth for r in plain.queries()["graph_bfs"](spark, str(tmp_path)).collect()}
+    assert got == {f"h{i:02}": 2 * i for i in range(8)} | {f"https://u{i:02}/a": max(1, 2 * i - 1) for i in range(9)}
+
+
 def test_ontology(spark):
     ev = spark.createDataFrame([("1", "alpha night", "org"), ("2", "pattern only", "x"), ("3", "beta", "y")], "event_id string, body string, organizer string")
     en = spark.createDataFrame([("A", ["alpha"], ["org"], ["night"]), ("B", ["zzz"], ["q"], ["pattern"]), ("C", ["beta"], [], []), ("D", ["beta"], [], [])], "entry_id string, aliases array<string>, organizers array<string>, patterns array<string>")
