@@ -50,30 +50,33 @@ def weighted_jaccard(left: DataFrame, right: DataFrame) -> DataFrame:
     return j.agg(F.coalesce(F.try_divide(F.sum(F.least("a", "b")), F.sum(F.greatest("a", "b"))), F.lit(0.0)).alias("jaccard"))
 
 
-def mmr(candidates: DataFrame, user: str, k: int = 6, trade: float = 0.82, pool: int = 60) -> DataFrame:
-    """user, item, rank: greedy re-ranking by trade * score - (1 - trade) * likeness to what is chosen.
-
-    candidates: user, item, score, features (map of string to double). Only the `pool` best of a user take part, so a
-    group is bounded whatever the number of items.
-    """
-    best = top_k(candidates, [user], pool, F.desc("score"), F.col("item")).select(F.col(user).alias("user"), "item", "score", "features")
+def _likeness(a: Column, b: Column) -> Column:
+    """Sum of minima over sum of maxima of two maps of string to double."""
+    own = lambda m, x: F.coalesce(F.element_at(m, x), F.lit(0.0))
+    total = lambda of: F.aggregate(F.array_union(F.map_keys(a), F.map_keys(b)), F.lit(0.0), lambda s, x: s + of(own(a, x), own(b, x)))
+    return F.coalesce(F.try_divide(total(F.least), total(F.greatest)), F.lit(0.0))
 
-    def choose(t: pa.Table) -> pa.Table:
-        rows = [(r["item"], r["score"], dict(r["features"])) for r in t.to_pylist()]
-        owner, chosen = t.column("user")[0], []
 
-        def like(a: dict, b: dict) -> float:
-            top = sum(max(a.get(x, 0.0), b.get(x, 0.0)) for x in {*a, *b})
-            return sum(min(a[x], b[x]) for x in a.keys() & b.keys()) / top if top else 0.0
-
-        while rows and len(chosen) < k:
-            best_row = max(rows, key=lambda r: (trade * r[1] - (1 - trade) * max((like(r[2], c[2]) for c in chosen), default=0.0), -r[0]))
-            rows.remove(best_row)
-            chosen.append(best_row)
-        return pa.table({"user": pa.array([owner.as_py()] * len(chosen), t.schema.field("user").type), "item": pa.array([c[0] for c in chosen], t.schema.field("item").type), "rank": pa.array(range(1, len(chosen) + 1), pa.int32())})
+def mmr(candidates: DataFrame, user: str, k: int = 6, trade: float = 0.82) -> DataFrame:
+    """user, item, rank: greedy re-ranking by trade * score - (1 - trade) * likeness to what is chosen.
 
-    kinds = dict(best.dtypes)
-    return best.groupBy("user").applyInArrow(choose, f"user {kinds['user']}, item {kinds['item']}, rank int")
+    candidates: user, item (a number, once a user), score, features (map of string to double). All of a user's items
+    take part: each of k rounds is an aggregate that chooses one item a user, and a join that gives the others their
+    greatest likeness so far. Each round's plan is cut (checkpoint, or a local one where no folder is set).
+    """
+    cut = (lambda t: t.checkpoint()) if candidates.sparkSession.sparkContext.getCheckpointDir() else (lambda t: t.localCheckpoint())
+    rest = candidates.select(F.col(user).alias("user"), "item", "score", "features", F.lit(0.0).alias("near"))
+    value = F.struct(trade * F.col("score") - (1 - trade) * F.col("near"), -F.col("item"))
+    out = None
+    for r in range(1, k + 1):
+        best = cut(rest.groupBy("user").agg(F.max_by(F.struct("item", "features"), value).alias("best")))
+        chosen = best.select("user", F.col("best.item").alias("item"), F.lit(r).alias("rank"))
+        out = chosen if out is None else out.unionByName(chosen)
+        if r < k:
+            last = best.select(F.col("user").alias("_user"), F.col("best.item").alias("_item"), F.col("best.features").alias("_features"))
+            rest = rest.join(last, F.col("user").eqNullSafe(F.col("_user"))).where("item <> _item")
+            rest = cut(rest.select("user", "item", "score", "features", F.greatest("near", _likeness(F.col("features"), F.col("_features"))).alias("near")))
+    return out
 
 
 @F.arrow_udf(DoubleType())

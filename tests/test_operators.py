@@ -141,6 +141,32 @@ def test_rank(spark):
     assert [r.item for r in rank.mmr(c, "user", 2).orderBy("rank").collect()] == [1, 3]
 
 
+def test_mmr_ranks_the_whole_table(spark):
+    """The second choice is the 71st by score; random tables against a plain loop over all items."""
+    import random
+
+    def plain(items, k, trade=0.82):
+        def like(a, b):
+            top = sum(max(a.get(x, 0.0), b.get(x, 0.0)) for x in a | b)
+            return sum(min(a[x], b[x]) for x in a.keys() & b.keys()) / top if top else 0.0
+
+        chosen, rest = [], list(items)
+        while rest and len(chosen) < k:
+            best = max(rest, key=lambda r: (trade * r[1] - (1 - trade) * max((like(r[2], c[2]) for c in chosen), default=0.0), -r[0]))
+            rest.remove(best)
+            chosen.append(best)
+        return [c[0] for c in chosen]
+
+    rng = random.Random(4)
+    tables = {"late": [(i, 0.9 - i / 10000, {"a": 1.0}) for i in range(70)] + [(70, 0.85, {"b": 1.0})]}
+    tables |= {None: [(i, rng.randrange(64) / 64, {x: 1.0 for x in rng.sample("abcdefg", rng.randrange(5))}) for i in range(150)], "few": [(1, 0.5, {}), (2, 0.5, {"a": 2.0})]}
+    rows = [(u, *r) for u, t in tables.items() for r in t]
+    got = {}
+    for r in rank.mmr(spark.createDataFrame(rows, "user string, item int, score double, features map<string,double>"), "user").orderBy("rank").collect():
+        got.setdefault(r.user, []).append(r.item)
+    assert got == {u: plain(t, 6) for u, t in tables.items()} and got["late"][1] == 70
+
+
 def test_quality(spark):
     df = spark.createDataFrame([("a", "t"), ("a", "")], "id string, title string").withColumn("row", F.monotonically_increasing_id())
     with pytest.raises(ValueError):
