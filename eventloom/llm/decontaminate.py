@@ -35,6 +35,7 @@ class Benchmark:
         self.ids: list[str] = []
         flat: list[int] = []
         start, width, item = [], [], []
+        size = []
         for item_id, text in sorted(set(items)):
             words = common.word_bytes(text)
             if not words:
@@ -45,12 +46,22 @@ class Benchmark:
             width += [m] * (len(words) - m + 1)
             item += [len(self.ids)] * (len(words) - m + 1)
             self.ids.append(item_id)
+            size.append(len(words))
             flat += [0]
         self.start, self.width, self.item = (np.asarray(x, np.int64) for x in (start, width, item))
+        #: Words of each item; its words begin where those of the items before, with a 0 after each, end.
+        self.size = np.asarray(size, np.int64)
         self.least = int(self.width.min()) if len(width) else 0
         self.flat = np.concatenate([np.asarray(flat, np.int64), np.zeros(window + 1, np.int64)])
 
 
+    def suffixes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Start, words, item and place in the item of each suffix of each item."""
+        begin, n = np.cumsum(self.size + 1) - self.size - 1, self.size
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return np.repeat(begin, n) + at, np.repeat(n, n) - at, np.repeat(np.arange(len(n)), n), at
+
+
 class Shard:
     """The suffix array of the words of some documents, restricted to runs of known words of at least `least`."""
 
@@ -88,10 +99,10 @@ class Shard:
             step *= 2
         return at[np.argsort(rank, kind="stable")]
 
-    def bound(self, b: Benchmark, width: np.ndarray, after: bool) -> np.ndarray:
-        """For each window of b the first place in the suffix array that isn't below it (after: that is above it)."""
-        low = np.zeros(len(b.start), np.int64)
-        high = np.full(len(b.start), len(self.sa))
+    def bound(self, b: Benchmark, start: np.ndarray, width: np.ndarray, after: bool) -> np.ndarray:
+        """For each run of width words of b the first place in the suffix array that isn't below it (after: that is above it)."""
+        low = np.zeros(len(start), np.int64)
+        high = np.full(len(start), len(self.sa))
         while (open_ := low < high).any():
             mid = (low + high) // 2
             pos = self.sa[np.minimum(mid, len(self.sa) - 1)]
@@ -100,7 +111,7 @@ class Shard:
                 todo = (order == 0) & (j < width)
                 if not todo.any():
                     break
-                order = np.where(todo, np.sign(self.flat[np.minimum(pos + j, len(self.flat) - 1)] - b.flat[b.start + np.minimum(j, width - 1)]), order)
+                order = np.where(todo, np.sign(self.flat[np.minimum(pos + j, len(self.flat) - 1)] - b.flat[start + np.minimum(j, width - 1)]), order)
             right = open_ & ((order < 0) | (after & (order == 0)))
             low, high = np.where(right, mid + 1, low), np.where(open_ & ~right, mid, high)
         return low
@@ -109,27 +120,40 @@ class Shard:
         """(position, window) for each occurrence of each window."""
         if not len(self.sa) or not len(b.start):
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        low, high = self.bound(b, b.width, False), self.bound(b, b.width, True)
+        low, high = self.bound(b, b.start, b.width, False), self.bound(b, b.start, b.width, True)
         n = high - low
         window = np.repeat(np.arange(len(n)), n)
         return self.sa[np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)], window
 
-    def longest(self, b: Benchmark) -> tuple[np.ndarray, np.ndarray]:
-        """(length, position) of the longest match of the item suffix at each window's start, 0 if it has no word here."""
-        if not len(self.sa) or not len(b.start):
-            return np.zeros(len(b.start), np.int64), np.zeros(len(b.start), np.int64)
-        place = self.bound(b, b.width, False)
-        best, where = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+    def longest(self, b: Benchmark, start: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(length, first position) of the longest match of each run of width words of b, 0 if its first word isn't here.
+
+        The longest is shared with a neighbour of the place where the whole run would stand; all suffixes that share it
+        stand next to each other, and the smallest of their positions is taken.
+        """
+        best, where = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+        if not len(self.sa) or not len(start):
+            return best, where
+        place = self.bound(b, start, width, False)
         for candidate in (place - 1, place):
             ok = (candidate >= 0) & (candidate < len(self.sa))
             pos, length = self.sa[np.clip(candidate, 0, len(self.sa) - 1)], np.zeros(len(place), np.int64)
             while ok.any():
                 a = self.flat[np.minimum(pos + length, len(self.flat) - 1)]
-                c = b.flat[np.minimum(b.start + length, len(b.flat) - 1)]
-                ok = ok & (a == c) & (a > 0)
+                c = b.flat[np.minimum(start + length, len(b.flat) - 1)]
+                ok = ok & (length < width) & (a == c) & (a > 0)
                 length += ok
-            where = np.where(length > best, pos, where)
             best = np.maximum(best, length)
+        got = np.flatnonzero(best)
+        low, high = self.bound(b, start[got], best[got], False), self.bound(b, start[got], best[got], True)
+        least, step = self.sa, 1  # of the step positions from each place on
+        while len(got):
+            own = (high - low >= step) & (high - low < 2 * step)
+            where[got[own]] = np.minimum(least[low[own]], least[high[own] - step])
+            if 2 * step > len(self.sa):
+                break
+            least = np.minimum(least[:-step], least[step:])
+            step *= 2
         return best, where
 
     def doc_of(self, pos: np.ndarray) -> np.ndarray:
@@ -206,7 +230,7 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> Da
 def longest_matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
     """item_id, item_word, length, doc_id, word: the longest verbatim match of each item suffix in the whole corpus.
 
-    Each shard gives one row a suffix that it has a word of; Spark takes the longest, then the smallest doc_id and word.
+    Each shard gives one row a suffix whose first word it has; Spark takes the longest, then the smallest doc_id and word.
     """
     parts, sc = [], docs.sparkSession.sparkContext
     for block in blocks(bench):
@@ -214,18 +238,16 @@ def longest_matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW) ->
 
         def start(shared=shared, key=key):
             b = common.resident(("bench", key, window), lambda: Benchmark(shared.value, window))
-            first: dict[int, int] = {}
-            for i, at in zip(b.item, b.start, strict=True):
-                first.setdefault(int(i), int(at))
+            begin, width, item, at = b.suffixes()
 
             def step(batch: pa.RecordBatch):
-                ids = batch.column(0).to_pylist()
-                shard = Shard([common.word_bytes(t) for t in batch.column(1).to_pylist()], b.vocab, 1)
-                length, pos = shard.longest(b)
+                rows = sorted(zip(*(c.to_pylist() for c in batch.columns[:2]), strict=True), key=lambda r: (r[0] is None, r[0] or 0))
+                shard = Shard([common.word_bytes(t) for _, t in rows], b.vocab, 1)
+                length, pos = shard.longest(b, begin, width)
                 got = np.flatnonzero(length)
                 doc = shard.doc_of(pos[got])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([b.ids[i] for i in b.item[got]], pa.string()), pa.array([int(b.start[g]) - first[int(b.item[g])] for g in got], pa.int64()), pa.array(length[got]), pa.array([ids[d] for d in doc], pa.int64()), pa.array(pos[got] - shard.begin[doc])],
+                    [pa.array([b.ids[i] for i in item[got]], pa.string()), pa.array(at[got]), pa.array(length[got]), pa.array([rows[d][0] for d in doc], pa.int64()), pa.array(pos[got] - shard.begin[doc])],
                     ["item_id", "item_word", "length", "doc_id", "word"],
                 )
 

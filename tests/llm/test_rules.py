@@ -144,6 +144,29 @@ def test_longest_matches(spark):
     assert got[1] == (5, 1, 1) and 0 not in got
 
 
+def test_longest_matches_of_every_suffix(spark):
+    """A passage of 13 words goes on differently in three documents; places are the first of several, by doc_id."""
+    words = [f"p{i}" for i in range(13)]
+    rows = [(9, [*words, "a", "b"]), (4, ["x", *words, "c", *(f"q{i}" for i in range(20))]), (7, [*words, "d"]), (3, ["y", "q19", "z"]), (2, ["p12", "c", "q0", "u", "p12"])]
+    items = {"i": [*words, "c", *(f"q{i}" for i in range(25))], "j": ["p12", "w", *words[:5]]}
+    expected = {}
+    for name, x in items.items():
+        for s in range(len(x)):
+            found = []
+            for doc, w in rows:
+                for at in range(len(w)):
+                    n = 0
+                    while s + n < len(x) and at + n < len(w) and x[s + n] == w[at + n]:
+                        n += 1
+                    found.append((-n, doc, at))
+            if (best := min(found))[0]:
+                expected[name, s] = (-best[0], *best[1:])
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string").coalesce(1)
+    got = decontaminate.longest_matches(docs, spark.createDataFrame([(k, " ".join(x)) for k, x in items.items()], "item_id string, text string")).collect()
+    assert {(r.item_id, r.item_word): (r.length, r.doc_id, r.word) for r in got} == expected
+    assert expected["i", 0] == (34, 4, 1) and ("i", 33) in expected
+
+
 def plain_stats(t):
     t = t or ""
     w = RAW.findall(t)
