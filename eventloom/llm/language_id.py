@@ -2,8 +2,9 @@
 
 Each language has a probability for each piece of the fixed public vocabulary. The likelihood of a word is the sum over
 all its segmentations, by a forward algorithm; a text's is the product over its words. The probabilities are fitted by
-expectation-maximisation (forward-backward) on the word counts of a bounded sample of labelled rows; its bound is
-`sample_rows`. E-steps run in tasks and are summed by Spark; the driver gets one number a piece and language.
+expectation-maximisation (forward-backward) on the word counts of a bounded sample of labelled texts: the first
+`sample_rows` distinct texts of each language in the order of a hash, and all of a language that has fewer. So each
+language is learned whatever its share of the rows, and copies count once. E-steps run in tasks and are summed by Spark; the driver gets one number a piece and language.
 
 Words are runs of letters, lower-cased. Null texts and texts without a letter are `und` with score 0. Long texts cost a
 memo lookup a word. Equal likelihoods go to the first language by name.
@@ -18,7 +19,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -79,12 +80,26 @@ def expected_counts(lattice: Lattice, word: bytes, prob: dict[int, float] | None
     return counts
 
 
+def sample(labelled: DataFrame, most: int, store: common.Durable) -> DataFrame:
+    """text, lang: of each language the `most` distinct texts with the smallest hashes, or all if it has fewer.
+
+    A share of each language's hashes, about twice as many as needed, is ranked; no language's rows meet in one task.
+    """
+    rows = labelled.select("text", "lang", F.xxhash64("text").alias("_h"))
+    hashes = store.put(rows.select("lang", "_h").distinct())
+    share = F.when(F.col("n") > 2 * most + 100, ((2 * most + 100) / F.col("n") * (1 << 30)).cast("long")).otherwise(1 << 30)
+    size = store.put(hashes.groupBy("lang").agg(F.count("*").alias("n")))  # written, so Spark sees that it is small and broadcasts it
+    near = hashes.join(size, "lang").where(F.pmod("_h", F.lit(1 << 30)) < share)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("_h", F.lit(1 << 30)), "_h"))
+    last = store.put(near.select("lang", "_h", place.alias("k")).where(F.col("k") <= most).select("lang", "_h"))
+    # sample_rows hashes a language: broadcast while they are few, as Spark finds from the written table's size
+    return store.put(rows.join(last, ["lang", "_h"]).groupBy("lang", "_h").agg(F.first("text").alias("text")).select("text", "lang"))
+
+
 def train(labelled: DataFrame, path: str, sample_rows: int, rounds: int) -> dict:
-    """Piece log-probabilities by language from (text, lang) rows; about sample_rows of them, chosen by a hash of the text."""
-    n = labelled.count()
-    if n > sample_rows:
-        share = int(sample_rows / n * (1 << 30))
-        labelled = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share)
+    """Piece probabilities by language from (text, lang) rows: of each language the first sample_rows distinct texts by a hash."""
+    store = common.Durable(labelled.sparkSession, "lid")
+    labelled = sample(labelled, sample_rows, store)
 
     def count_words():
         def step(b: pa.RecordBatch):
@@ -96,7 +111,6 @@ def train(labelled: DataFrame, path: str, sample_rows: int, rounds: int) -> dict
 
         return step
 
-    store = common.Durable(labelled.sparkSession, "lid")
     pairs = common.map_rows(labelled.select("text", "lang"), "lang string, word binary, n long", count_words)
     counts = store.put(pairs.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     prob: dict[str, dict[int, float]] = {}

@@ -108,6 +108,18 @@ def test_language_held_out(documents):
     assert sum(r.lang == r.lang_pred for r in got) >= 0.95 * len(got)
 
 
+def test_language_sample_is_by_language(spark):
+    """Copies and a language of three texts among many of another: each is learned, from at most so many distinct texts."""
+    from eventloom.llm import common
+
+    rows = [(f"text number {i}", "en") for i in range(900)] + [("one text again and again", "en")] * 500 + [(f"le texte {i}", "fr") for i in range(3)]
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    got = [(r.lang, r.text) for r in language_id.sample(df, 40, common.Durable(spark, "t")).collect()]
+    assert len(got) == len(set(got)) == 43 and sum(x == "fr" for x, _ in got) == 3
+    assert sorted(got) == sorted((r.lang, r.text) for r in language_id.sample(df.distinct(), 40, common.Durable(spark, "t")).collect())
+    assert set(language_id.train(df, language_id.default_path(), 40, 1)) == {"en", "fr"}
+
+
 def test_language_awkward(awkward, texts):
     got = {r.doc_id: r for r in language_id.learn_and_identify(awkward).collect()}
     assert got[200].lang_pred == got[201].lang_pred == got[202].lang_pred == "und" and got[200].score == 0.0
