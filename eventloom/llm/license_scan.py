@@ -2,7 +2,8 @@
 
 Each license of the table gives rules for its identifier tag, its address, its name and its short name beside the word
 "license"; further rules are written out. One Aho-Corasick pass finds the rules' keywords; only rules whose keyword
-occurs run their regular expression, on the whole lower-cased text. Detections are taken by priority, then length, then
+occurs run their regular expression, on the whole lower-cased text, whose blank runs and line ends with comment marks
+count as one blank; places are those of the lower-cased text as it stands. Detections are taken by priority, then length, then
 start; one that lies inside a taken one is dropped.
 
 Base phrases (words standing one after the other) are reported besides: see BASE. Words are
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections.abc import Callable
 
 import ahocorasick
 import pyarrow as pa
@@ -22,7 +24,7 @@ from . import common
 
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Label, how the license is named in prose (regular expression), its keyword, and where it lives.
+#: Label, how the license is named in prose (regular expression), its keywords, and where it lives.
 LICENSES = [
     ("apache-1.1", r"apache (?:software )?licen[cs]e,? (?:version |v\.? ?)?1\.1", "apache", r"apache\.org/licenses/license-1\.1"),
     ("apache-2.0", r"apache (?:software )?licen[cs]e,? (?:version |v\.? ?)?2(?:\.0)?", "apache", r"apache\.org/licenses/license-2\.0"),
@@ -83,7 +85,7 @@ LICENSES = [
     ("vim", r"\bvim licen[cs]e", "vim licen", r"spdx\.org/licenses/vim"),
     ("w3c", r"w3c software (?:notice and )?licen[cs]e", "w3c software", r"w3\.org/consortium/legal/.{0,60}copyright-software"),
     ("qpl-1.0", r"\bq public licen[cs]e", "q public", r"opensource\.org/licenses/qpl-1\.0"),
-    ("rail", r"(?:responsible ai|open rail(?:-m)?) licen[cs]e", "rail", r"licenses\.ai"),
+    ("rail", r"(?:responsible ai|open rail(?:-m)?) licen[cs]e", "rail|responsible ai", r"licenses\.ai"),
 ]
 #: The parts of a Creative Commons license, and its versions.
 CC_PARTS, CC_VERSIONS = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd"), ("1.0", "2.0", "2.5", "3.0", "4.0")
@@ -111,7 +113,7 @@ GENERAL = [
 
 
 def rules() -> list[tuple[int, str, str, str, float]]:
-    """(priority, label, expression, keyword, weight), in order: tags 10, addresses 20, names 30, short names 50, general."""
+    """(priority, label, expression, keywords, weight), in order: tags 10, addresses 20, names 30, short names 50, general."""
     out = []
     for label, name, keyword, url in LICENSES:
         tag = re.escape(label)
@@ -131,12 +133,31 @@ def rules() -> list[tuple[int, str, str, str, float]]:
     return sorted(out, key=lambda r: r[0])
 
 
+#: What counts as one blank: a line end with the comment marks around it, and other runs of blanks but a lone space.
+_BREAK = re.compile(r"(?=\s)(?:(?:[^\S\r\n]+(?:[*#/|%;]+|-->))?[^\S\r\n]*[\r\n](?:\s|[*#/;%>|!]|--|<!|(?:dnl|rem)\s)*|\s{2,}|[^\S ])")
+
+
+def folded(text: str) -> tuple[str, Callable[[int], int]]:
+    """The text with each _BREAK as one blank, and the place in the text of each place in that."""
+    parts, at, size, after, gone = [], 0, 0, [0], [0]
+    for m in _BREAK.finditer(text):
+        parts += (text[at : m.start()], " ")
+        size += m.start() - at + 1
+        at = m.end()
+        after.append(size)
+        gone.append(at - size)
+    if not parts:
+        return text, lambda i: i
+    return "".join(parts) + text[at:], lambda i: i + gone[bisect_right(after, i) - 1]
+
+
 class Scanner:
     def __init__(self):
         self.rules = [(p, label, re.compile(expr), weight) for p, label, expr, _, weight in rules()]
         by_keyword: dict[str, list[int]] = {}
         for i, r in enumerate(rules()):
-            by_keyword.setdefault(r[3], []).append(i)
+            for keyword in r[3].split("|"):
+                by_keyword.setdefault(keyword, []).append(i)
         self.always = by_keyword.pop("", [])
         for short in [k for k in by_keyword if len(k) < 2]:
             self.always += by_keyword.pop(short)
@@ -149,6 +170,7 @@ class Scanner:
 
     def detections(self, text: str) -> list[tuple[int, int, str, float]]:
         """Kept (start, end, label, weight) of a lower-cased text, by start."""
+        text, place = folded(text)
         if not self.gate.search(text):
             return []
         todo = set(self.always)
@@ -164,7 +186,7 @@ class Scanner:
             if not best_end.covers(start, end):
                 best_end.add(start, end)
                 kept.append((start, end, label, weight))
-        return sorted(kept)
+        return sorted((place(start), place(end - 1) + 1, label, weight) for start, end, label, weight in kept)
 
 
 class _Cover:

@@ -50,6 +50,60 @@ def test_every_license_rule_passes_gate_and_keyword():
     assert len(license_scan.rules()) > 200
 
 
+def samples(expr):
+    """A text for each alternative of an expression, options taken and left out."""
+    from re import _constants as c, _parser as parser
+
+    def of(tree):
+        out = [""]
+        for op, v in tree:
+            if op is c.LITERAL:
+                own = [chr(v)]
+            elif op is c.IN:
+                own = [chr(x) if o is c.LITERAL else chr(x[0]) for o, x in v if o in (c.LITERAL, c.RANGE)] or ["x"]
+            elif op in (c.NOT_LITERAL, c.ANY):
+                own = ["x"]
+            elif op is c.AT:
+                own = [""]
+            elif op is c.BRANCH:
+                own = [x for t in v[1] for x in of(t)]
+            elif op is c.SUBPATTERN:
+                own = of(v[3])
+            else:
+                assert op is c.MAX_REPEAT, op
+                few, most, t = v
+                own = ([""] if few == 0 else []) + ([x * max(1, few) for x in of(t)] if most else [])
+            out = [a + b for a in out for b in own]
+        return list(dict.fromkeys(out))
+
+    return of(parser.parse(expr))
+
+
+def test_every_alternative_of_each_rule_passes_gate_and_keyword():
+    s = license_scan.Scanner()
+    for priority, label, expr, keywords, _ in license_scan.rules():
+        for text in samples(expr):
+            text = f"{text} " if text[-1:].isalnum() else text
+            for gap in (" ", "  ", "\n", "\r\n * ", " */\n# // "):
+                got = text.strip().replace(" ", gap)
+                flat = license_scan.folded(got)[0]
+                assert s.gate.search(flat) and any(k in flat for k in keywords.split("|")), (label, expr, got)
+
+
+@pytest.mark.parametrize(
+    "text, label, found",
+    [
+        ("under the general public\nlicense version 3 or", "gpl-3.0", "general public\nlicense version 3"),
+        ("x\n * Creative  Commons\n * Attribution-ShareAlike 4.0\n", "cc-by-sa-4.0", "creative  commons\n * attribution-sharealike 4.0"),
+        ("# redistribution and use in source\n# and binary forms", "bsd-grant", "redistribution and use in source\n# and binary forms"),
+        ("the Responsible AI License here", "rail", "responsible ai license"),
+    ],
+)
+def test_license_rules_over_line_ends(text, label, found):
+    got = [x for x in license_scan.Scanner().detections(text.lower()) if x[2] == label]
+    assert [text.lower()[a:b] for a, b, *_ in got] == [found]
+
+
 def luhn(d):
     return sum(int(c) * (1 + i % 2) - 9 * (int(c) * (1 + i % 2) > 9) for i, c in enumerate(reversed(d))) % 10 == 0
 
