@@ -30,10 +30,12 @@ def id_text(docs: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one of our own only where that is unset (tests, local mode)."""
+    """The folder in spark.checkpoint.dir; where that is unset, a temporary one in local mode, an error on a cluster."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     own = getattr(spark, "_eventloom_dir", None)
     if own is None:
         own = spark._eventloom_dir = "file://" + tempfile.mkdtemp(prefix="eventloom-")
@@ -65,7 +67,7 @@ class Durable:
         self.n += 1
         path = f"{self.base}/{self.n}"
         if rows is not None:
-            df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
+            df = df.repartition(max(1, -(-rows // FILE_ROWS)))
         df.write.parquet(path)
         if replaces:
             _delete(self.spark, replaces)

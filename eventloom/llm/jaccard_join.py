@@ -8,13 +8,15 @@ depends on a segment's contents alone (many shingles before few), so the cheapes
 both. For small sets, segments with their one-deletion neighbourhoods cost less: there (k + 1) / 2 segments do, since one
 of them differs by at most one shingle. A cost estimate decides for each band.
 
-Nothing is lost, and no group is expanded into all its pairs: sets with equal hashes are one class; in each bucket of a
+Nothing is lost, and no group is expanded into all its pairs: sets of equal 128-bit content are one class; in each bucket of a
 signature first the smallest class is compared with the others, then each class that is not yet in the bucket's main
 component with its likeliest partner elsewhere, and at last all pairs whose ends are still in different components and
 whose parity sketches allow a link. Comparisons are exact, on the whole sets.
 
 Words are [^\\x20\\x09-\\x0D]+ after lower-casing A-Z. With fewer than five words the whole sequence is the only shingle.
-Null, empty and blank texts have no set and link with nothing. Ties go to the smallest doc_id.
+Null, empty and blank texts have no set and link with nothing. Ties go to the smallest doc_id. Rows without a doc_id get
+their set's size and a null component. Rows that repeat a doc_id each get a row; different texts under one id are
+separate texts, whose components may meet in that number.
 """
 
 from __future__ import annotations
@@ -36,6 +38,10 @@ LINK = Fraction(4, 5)
 SKETCH_BITS = 2048
 #: Bytes of signatures in a partition, documents whose signatures are sent together, and members compared with one leader in a task.
 PART_BYTES, SEND_ROWS, MEMBERS = 16 << 20, 2048, 256
+#: Bytes of a part that a task takes at a time; bytes of text for each word, to size parts.
+CHUNK_BYTES, WORD_BYTES = 64 << 20, 6
+#: Members of a bucket, and members outside its largest component, that are compared in one group.
+UNIT, OUTSIDE = 4096, 512
 #: Shuffle partitions at most; each serves several parts beyond.
 MOST_PARTITIONS = 20_000
 #: What a false candidate costs, in signatures.
@@ -70,8 +76,9 @@ def shingler() -> Shingler:
     return common.resident("shingler", Shingler)
 
 
-def set_key(s: np.ndarray) -> int:
-    return int(np.array([xxhash.xxh64_intdigest(s.tobytes())], np.uint64).view(np.int64)[0])
+def set_key(s: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set's content, as two signed numbers."""
+    return tuple(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64).tolist())
 
 
 def sketch(s: np.ndarray) -> bytes:
@@ -161,136 +168,206 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return both * LINK.denominator >= LINK.numerator * (len(a) + len(b) - both)
 
 
-def doc_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key (null without a set), sketch."""
+#: A row of a document (its set's size, 128-bit key, band and sketch) or, where part isn't null, signatures on their way.
+PASS = "doc_id long, text_hash long, n_shingles long, key long, key2 long, band int, sketch binary, part int, payload binary"
+NAMES = [c.split()[0] for c in PASS.split(", ")]
 
-    def start():
-        make = shingler()
-
-        def step(b: pa.RecordBatch):
-            sets = [make(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()), pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())],
-                ["doc_id", "n_shingles", "set_key", "sketch"],
-            )
-
-        return step
-
-    return common.map_rows(common.id_text(docs), "doc_id long, n_shingles long, set_key long, sketch binary", start)
 
+def one_pass(docs: DataFrame, parts: int) -> DataFrame:
+    """Shingles each text once: a row for each document, and payloads of (signature, key) pairs packed by the part that they go to.
 
-def sent_signatures(docs: DataFrame, parts: int) -> DataFrame:
-    """part, payload: pairs of signature and set key, packed by the part that they go to. Equal sets of a task go once."""
+    Equal sets of a task send their signatures once.
+    """
+    rows = common.id_text(docs).withColumn("text_hash", F.xxhash64("text"))
 
     def start():
         make, seen = shingler(), set()
 
         def step(b: pa.RecordBatch):
-            sigs, keys = [], []
+            size, k1, k2, band, sketches, sigs, sent = [], [], [], [], [], [], []
             for t in b.column(1).to_pylist():
                 s = make(t)
+                size.append(len(s))
                 if not len(s):
+                    for c in (k1, k2, band, sketches):
+                        c.append(None)
                     continue
                 key = set_key(s)
+                k1.append(key[0])
+                k2.append(key[1])
+                band.append(band_of(len(s)))
+                sketches.append(sketch(s))
                 if key in seen:
                     continue
                 if len(seen) < 500_000:  # beyond, equal sets go again, which changes nothing
                     seen.add(key)
                 own = signatures(s)
                 sigs.append(own)
-                keys.append(np.full(len(own), key, np.int64))
-            if not sigs:
-                return
-            sig, key = np.concatenate(sigs), np.concatenate(keys)
-            part = (sig % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            both = np.stack([sig.view(np.int64), key], 1)[order]
-            cut = np.searchsorted(part[order], np.arange(parts + 1))
-            got = [p for p in range(parts) if cut[p] < cut[p + 1]]
-            yield pa.RecordBatch.from_arrays([pa.array(got, pa.int32()), pa.array([both[cut[p] : cut[p + 1]].tobytes() for p in got], pa.binary())], ["part", "payload"])
+                sent.append(np.full(len(own), key[0], np.int64))
+            n = len(size)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(2), pa.array(size, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(band, pa.int32()), pa.array(sketches, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                NAMES,
+            )
+            if sigs:
+                got, payload = dealt(np.concatenate(sigs), np.concatenate(sent), parts)
+                n = len(got)
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(n, k) for k in (pa.int64(),) * 5), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(got, pa.int32()), pa.array(payload, pa.binary())], NAMES)
 
         return step
 
-    return common.map_rows(common.id_text(docs), "part int, payload binary", start, SEND_ROWS)
-
-
-def _buckets(payloads: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Of one part: distinct (smallest, other) pairs of its buckets, and the distinct buckets of three classes or more."""
-    both = np.frombuffer(b"".join(payloads), np.int64).reshape(-1, 2)
-    both = both[np.lexsort((both[:, 1], both[:, 0]))]
-    new_sig = np.concatenate([[True], both[1:, 0] != both[:-1, 0]])
-    fresh = new_sig | np.concatenate([[True], both[1:, 1] != both[:-1, 1]])
-    key, head = both[fresh, 1], new_sig[fresh]
-    at = np.flatnonzero(head)
-    size = np.diff(np.append(at, len(key)))
-    pick = np.repeat(size > 1, size) & ~head
-    pairs = np.unique(np.stack([np.repeat(key[at], size)[pick], key[pick]], 1), axis=0) if pick.any() else np.empty((0, 2), np.int64)
-    known, lists = set(), []
-    for i in np.flatnonzero(size > 2):
-        members = key[at[i] : at[i] + size[i]]
-        mark = xxhash.xxh64_intdigest(members.tobytes())
-        if mark not in known:
-            known.add(mark)
-            lists.append(members)
-    return pairs, lists
-
-
-def candidates(sent: DataFrame, parts: int) -> DataFrame:
-    """a, b (a the smallest of a bucket, b another) or members (a bucket of three or more); each once a part.
-
-    A task takes its parts one after the other, so it holds about PART_BYTES however many parts there are.
+    return common.map_rows(rows, PASS, start, SEND_ROWS)
+
+
+def dealt(sig: np.ndarray, key: np.ndarray, parts: int) -> tuple[list[int], list[bytes]]:
+    """The parts that signatures go to, and the (signature, key) pairs of each."""
+    part = (sig % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    both = np.stack([sig.view(np.int64), key], 1)[order]
+    cut = np.searchsorted(part[order], np.arange(parts + 1))
+    got = np.flatnonzero(cut[1:] > cut[:-1]).tolist()
+    return got, [both[cut[p] : cut[p + 1]].tobytes() for p in got]
+
+
+def classes_of(sets: DataFrame, store: common.Durable) -> tuple[DataFrame, DataFrame]:
+    """The classes of equal sets: v, key, key2, rep (a smallest doc_id), n_shingles, band, sketch; and those of them that share `key` with another.
+
+    Payloads name a class by `key` alone, so v is `key` but for the second and further sets of one key, which get a
+    number of their own; their signatures are sent once more under it.
+    """
+    every = sets.where("key is not null and doc_id is not null").groupBy("key", "key2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("band").alias("band"), F.first("sketch").alias("sketch"))
+    every = store.put(every)
+    shared = every.groupBy("key").agg(F.count("*").alias("n"), F.min("key2").alias("first2")).where("n > 1").select("key", "first2")
+    shared = store.put(shared)
+    if shared.isEmpty():
+        return every.withColumn("v", F.col("key")), every.limit(0).withColumn("v", F.col("key"))
+    named = every.join(shared, "key", "left").withColumn("v", F.when(F.col("key2") > F.col("first2"), F.xxhash64("key", "key2")).otherwise(F.col("key")))
+    named = store.put(named)
+    return named.drop("first2"), named.where("v <> key").drop("first2")
+
+
+def sent_again(docs: DataFrame, later: DataFrame, parts: int) -> DataFrame:
+    """part, payload of the classes that share another's key, under their own v."""
+    rows = common.id_text(docs).join(later.select(F.col("rep").alias("doc_id"), "v", "key", "key2"), "doc_id").select("v", "key", "key2", "text")
+
+    def start():
+        make = shingler()
+
+        def step(b: pa.RecordBatch):
+            sigs, sent = [], []
+            for v, k1, k2, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                s = make(t)
+                if set_key(s) == (k1, k2):
+                    sigs.append(signatures(s))
+                    sent.append(np.full(len(sigs[-1]), v, np.int64))
+            if sigs:
+                got, payload = dealt(np.concatenate(sigs), np.concatenate(sent), parts)
+                yield pa.RecordBatch.from_arrays([pa.array(got, pa.int32()), pa.array(payload, pa.binary())], ["part", "payload"])
+
+        return step
+
+    return common.map_rows(rows, "part int, payload binary", start, SEND_ROWS)
+
+
+class Buckets:
+    """The buckets of one part, taken in as many chunks as it has. Between chunks only each signature's smallest key is kept."""
+
+    def __init__(self):
+        self.carried = np.empty((0, 2), np.int64)
+        self.chunks = 0
+
+    def add(self, payloads: list[bytes], last: bool) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+        """Distinct (smallest, other) pairs, and the distinct buckets of three keys or more, each with a number.
+
+        A bucket that comes in one chunk is numbered by its members, so equal buckets are one; where a part has several
+        chunks, pieces of a bucket have the signature as their number, however small they are.
+        """
+        whole = last and not self.chunks
+        self.chunks += 1
+        both = np.concatenate([self.carried, np.frombuffer(b"".join(payloads), np.int64).reshape(-1, 2)])
+        both = both[np.lexsort((both[:, 1], both[:, 0]))]
+        new_sig = np.concatenate([[True], both[1:, 0] != both[:-1, 0]])
+        fresh = new_sig | np.concatenate([[True], both[1:, 1] != both[:-1, 1]])
+        sig, key, head = both[fresh, 0], both[fresh, 1], new_sig[fresh]
+        at = np.flatnonzero(head)
+        if not last:
+            self.carried = np.stack([sig[at], key[at]], 1)
+        size = np.diff(np.append(at, len(key)))
+        pick = np.repeat(size > 1, size) & ~head
+        pairs = np.unique(np.stack([np.repeat(key[at], size)[pick], key[pick]], 1), axis=0) if pick.any() else np.empty((0, 2), np.int64)
+        known, lists = set(), []
+        for i in np.flatnonzero(size > (2 if whole else 1)):
+            members = key[at[i] : at[i] + size[i]]
+            mark = xxhash.xxh3_64_intdigest(members.tobytes()) if whole else (int(sig[at[i]]) & 0xFFFFFFFFFFFFFFFF)
+            if mark not in known:
+                known.add(mark)
+                lists.append((mark - (1 << 64) if mark >> 63 else mark, members))
+        return pairs, lists
+
+
+def candidates(sent: DataFrame, parts: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """a, b (a the smallest of a bucket, b another) or bucket, members (of a bucket of three or more); each once a part.
+
+    A task takes its parts one after the other and each in chunks of chunk_bytes, so its memory follows neither their
+    number nor the size of a bucket.
     """
 
     def run(batches):
-        part, held = None, []
+        part, held, size, own = None, [], 0, Buckets()
 
-        def flush():
-            pairs, lists = _buckets(held)
+        def flush(last: bool):
+            pairs, lists = own.add(held, last)
             held.clear()
             for i in range(0, len(pairs), 50_000):
-                own = pairs[i : i + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(own[:, 0]), pa.array(own[:, 1]), pa.nulls(len(own), pa.list_(pa.int64()))], ["a", "b", "members"])
-            for i in range(0, len(lists), 2_000):
-                own = [m.tolist() for m in lists[i : i + 2_000]]
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(own), pa.int64()), pa.nulls(len(own), pa.int64()), pa.array(own, pa.list_(pa.int64()))], ["a", "b", "members"])
+                p = pairs[i : i + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1]), pa.nulls(len(p), pa.int64()), pa.nulls(len(p), pa.list_(pa.int64()))], ["a", "b", "bucket", "members"])
+            cut = [(mark, m[k : k + 100_000]) for mark, m in lists for k in range(0, len(m), 100_000)]
+            for i in range(0, len(cut), 2_000):
+                p = cut[i : i + 2_000]
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(p), pa.int64()), pa.nulls(len(p), pa.int64()), pa.array([k for k, _ in p], pa.int64()), pa.array([m.tolist() for _, m in p], pa.list_(pa.int64()))], ["a", "b", "bucket", "members"])
 
         for batch in batches:
             for p, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if held and p != part:
-                    yield from flush()
+                if part is not None and p != part:
+                    yield from flush(True)
+                    own, size = Buckets(), 0
+                elif size >= chunk_bytes:
+                    yield from flush(False)
+                    size = 0
                 part = p
                 held.append(x)
-        if held:
-            yield from flush()
+                size += len(x)
+        if part is not None:
+            yield from flush(True)
 
-    dealt = sent.repartition(min(parts, MOST_PARTITIONS), "part").sortWithinPartitions("part")
-    return dealt.mapInArrow(run, "a long, b long, members array<long>")
+    dealt_out = sent.repartition(min(parts, MOST_PARTITIONS), "part").sortWithinPartitions("part")
+    return dealt_out.mapInArrow(run, "a long, b long, bucket long, members array<long>")
 
 
 def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, store: common.Durable) -> DataFrame:
-    """Those of the pairs (a, b of set keys) whose sets link, by comparing the whole sets.
+    """Those of the pairs (a, b of classes' v) whose sets link, by comparing the whole sets.
 
     Members travel to their leader as texts, at most about MEMBERS to one task's leader at a time.
     """
-    needed = pairs.select(F.col("a").alias("set_key")).union(pairs.select(F.col("b").alias("set_key"))).distinct()
+    needed = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
     most = pairs.count()
-    needed = store.put(needed.join(reps.select("set_key", "rep"), "set_key"), rows=2 * most)
-    few = needed.count() <= 500_000  # at most 8 MB of ids; a shuffle join beyond
+    needed = store.put(needed.join(reps.select("v", "key", "key2", "rep"), "v"), rows=2 * most)
+    few = needed.count() <= 500_000  # at most 16 MB of numbers; a shuffle join beyond
     texts = common.id_text(docs).withColumnRenamed("doc_id", "rep").join(F.broadcast(needed) if few else needed, "rep")
-    texts = store.put(texts.select("set_key", "text"))
+    texts = store.put(texts.select("v", F.struct("key", "key2", "text").alias("own")))
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("salts"))
     dealt = store.put(pairs.join(salts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt")), rows=most)
-    leaders = dealt.select("a", "salt").distinct().join(texts, F.col("a") == F.col("set_key")).select("a", "salt", F.lit(0).alias("member"), F.col("a").alias("b"), "text")
-    members = dealt.join(texts, F.col("b") == F.col("set_key")).select("a", "salt", F.lit(1).alias("member"), "b", "text")
+    leaders = dealt.select("a", "salt").distinct().join(texts, F.col("a") == F.col("v")).select("a", "salt", F.lit(0).alias("member"), F.col("a").alias("b"), "own.*")
+    members = dealt.join(texts, F.col("b") == F.col("v")).select("a", "salt", F.lit(1).alias("member"), "b", "own.*")
     rows = leaders.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
 
     def run(batches):
         make, leader, of = shingler(), None, None
         for batch in batches:
             a, b = [], []
-            for ka, salt, member, kb, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for ka, salt, member, kb, k1, k2, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = make(text)
-                if set_key(own) != kb:  # another text under the same doc_id
+                if set_key(own) != (k1, k2):  # another text under the same doc_id
                     continue
                 if not member:
                     leader, of = own, (ka, salt)
@@ -329,87 +406,104 @@ def components(edges: DataFrame, store: common.Durable) -> DataFrame:
     return store.put(label, rows=vertices)
 
 
-def remaining(members: DataFrame, n_members: int, label: DataFrame, sets: DataFrame, store: common.Durable, nearest: bool) -> DataFrame:
-    """Pairs of a bucket's classes in different components whose sizes and sketches allow a link; each once.
+def remaining(members: DataFrame, n_members: int, label: DataFrame, reps: DataFrame, store: common.Durable, nearest: bool) -> DataFrame | None:
+    """Pairs of a bucket's classes in different components whose sizes and sketches allow a link, or None if no bucket has such classes.
 
-    members: bucket, set_key. nearest: only the likeliest partner of each class outside its bucket's most frequent component. It can't find every
+    members: bucket, v. nearest: only the likeliest partner of each class outside its bucket's most frequent component. It can't find every
     link, but after it few components are left, and so few pairs for the full pass.
+
+    A pair across components has an end outside any one component, so members outside the most frequent one meet all.
+    Buckets of more than UNIT members are split by size band (linked sets are in the same or neighbouring ones), and in
+    blocks of UNIT members and OUTSIDE of those outside; each pair of blocks is a group of its own.
     """
-    rows = members.join(label.withColumnRenamed("v", "set_key"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
+    rows = members.join(label, "v", "left").withColumn("label", F.coalesce("label", "v"))
     rows = store.put(rows, rows=n_members)
-    open_ = rows.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
-    rows = rows.join(open_, "bucket").join(sets, "set_key").repartition("bucket").sortWithinPartitions("bucket")
+    open_ = rows.groupBy("bucket", "label").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.sum("n").alias("size"), F.count("*").alias("labels"), F.max_by("label", F.struct("n", "label")).alias("main")).where("labels > 1")
+    open_ = store.put(open_.select("bucket", "size", "main"), rows=n_members)
+    largest = open_.agg(F.max("size")).first()[0]
+    if largest is None:
+        return None
+    rows = rows.join(open_, "bucket").join(reps.select("v", "n_shingles", "band", "sketch"), "v").withColumn("minor", F.col("label") != F.col("main"))
+    whole = rows.where(F.col("size") <= UNIT).withColumns({"sub": F.lit(0), "i": F.lit(0), "j": F.lit(0), "as_minor": F.col("minor"), "as_other": F.lit(True)})
+    columns = ["bucket", "sub", "i", "j", "as_minor", "as_other", "v", "label", "n_shingles", "sketch"]
+    units = whole.select(*columns)
+    if largest > UNIT:
+        hot = store.put(rows.where(F.col("size") > UNIT))
+        near = hot.where("minor").withColumn("sub", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+        others = hot.withColumn("sub", F.col("band"))
+        blocks = near.groupBy("bucket", "sub").agg(F.ceil(F.count("*") / OUTSIDE).cast("int").alias("ni")).join(others.groupBy("bucket", "sub").agg(F.ceil(F.count("*") / UNIT).cast("int").alias("nj")), ["bucket", "sub"])
+        blocks = store.put(blocks)
+        near = near.join(blocks, ["bucket", "sub"]).withColumns({"i": F.pmod(F.xxhash64("v"), F.col("ni")).cast("int"), "j": F.explode(F.sequence(F.lit(0), F.col("nj") - 1)), "as_minor": F.lit(True), "as_other": F.lit(False)})
+        others = others.join(blocks, ["bucket", "sub"]).withColumns({"j": F.pmod(F.xxhash64("v"), F.col("nj")).cast("int"), "i": F.explode(F.sequence(F.lit(0), F.col("ni") - 1)), "as_minor": F.lit(False), "as_other": F.lit(True)})
+        units = units.unionByName(near.select(*columns)).unionByName(others.select(*columns))
+    units = units.repartition("bucket", "sub", "i", "j").sortWithinPartitions("bucket", "sub", "i", "j")
     num, den = LINK.numerator, LINK.denominator
 
-    def pairs_of(part):
-        key, lab, n = (np.array(x, np.int64) for x in (part[1], part[2], part[3]))
-        bits = np.frombuffer(b"".join(part[4]), np.uint64).reshape(len(key), -1)
-        values, at, count = np.unique(lab, return_inverse=True, return_counts=True)
-        minor = np.flatnonzero(at != count.argmax())  # a pair across components has an end outside any one component
-        out = []
+    def pairs_of(unit: list[list]):
+        """Batches of (bucket, a of the members outside, b, bits apart)."""
+        minor, other = (np.flatnonzero(np.array(x, bool)) for x in unit[4:6])
+        key, lab, n = (np.array(x, np.int64) for x in unit[6:9])
+        bits = np.frombuffer(b"".join(unit[9]), np.uint64).reshape(len(key), -1)
         for i in range(0, len(minor), 256):
             own = minor[i : i + 256]
-            ok = (lab[own, None] != lab[None, :]) & (den * np.minimum(n[own, None], n[None, :]) >= num * np.maximum(n[own, None], n[None, :]))
+            ok = (lab[own, None] != lab[None, other]) & (den * np.minimum(n[own, None], n[None, other]) >= num * np.maximum(n[own, None], n[None, other]))
             x, y = np.nonzero(ok)
-            best = np.full(len(own), 1 << 40, np.int64)
+            y = other[y]
+            got = []
             for k in range(0, len(x), 1 << 16):
                 xs, ys = x[k : k + (1 << 16)], y[k : k + (1 << 16)]
                 apart = np.bitwise_count(bits[own[xs]] ^ bits[ys]).sum(1, dtype=np.int64)
                 near = (num + den) * apart <= (den - num) * (n[own[xs]] + n[ys])
-                if nearest:
-                    np.minimum.at(best, xs[near], apart[near] << 20 | ys[near])
-                else:
-                    out.append(np.stack([key[own[xs[near]]], key[ys[near]]], 1))
-            if nearest:
-                got = np.flatnonzero(best < 1 << 40)
-                out.append(np.stack([key[own[got]], key[best[got] & 0xFFFFF]], 1))
-        return np.sort(np.concatenate(out), 1) if out else np.empty((0, 2), np.int64)
+                got.append(np.stack([key[own[xs[near]]], key[ys[near]], apart[near]], 1))
+            found = np.concatenate(got) if got else np.empty((0, 3), np.int64)
+            if nearest and len(found):
+                found = found[np.lexsort((found[:, 1], found[:, 2], found[:, 0]))]
+                found = found[np.concatenate([[True], found[1:, 0] != found[:-1, 0]])]
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), unit[0][0], np.int64)), *(pa.array(found[:, k]) for k in range(3))], ["bucket", "a", "b", "apart"])
 
     def run(batches):
-        held: list[list] = [[], [], [], [], []]
-        found: list[np.ndarray] = []
-
-        def emit():
-            got = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
-            found.clear()
-            return pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], ["a", "b"])
-
-        def close():
-            found.append(pairs_of(held))
-            for c in held:
-                c.clear()
-
+        held: list[list] = [[] for _ in columns]
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held[0] and held[0][0] != row[0]:
-                    close()
-                    if sum(map(len, found)) > 1_000_000:
-                        yield emit()
+                if held[0] and tuple(c[0] for c in held[:4]) != row[:4]:
+                    yield from pairs_of(held)
+                    for c in held:
+                        c.clear()
                 for c, v in zip(held, row, strict=True):
                     c.append(v)
         if held[0]:
-            close()
-        yield emit()
+            yield from pairs_of(held)
 
-    return rows.select("bucket", "set_key", "label", "n_shingles", "sketch").mapInArrow(run, "a long, b long").distinct()
+    found = units.mapInArrow(run, "bucket long, a long, b long, apart long")
+    if nearest and largest > UNIT:
+        found = found.groupBy("bucket", "a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def link_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id: the smallest doc_id that links lead to."""
+def joined(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id of each row."""
     spark = docs.sparkSession
     store = common.Durable(spark, "jaccard")
-    sets = store.put(doc_sets(docs))
-    reps = store.put(sets.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
-    total = reps.agg(F.sum("n_shingles")).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total * 0.55 * 16 / PART_BYTES))
-    found = store.put(candidates(sent_signatures(docs, parts), parts))
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / WORD_BYTES * 0.55 * 16 / PART_BYTES))
+    passed = store.put(one_pass(docs, parts))
+    sets = passed.where("part is null").drop("part", "payload")
+    reps, later = classes_of(sets, store)
+    sent = passed.where("part is not null").select("part", "payload")
+    if not later.isEmpty():
+        sent = sent.unionByName(sent_again(docs, later, parts))
+    found = store.put(candidates(sent, parts))
     pairs = store.put(found.where("a is not null").select("a", "b").distinct(), rows=found.count())
     edges = verified(docs, reps, pairs, store)
     label = components(edges, store)
-    members = store.put(found.where("members is not null").select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("set_key")).distinct())
-    n_members, known = members.count(), reps.select("set_key", "n_shingles", "sketch")
+    members = store.put(found.where("members is not null").select("bucket", F.explode("members").alias("v")).distinct())
+    n_members = members.count()
     for nearest in (True, True, False):
-        rest = store.put(remaining(members, n_members, label, known, store, nearest).join(pairs, ["a", "b"], "left_anti"))
+        rest = remaining(members, n_members, label, reps, store, nearest)
+        if rest is None:
+            break
+        rest = store.put(rest.join(pairs, ["a", "b"], "left_anti"))
         if rest.isEmpty():
             continue
         more = verified(docs, reps, rest, store)
@@ -417,15 +511,34 @@ def link_components(docs: DataFrame) -> DataFrame:
         if not more.isEmpty():
             edges = edges.unionByName(more)
             label = components(edges, store)
-    named = label.join(reps.select(F.col("set_key").alias("v"), "rep"), "v")
+    named = label.join(reps.select("v", "rep"), "v")
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    classes = reps.select("set_key", "rep").join(named.select(F.col("v").alias("set_key"), "label").join(smallest, "label").select("set_key", "component_id"), "set_key", "left")
-    classes = store.put(classes.select("set_key", F.coalesce("component_id", "rep").alias("component_id")))
-    store.keep(sets, classes)
-    return sets.join(classes, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    classes = reps.select("v", "key", "key2", "rep").join(named.select("v", "label").join(smallest, "label").select("v", "component_id"), "v", "left")
+    classes = store.put(classes.select("key", "key2", F.coalesce("component_id", "rep").alias("component_id")))
+    store.keep(passed, classes)
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return sets.join(classes, ["key", "key2"], "left").select("doc_id", "text_hash", "n_shingles", component.alias("component_id"))
+
+
+def link_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id: the smallest doc_id that links lead to; one row for each row of docs."""
+    return joined(docs).drop("text_hash")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The document with the smallest doc_id of each component, all columns; of rows with the same doc_id one."""
-    first = link_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    return docs.join(first, docs["doc_id"].cast("long") == first["_first"], "left_semi").dropDuplicates(["doc_id"])
+    """Of each component the document with the smallest doc_id, all columns. Rows without an id stay.
+
+    Rows that repeat both id and text count once (which of them, if other columns differ, is left open); of different
+    texts under one id each is judged by its own component. Only rows with such a repeated id and text are shuffled.
+    """
+    store = common.Durable(docs.sparkSession, "jaccard-kept")
+    judged = store.put(joined(docs).where("doc_id is not null").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg((F.max("component_id") < F.col("_id")).alias("_gone"), (F.count("*") > 1).alias("_again")))
+
+    def of(df: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        return df.join(some, (df["doc_id"].cast("long") == some["_id"]) & (F.xxhash64(df["text"].cast("string")) == some["_hash"]), how)
+
+    kept = of(docs, judged.where("_gone").select("_id", "_hash"), "left_anti")
+    again = store.put(judged.where("_again and not _gone").select("_id", "_hash"))
+    if again.isEmpty():
+        return kept
+    return of(kept, again, "left_anti").unionByName(of(kept, again, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -96,6 +96,50 @@ def test_chain_needs_the_second_round(spark):
     assert got == brute(rows)
 
 
+def components_by(J, spark, rows):
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in J.link_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+
+def test_keys_that_collide_change_nothing(spark, monkeypatch):
+    rows, whole = near_copies(8, 160), J.set_key
+    monkeypatch.setattr(J, "set_key", lambda s: (whole(s)[0] % 7, whole(s)[1]))
+    assert components_by(J, spark, rows) == brute(rows)
+
+
+def test_hot_buckets_in_chunks_and_blocks(spark, monkeypatch):
+    rows, candidates = near_copies(9, 300), J.candidates
+    monkeypatch.setattr(J, "candidates", lambda sent, parts: candidates(sent, parts, chunk_bytes=200))
+    monkeypatch.setattr(J, "UNIT", 6)
+    monkeypatch.setattr(J, "OUTSIDE", 2)
+    assert components_by(J, spark, rows) == brute(rows)
+
+
+def test_chunks_keep_every_link_of_a_bucket():
+    sig = np.array([5, 5, 5, 9, 5, 9, 9, 5], np.int64)
+    key = np.array([3, 1, 2, 40, 7, 41, 42, 0], np.int64)
+    own, pairs, members = J.Buckets(), set(), {}
+    for k in range(0, 8, 2):
+        got, lists = own.add([np.stack([sig[k : k + 2], key[k : k + 2]], 1).tobytes()], k == 6)
+        pairs |= {tuple(p) for p in got.tolist()}
+        for mark, m in lists:
+            members.setdefault(mark, set()).update(m.tolist())
+    assert members == {5: {0, 1, 2, 3, 7}, 9: {40, 41, 42}}
+    parent = {}
+    for a, b in pairs:
+        parent[b] = min(a, parent.get(b, a))
+    assert set(parent) == {1, 2, 3, 7, 41, 42}
+
+
+def test_null_and_repeated_ids(spark):
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(None, a), (None, a), (None, None), (5, a), (5, b), (3, b), (7, a), (7, a), (8, "x y z"), (8, "x y z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id) for r in J.link_components(docs).collect())
+    assert got == [(False, 3, 2, 3), (False, 5, 2, 3), (False, 5, 2, 5), (False, 7, 2, 5), (False, 7, 2, 5), (False, 8, 1, 8), (False, 8, 1, 8), (True, 0, 0, None), (True, 0, 2, None), (True, 0, 2, None)]
+    kept = sorted(((r.doc_id is None, r.doc_id or 0, r.text or "") for r in J.one_of_each(docs).collect()))
+    assert kept == [(False, 3, b), (False, 5, a), (False, 8, "x y z"), (True, 0, ""), (True, 0, a), (True, 0, a)]
+
+
 def test_awkward(awkward, texts):
     got = J.link_components(awkward)
     rows = got.collect()
