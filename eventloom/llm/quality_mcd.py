@@ -1,19 +1,23 @@
 """Quality rules as robust multivariate outliers, with DataFrame functions only.
 
-Text statistics are computed in one pass over the texts and written once. For each language and source a minimum
-covariance determinant estimate is found by concentration steps: the start is the medians and absolute deviations, then
-mean and covariance of the three quarters of rows that lie nearest, again and again. A row is kept if its squared
-Mahalanobis distance stays under the cut. Covariances are inverted by a Cholesky factor written out as columns. Only
-the table of estimates is joined back, broadcast while it is small, so the rows of a hot group stay where they are.
+Text statistics are computed in one pass over the texts and written once. For each language and source the minimum
+covariance determinant estimate is sought by concentration steps: mean and covariance of the three quarters of rows that
+lie nearest, again and again, which never raises the determinant. There are STARTS starts: medians and absolute
+deviations, and STARTS - 1 elemental sets of six rows, drawn by hashes. All take FIRST steps; of each group the start
+with the least determinant goes on until no group's determinant changes. A row is kept if its squared Mahalanobis
+distance stays under the cut. Covariances are inverted by a Cholesky factor written out as columns. Quantiles are counts
+of narrow bins, so they don't depend on how partial results are merged. Only the tables of estimates and radii are joined
+back, broadcast while they are small, so the rows of a hot group stay where they are.
 
 Rows fail the base rules with fewer than 50 words or more than half of their words in repeated three-word windows; they
-neither shape the estimates nor are kept. Groups of fewer than `min_group` rows share their language's estimate. Null
-texts have no words; null languages and sources are groups of their own.
+neither shape the estimates nor are kept. A group of fewer than `min_group` sound rows is judged by the estimate of all
+rows of its language, and a language of fewer by that of all rows. Null texts have no words; null languages and sources
+are groups of their own; repeated rows each count and each get a row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -22,13 +26,22 @@ _BLANKS = " \t\n\x0b\x0c\r"
 _WORD_GAP = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: Transformed statistics, and the least variance that an estimate may give them: what is rarely nonzero has none else.
-FEATURES = {"f_words": 0.5, "f_length": 0.01, "f_symbols": 0.5, "f_lines": 0.5, "f_repeats": 0.5}
+#: Each alone can pass the cut: at 38 % duplicate lines, at 29 % repeated words, at one symbol for five words where others have none.
+FEATURES = {"f_words": 0.25, "f_length": 0.01, "f_symbols": 0.25, "f_lines": 0.1, "f_repeats": 0.1}
 #: Share of rows in a concentration step; squared distance beyond which a row is an outlier (chi-squared of 5, 1e-6).
 CORE, CUT = 0.75, 35.9
+#: Starts, steps that all of them take, and rows of an elemental set.
+STARTS, FIRST, ELEMENTAL = 5, 2, 6
 #: Most groups whose estimates are broadcast.
 GROUPS = 100_000
 #: Makes the covariance of the nearest three quarters that of all rows, for normal data of five dimensions.
 CONSISTENCY = 1.6
+#: Bins for a unit of a statistic, and for a unit of the logarithm of a squared distance.
+FINE, BINS = 500, 200
+#: A step that changes no logarithm of a determinant by more is the last.
+STILL = 1e-3
+KEY = ["k_lang", "k_source"]
+_ANY = "\x00\x00"
 
 
 def text_stats(docs: DataFrame) -> DataFrame:
@@ -77,12 +90,12 @@ def _features() -> dict[str, Column]:
     }
 
 
-def _estimate(rows: DataFrame) -> DataFrame:
-    """Group, center m_* and Cholesky factor c_*_* of the (floored) covariance of the rows."""
+def _estimate(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Center m_* and Cholesky factor c_*_* of the (floored) covariance of the rows, for each key; and logdet."""
     names = list(FEATURES)
     aggs = [F.avg(f).alias(f"m_{f}") for f in names]
     aggs += [F.coalesce(F.covar_pop(a, b), F.lit(0.0)).alias(f"v_{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names) if j <= i]
-    return _cholesky(rows.groupBy("g_lang", "g_source").agg(*aggs), CONSISTENCY)
+    return _cholesky(rows.groupBy(*keys).agg(*aggs), CONSISTENCY)
 
 
 def _cholesky(est: DataFrame, scale: float) -> DataFrame:
@@ -93,7 +106,8 @@ def _cholesky(est: DataFrame, scale: float) -> DataFrame:
             for k in range(j):
                 v = v - F.col(f"c_{i}_{k}") * F.col(f"c_{j}_{k}")
             est = est.withColumn(f"c_{i}_{j}", F.sqrt(F.greatest(v, F.lit(1e-9))) if i == j else v / F.col(f"c_{j}_{j}"))
-    return est.drop(*(f"v_{i}_{j}" for i in range(len(names)) for j in range(i + 1)))
+    logdet = sum((2 * F.log(f"c_{i}_{i}") for i in range(len(names))), F.lit(0.0))
+    return est.drop(*(f"v_{i}_{j}" for i in range(len(names)) for j in range(i + 1))).withColumn("logdet", logdet)
 
 
 def _distance() -> Column:
@@ -111,37 +125,96 @@ def _distance() -> Column:
 
 
 def _small(groups: DataFrame) -> DataFrame:
-    """A table of one row a group, broadcast up to GROUPS rows (about 30 MB); beyond, Spark shuffles the join."""
+    """A table of a few rows a group, broadcast up to GROUPS rows (about 30 MB); beyond, Spark shuffles the join."""
     return F.broadcast(groups) if groups.count() <= GROUPS else groups
 
 
-def judge(docs: DataFrame, steps: int = 3, min_group: int = 40, cut: float = CUT) -> DataFrame:
+def _quantile(rows: DataFrame, keys: list[str], bin_: Column, share: float) -> DataFrame:
+    """keys and _q: the first bin at which a share of the key's rows is reached."""
+    counts = rows.groupBy(*keys, bin_.alias("_bin")).agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bin"))
+    whole = F.sum("_n").over(Window.partitionBy(*keys))
+    return counts.select(*keys, "_bin", upto.alias("_upto"), whole.alias("_all")).where(F.col("_upto") >= share * F.col("_all")).groupBy(*keys).agg(F.min("_bin").alias("_q"))
+
+
+def _starts(fit: DataFrame, store: common.Durable) -> DataFrame:
+    """An estimate for each key and start."""
+    names = list(FEATURES)
+    each = fit.select(*KEY, F.posexplode(F.array(*names)).alias("_f", "_x"))
+    middle = _quantile(each, [*KEY, "_f"], F.floor(F.col("_x") * FINE), 0.5).withColumn("_m", (F.col("_q") + 0.5) / FINE).drop("_q")
+    middle = store.put(middle)
+    apart = F.floor(F.abs(F.col("_x") - F.col("_m")) * FINE)
+    spread = _quantile(each.join(_small(middle), [*KEY, "_f"]), [*KEY, "_f"], apart, 0.5).withColumn("_d", (F.col("_q") + 0.5) / FINE).drop("_q")
+    both = middle.join(spread, [*KEY, "_f"])
+    of = lambda c, i: F.max(F.when(F.col("_f") == i, F.col(c)))
+    plain = both.groupBy(*KEY).agg(*(of("_m", i).alias(f"m_{f}") for i, f in enumerate(names)), *(of("_d", i).alias(f"d_{f}") for i, f in enumerate(names)))
+    for i, f in enumerate(names):
+        for j in range(i + 1):
+            plain = plain.withColumn(f"v_{i}_{j}", (1.4826 * F.col(f"d_{f}")) ** 2 if i == j else F.lit(0.0))
+    plain = _cholesky(plain.drop(*(f"d_{f}" for f in names)), 1.0).withColumn("start", F.lit(0))
+    row = F.struct(*names)
+    drawn = fit.groupBy(*KEY).agg(*(F.min_by(row, F.xxhash64("doc_id", *names, F.lit(s * ELEMENTAL + k))).alias(f"_{s}_{k}") for s in range(1, STARTS) for k in range(ELEMENTAL)))
+    drawn = drawn.select(*KEY, F.explode(F.array(*(F.struct(F.lit(s).alias("start"), F.array(*(F.col(f"_{s}_{k}") for k in range(ELEMENTAL))).alias("rows")) for s in range(1, STARTS)))).alias("_s"))
+    drawn = drawn.select(*KEY, "_s.start", F.explode("_s.rows").alias("_r")).select(*KEY, "start", "_r.*")
+    return store.put(plain.unionByName(_estimate(drawn, [*KEY, "start"])))
+
+
+def _step(fit: DataFrame, estimate: DataFrame, store: common.Durable) -> DataFrame:
+    """A concentration step of each key and start: the estimate of the CORE of rows nearest by the one before."""
+    keys = [*KEY, "start"]
+    at = fit.join(_small(estimate.drop("logdet")), KEY).withColumn("_b", F.floor(F.log1p(_distance()) * BINS)).select(*keys, *FEATURES, "_b")
+    radius = store.put(_quantile(at, keys, F.col("_b"), CORE))
+    return store.put(_estimate(at.join(_small(radius), keys).where("_b <= _q"), keys))
+
+
+def estimates(fit: DataFrame, store: common.Durable, max_steps: int) -> DataFrame:
+    """The minimum covariance determinant estimate of each key's rows (KEY, doc_id, FEATURES): m_*, c_*_*, logdet."""
+    estimate = _starts(fit, store)
+    for _ in range(FIRST):
+        estimate = _step(fit, estimate, store)
+    best = estimate.groupBy(*KEY).agg(F.min_by("start", F.struct("logdet", "start")).alias("start"))
+    estimate = store.put(estimate.join(best, [*KEY, "start"]))
+    for _ in range(max_steps):
+        new = _step(fit, estimate, store)
+        moved = new.join(estimate.select(*KEY, F.col("logdet").alias("_old")), KEY).agg(F.max(F.abs(F.col("logdet") - F.col("_old")))).first()[0]
+        estimate = new
+        if moved is None or moved <= STILL:
+            break
+    return estimate
+
+
+def _keyed(stats: DataFrame, min_group: int, store: common.Durable) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows with the key of the estimate that judges them, the sound rows of each key (a row may shape several), and the table of keys."""
+    sound = stats.where("not base_failed")
+    groups = store.put(sound.groupBy("g_lang", "g_source").agg(F.count("*").alias("n")))
+    langs = groups.groupBy("g_lang").agg(F.sum("n").alias("n_lang"))
+    own, lang = F.col("n") >= min_group, F.col("n_lang") >= min_group
+    keys = groups.join(langs, "g_lang").select("g_lang", "g_source", F.when(own | lang, F.col("g_lang")).otherwise(F.lit(_ANY)).alias("k_lang"), F.when(own, F.col("g_source")).otherwise(F.lit(_ANY)).alias("k_source"))
+    keys = store.put(keys)
+    rows = stats.join(_small(keys), ["g_lang", "g_source"], "left")
+    columns = [*KEY, "doc_id", *FEATURES]
+    shared = store.put(keys.where(F.col("k_source") == _ANY).select(*KEY).distinct())
+    fit = rows.where(~F.col("base_failed") & (F.col("k_source") != _ANY)).select(*columns)
+    if not shared.isEmpty():
+        by_lang = sound.join(_small(shared.where(F.col("k_lang") != _ANY)), F.col("g_lang") == F.col("k_lang")).select(*columns)
+        fit = fit.unionByName(by_lang)
+        if not shared.where(F.col("k_lang") == _ANY).isEmpty():
+            fit = fit.unionByName(sound.withColumns({k: F.lit(_ANY) for k in KEY}).select(*columns))
+    return rows, fit, keys
+
+
+def judge(docs: DataFrame, max_steps: int = 20, min_group: int = 40, cut: float = CUT) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance.
 
-    docs: doc_id, text, lang, source; other columns are left out.
+    docs: doc_id, text, lang, source; other columns are left out. max_steps: steps of the best starts at most, should
+    they not stand still before; the last estimate then counts.
     """
     store = common.Durable(docs.sparkSession, "mcd")
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(F.coalesce(F.col(c).cast("string"), F.lit("\x00")).alias(f"g_{c}") for c in ("lang", "source")))
     stats = store.put(text_stats(plain).drop("text").withColumns(_features()).withColumn("base_failed", base_failed()))
-    small = store.put(stats.where("not base_failed").groupBy("g_lang", "g_source").agg(F.count("*").alias("_n")))
-    rows = stats.join(_small(small.where(F.col("_n") >= min_group).drop("_n").withColumn("_own", F.lit(True))), ["g_lang", "g_source"], "left")
-    rows = rows.withColumn("g_source", F.when(F.col("_own"), F.col("g_source")).otherwise(F.lit("\x00\x00"))).drop("_own")
-    sound = rows.where("not base_failed")
-
-    middle = sound.groupBy("g_lang", "g_source").agg(*(F.percentile_approx(f, 0.5, 2000).alias(f"m_{f}") for f in FEATURES))
-    middle = store.put(middle)
-    spread = sound.join(_small(middle), ["g_lang", "g_source"]).groupBy("g_lang", "g_source").agg(
-        *(F.first(f"m_{f}").alias(f"m_{f}") for f in FEATURES), *(F.percentile_approx(F.abs(F.col(f) - F.col(f"m_{f}")), 0.5, 2000).alias(f"d_{f}") for f in FEATURES)
-    )
-    for i, f in enumerate(FEATURES):
-        for j in range(i + 1):
-            spread = spread.withColumn(f"v_{i}_{j}", (1.4826 * F.col(f"d_{f}")) ** 2 if i == j else F.lit(0.0))
-    estimate = store.put(_cholesky(spread.drop(*(f"d_{f}" for f in FEATURES)), 1.0))
-    for _ in range(steps):
-        at = sound.join(_small(estimate), ["g_lang", "g_source"]).withColumn("_d", _distance())
-        radius = store.put(at.groupBy("g_lang", "g_source").agg(F.percentile_approx("_d", CORE, 2000).alias("_r")))
-        estimate = store.put(_estimate(at.join(_small(radius), ["g_lang", "g_source"]).where("_d <= _r").select("g_lang", "g_source", *FEATURES)))
-    store.keep(stats, small, estimate)
-    judged = rows.join(_small(estimate), ["g_lang", "g_source"], "left").withColumn("distance", _distance())
+    rows, fit, keys = _keyed(stats, min_group, store)
+    estimate = estimates(store.put(fit), store, max_steps)
+    store.keep(stats, keys, estimate)
+    judged = rows.join(_small(estimate), KEY, "left").withColumn("distance", _distance())
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut, F.lit(True))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), F.when(~F.col("base_failed"), F.col("distance")).alias("distance"))

@@ -1,9 +1,12 @@
 """Rule operators against plain versions: op3, op5, op6, op7."""
 
 import hashlib
+import math
+import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,8 +125,6 @@ def base_spans(t):
 
 
 def made_texts(n=1500):
-    import random
-
     rng = random.Random(2)
     parts = ["a", "b.c", "@", "1", "23", "4111 1111 1111 1111", "4111111111111111", ".", " ", "-", "+1", "555", "x.y@z.com", "@q.r.s", "192.168.0.1", "256", "0", "é", "(", "😀", "_", "%"]
     return [(1000 + i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))) for i in range(n)]
@@ -244,8 +245,6 @@ def test_quality_base(awkward, texts):
 
 
 def test_quality_outliers(spark):
-    import random
-
     rng = random.Random(3)
     text = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
     rows = [(i, text(rng.randint(60, 400)), "en", f"s{i % 2}") for i in range(300)]
@@ -254,6 +253,68 @@ def test_quality_outliers(spark):
     assert sum(not got[i] for i in range(300)) <= 3 and not any(got[1000 + i] for i in range(12))
 
 
+def plain_mcd(x, floors, starts=60, seed=0):
+    """The least determinant over many random starts, each run until it stands still, and the squared distances of all rows by it."""
+    rng, h, best = np.random.default_rng(seed), math.ceil(quality_mcd.CORE * len(x)), None
+
+    def of(rows):
+        return rows.mean(0), quality_mcd.CONSISTENCY * np.cov(rows.T, bias=True) + np.diag(floors)
+
+    for _ in range(starts):
+        m, v = of(x[rng.choice(len(x), 6, replace=False)])
+        for _ in range(60):
+            d = np.einsum("ij,ij->i", (x - m) @ np.linalg.inv(v), x - m)
+            m, v = of(x[np.argsort(d, kind="stable")[:h]])
+        if best is None or np.linalg.slogdet(v)[1] < best[0]:
+            best = np.linalg.slogdet(v)[1], np.einsum("ij,ij->i", (x - m) @ np.linalg.inv(v), x - m)
+    return best
+
+
+def prose(rng, n, line=12):
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n)]
+    return "\n".join(" ".join(words[k : k + line]) for k in range(0, n, line))
+
+
+def test_quality_equals_a_plain_mcd(spark):
+    rng, rows = random.Random(5), []
+    for i in range(240):
+        t = prose(rng, round(160 * math.exp(rng.gauss(0, 0.3))))
+        if i % 5 == 0:
+            t = t.replace("a", "#")  # a cloud of outliers that would pull a classical estimate
+        rows.append((i, t, "en" if i % 2 else "de", "s"))
+    names = [*quality_mcd.FEATURES]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    x = {r.doc_id: [r[f] for f in names] for r in quality_mcd.text_stats(docs).withColumns(quality_mcd._features()).select("doc_id", *names).collect()}
+    got = {r.doc_id: r for r in quality_mcd.judge(docs).collect()}
+    for lang in (0, 1):
+        ids = [i for i in got if i % 2 == lang and not got[i].base_failed]
+        _, want = plain_mcd(np.array([x[i] for i in ids]), [*quality_mcd.FEATURES.values()])
+        mine = np.array([got[i].distance for i in ids])
+        assert np.allclose(mine, want, rtol=0.1, atol=0.2)
+        assert [got[i].kept for i in ids] == (want <= quality_mcd.CUT).tolist()
+
+
+def test_quality_each_statistic_can_reject_and_small_groups_share(spark):
+    rng = random.Random(6)
+    rows = [(i, prose(rng, rng.choice([80, 120, 200])), "en", "s") for i in range(120)]
+    lines = prose(rng, 60).split("\n")
+    block = "\n".join(["alpha beta gamma delta epsilon zeta eta theta iota kappa"] * 5)
+    bad = {
+        900: "\n".join(x for line in lines for x in (line, "-- next --")) + "\n-- next --" * 9,  # lines that repeat, few words in them
+        901: prose(rng, 70) + "\n" + " ".join(block.split("\n")),  # words that repeat
+        902: prose(rng, 9000),  # length
+        903: " ".join("x" * rng.randint(30, 40) for _ in range(80)),  # long words
+        904: prose(rng, 100).replace("a", "###"),  # symbols
+    }
+    junk = prose(rng, 100).replace("a", "####")
+    rows += [(i, t, "en", "s") for i, t in bad.items()] + [(950, junk, "en", "alone"), (951, junk, "xx", "alone"), (952, rows[0][1], "en", "alone"), (953, rows[0][1], None, None)]
+    got = {r.doc_id: r for r in quality_mcd.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert [i for i in range(120) if not got[i].kept] == []
+    assert [i for i in bad if got[i].kept and not got[i].base_failed] == []
+    assert [i for i in (*bad, 950, 951) if got[i].base_failed] == []
+    assert [got[i].kept for i in (950, 951, 952, 953)] == [False, False, True, True]
+
+
 def test_quality_is_native(awkward):
     plan = quality_mcd.text_stats(awkward)._jdf.queryExecution().executedPlan().toString() + pii.spans(awkward)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
