@@ -4,7 +4,7 @@ Text statistics are computed in one pass over the texts and written once. For ea
 covariance determinant estimate is sought by concentration steps: mean and covariance of the three quarters of rows that
 lie nearest, again and again, which never raises the determinant. There are STARTS starts: medians and absolute
 deviations, and STARTS - 1 elemental sets of six rows, drawn by hashes. All take FIRST steps; of each group the start
-with the least determinant goes on until no group's determinant changes. A row is kept if its squared Mahalanobis
+with the least determinant goes on until its determinant falls no more. A row is kept if its squared Mahalanobis
 distance stays under the cut. Covariances are inverted by a Cholesky factor written out as columns. Quantiles are counts
 of narrow bins, so they don't depend on how partial results are merged. Only the tables of estimates and radii are joined
 back, broadcast while they are small, so the rows of a hot group stay where they are.
@@ -38,8 +38,8 @@ GROUPS = 100_000
 CONSISTENCY = 1.6
 #: Bins for a unit of a statistic, and for a unit of the logarithm of a squared distance.
 FINE, BINS = 500, 200
-#: A step that changes no logarithm of a determinant by more is the last.
-STILL = 1e-3
+#: A group whose determinant's logarithm falls by no more in a step stands still and takes no further one.
+STILL = 0.01
 KEY = ["k_lang", "k_source"]
 _ANY = "\x00\x00"
 
@@ -174,12 +174,13 @@ def estimates(fit: DataFrame, store: common.Durable, max_steps: int) -> DataFram
         estimate = _step(fit, estimate, store)
     best = estimate.groupBy(*KEY).agg(F.min_by("start", F.struct("logdet", "start")).alias("start"))
     estimate = store.put(estimate.join(best, [*KEY, "start"]))
+    lower = estimate
     for _ in range(max_steps):
-        new = _step(fit, estimate, store)
-        moved = new.join(estimate.select(*KEY, F.col("logdet").alias("_old")), KEY).agg(F.max(F.abs(F.col("logdet") - F.col("_old")))).first()[0]
-        estimate = new
-        if moved is None or moved <= STILL:
+        new = _step(fit, lower, store).join(estimate.select(*KEY, F.col("logdet").alias("_old")), KEY)
+        lower = store.put(new.where(F.col("logdet") < F.col("_old") - STILL).drop("_old"))
+        if lower.isEmpty():
             break
+        estimate = store.put(estimate.join(lower.select(*KEY), KEY, "left_anti").unionByName(lower))
     return estimate
 
 
