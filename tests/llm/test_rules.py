@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -253,6 +254,31 @@ def test_quality_outliers(spark):
     assert sum(not got[i] for i in range(300)) <= 3 and not any(got[1000 + i] for i in range(12))
 
 
+def test_redaction_against_plain(spark):
+    rows = made_texts(400) + [(1, None), (2, ""), (3, "a@b.co"), (4, "é a@b.co 字 +1 (555) 123-4567 😀")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in pii.spans(docs).collect()}
+    for r in pii.redacted(docs).collect():
+        text, at, out = dict(rows)[r.doc_id], 0, ""
+        reach = 0
+        for kind, a, b in ((k, int(a), int(b)) for k, a, b in (x.split(":") for x in (spans[r.doc_id] or "").split(",") if x)):
+            if a >= reach:
+                out += text[at:a] + f"[{kind.upper()}]"
+                at = b
+            reach = max(reach, b)
+        assert r.text == (text if text is None else out + text[at:])
+
+
+def test_very_many_spans_take_linear_time(spark):
+    one = "write to someone@example.org or +1 (555) 123-4567 and card 4111 1111 1111 1111 "
+    docs = spark.createDataFrame([(1, one * 30_000)], "doc_id long, text string")  # 2.4 MB, 90,000 spans
+    began = time.time()
+    (r,) = pii.spans(docs).collect()
+    assert (r.n_email, r.n_phone, r.n_card) == (30_000,) * 3
+    assert pii.redacted(docs).first().text == "write to [EMAIL] or [PHONE] and card [CARD] " * 30_000
+    assert time.time() - began < 100
+
+
 def plain_mcd(x, floors, starts=60, seed=0):
     """The least determinant over many random starts, each run until it stands still, and the squared distances of all rows by it."""
     rng, h, best = np.random.default_rng(seed), math.ceil(quality_mcd.CORE * len(x)), None
