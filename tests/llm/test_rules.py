@@ -46,12 +46,32 @@ def test_license_rules(text, label, other):
     assert label in found and other not in found  # the weaker rule lies inside the stronger
 
 
-def test_every_license_rule_passes_gate_and_keyword():
+def test_every_license_tag_is_found():
     s = license_scan.Scanner()
-    for label, name, keyword, _ in license_scan.LICENSES:
-        plain = f"spdx-license-identifier: {label}"
-        assert label in {x[2] for x in s.detections(plain)}, label
-    assert len(license_scan.rules()) > 200
+    for label, *_ in license_scan.LICENSES:
+        assert label in {x[2] for x in s.detections(f"spdx-license-identifier: {label}")}, label
+
+
+def test_priority_and_containment_against_plain():
+    rng, s = random.Random(12), license_scan.Scanner()
+    bits = ["gnu general public license version 3", "general public license", "creative commons attribution 4.0", "cc-by-4.0", "licensed under the apache license, version 2.0", "mit license", "the", "copyright 2020", "all rights reserved", "as is"]
+    for _ in range(200):
+        text = " ".join(rng.choice(bits) for _ in range(rng.randint(1, 8)))
+        found = [(p, -(m.end() - m.start()), m.start(), m.end(), label) for p, label, expr, _, _ in license_scan.rules() for m in re.finditer(expr, text)]
+        kept = []
+        for x in sorted(found):
+            if not any(a <= x[2] and x[3] <= b for *_, a, b, _ in kept):
+                kept.append(x)
+        assert sorted((a, b, label) for *_, a, b, label in kept) == sorted(x[:3] for x in s.detections(text)), text
+
+
+def test_very_many_licenses_take_linear_time():
+    text = "This is under the MIT License, all rights reserved; see the GNU General Public License version 3. " * 50_000  # 4.9 MB
+    began = time.time()
+    found = license_scan.Scanner().detections(license_scan.lowered(text))
+    assert len(found) == 150_000
+    assert len(license_scan.base_places(license_scan.common.word_bytes(text))) == 100_000
+    assert time.time() - began < 60
 
 
 def samples(expr):
@@ -63,9 +83,10 @@ def samples(expr):
         for op, v in tree:
             if op is c.LITERAL:
                 own = [chr(v)]
-            elif op is c.IN:
-                own = [chr(x) if o is c.LITERAL else chr(x[0]) for o, x in v if o in (c.LITERAL, c.RANGE)] or ["x"]
-            elif op in (c.NOT_LITERAL, c.ANY):
+            elif op is c.IN and v[0][0] is not c.NEGATE:
+                kinds = {c.CATEGORY_NOT_WORD: "(", c.CATEGORY_SPACE: " ", c.CATEGORY_DIGIT: "7"}
+                own = [chr(x) if o is c.LITERAL else chr(x[0]) if o is c.RANGE else kinds.get(x, "x") for o, x in v]
+            elif op in (c.IN, c.NOT_LITERAL, c.ANY):
                 own = ["x"]
             elif op is c.AT:
                 own = [""]
@@ -74,7 +95,7 @@ def samples(expr):
             elif op is c.SUBPATTERN:
                 own = of(v[3])
             else:
-                assert op is c.MAX_REPEAT, op
+                assert op in (c.MAX_REPEAT, c.MIN_REPEAT), op
                 few, most, t = v
                 own = ([""] if few == 0 else []) + ([x * max(1, few) for x in of(t)] if most else [])
             out = [a + b for a in out for b in own]
@@ -83,15 +104,14 @@ def samples(expr):
     return of(parser.parse(expr))
 
 
-def test_every_alternative_of_each_rule_passes_gate_and_keyword():
-    s = license_scan.Scanner()
+def test_every_alternative_of_each_rule_has_its_keyword():
     for priority, label, expr, keywords, _ in license_scan.rules():
         for text in samples(expr):
             text = f"{text} " if text[-1:].isalnum() else text
             for gap in (" ", "  ", "\n", "\r\n * ", " */\n# // "):
                 got = text.strip().replace(" ", gap)
                 flat = license_scan.folded(got)[0]
-                assert s.gate.search(flat) and any(k in flat for k in keywords.split("|")), (label, expr, got)
+                assert re.search(expr, flat) and any(k in flat for k in keywords.split("|")), (label, expr, got)
 
 
 @pytest.mark.parametrize(
