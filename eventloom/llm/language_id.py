@@ -6,8 +6,9 @@ expectation-maximisation (forward-backward) on the word counts of a bounded samp
 `sample_rows` distinct texts of each language in the order of a hash, and all of a language that has fewer. So each
 language is learned whatever its share of the rows, and copies count once. E-steps run in tasks and are summed by Spark; the driver gets one number a piece and language.
 
-Words are runs of letters, lower-cased. Null texts and texts without a letter are `und` with score 0. Long texts cost a
-memo lookup a word. Equal likelihoods go to the first language by name.
+Words are runs of letters, lower-cased; in scripts without blanks that can be a whole text, whose sums are scaled as they
+go, so a word's length doesn't matter. Null texts and texts without a letter are `und` with score 0. Long texts cost a
+memo lookup a word. Equal likelihoods go to the first language by name; repeated rows each get theirs.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import math
 import unicodedata
 import uuid
 from collections import defaultdict
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +28,8 @@ from . import common
 from .vocabulary import MARK, PieceVocabulary, default_path
 
 _LETTERS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
-#: Words are scored in parts of so many characters, so probabilities can't underflow.
-PART = 24
+#: Places after which the forward sums of a word are scaled anew, so they can't underflow; letters of a word that is remembered.
+SCALED, LONG = 8, 64
 #: Probability of a character that is no piece, and what smooths each count.
 FLOOR, SMOOTH = 1e-9, 0.05
 
@@ -50,33 +52,39 @@ class Lattice:
     def __init__(self, path: str):
         self.vocab = PieceVocabulary(path)
 
-    def arcs(self, word: bytes) -> list[tuple[str, list[tuple[int, int, int]]]]:
-        """Parts of at most PART characters, each with (start, end, piece or -1) ordered by end."""
-        text, v, out = MARK + word.decode(), self.vocab, []
-        for at in range(0, len(text), PART):
-            part = text[at : at + PART]
-            arcs = [(last + 1 - v.length[p], last + 1, p) for last, p in v.automaton.iter(part)]
-            covered = {e for s, e, _ in arcs if e - s == 1}
-            arcs += [(i, i + 1, -1) for i in range(len(part)) if i + 1 not in covered]
-            arcs.sort(key=lambda a: a[1])
-            out.append((part, arcs))
-        return out
+        self.longest = max(self.vocab.length[i] for i in self.vocab.id_of.values())
+
+    def arcs(self, word: bytes) -> tuple[str, list[tuple[int, int, int]]]:
+        """The marked word and its arcs (start, end, piece or -1) ordered by end."""
+        text, v = MARK + word.decode(), self.vocab
+        arcs = [(last + 1 - v.length[p], last + 1, p) for last, p in v.automaton.iter(text)]
+        covered = {e for s, e, _ in arcs if e - s == 1}
+        arcs += [(i, i + 1, -1) for i in range(len(text)) if i + 1 not in covered]
+        arcs.sort(key=lambda a: a[1])
+        return text, arcs
+
+
+def _log_sums(n: int, steps: list[tuple[int, int, float]]) -> list[float]:
+    """The logarithm of the sum over all paths from 0 to each place, from steps (from, to, log probability) ordered by `to`."""
+    out = [0.0] + [-math.inf] * n
+    for to, own in groupby(steps, key=lambda x: x[1]):
+        terms = [out[a] + x for a, _, x in own]
+        top = max(terms)
+        out[to] = top + math.log(math.fsum(math.exp(t - top) for t in terms))
+    return out
 
 
 def expected_counts(lattice: Lattice, word: bytes, prob: dict[int, float] | None, floor: float) -> dict[int, float]:
     """Expected number of each piece over all segmentations of a word; prob None: all pieces alike."""
     counts: dict[int, float] = defaultdict(float)
-    for part, arcs in lattice.arcs(word):
-        n = len(part)
-        p = [(FLOOR if k < 0 else 1e-4 if prob is None else prob.get(k, floor)) for _, _, k in arcs]
-        fwd, bwd = [1.0] + [0.0] * n, [0.0] * n + [1.0]
-        for (s, e, _), x in zip(arcs, p, strict=True):
-            fwd[e] += fwd[s] * x
-        for (s, e, _), x in sorted(zip(arcs, p, strict=True), key=lambda a: -a[0][0]):
-            bwd[s] += x * bwd[e]
-        for (s, e, k), x in zip(arcs, p, strict=True):
-            if k >= 0:
-                counts[k] += fwd[s] * x * bwd[e] / fwd[n]
+    text, arcs = lattice.arcs(word)
+    n = len(text)
+    p = [math.log(FLOOR if k < 0 else 1e-4 if prob is None else prob.get(k, floor)) for _, _, k in arcs]
+    forward = _log_sums(n, [(s, e, x) for (s, e, _), x in zip(arcs, p, strict=True)])
+    backward = _log_sums(n, sorted(((n - e, n - s, x) for (s, e, _), x in zip(arcs, p, strict=True)), key=lambda x: x[1]))
+    for (s, e, k), x in zip(arcs, p, strict=True):
+        if k >= 0:
+            counts[k] += math.exp(forward[s] + x + backward[n - e] - forward[n])
     return counts
 
 
@@ -151,17 +159,12 @@ class Scorer:
                 if k >= 0:
                     self.table[k, j] = x
         self.table[-1] = FLOOR
-        self.cap, self.row = 300_000, {}
+        self.cap, self.used, self.row = 300_000, 0, {}
         self.value = np.empty((self.cap, len(self.langs)), np.float32)
 
     def forward(self, part_words: list[bytes]) -> np.ndarray:
         """Log-likelihoods of words in each language: one forward pass over all of them, by place in the word."""
-        v, texts, owner = self.lattice.vocab, [], []
-        for i, w in enumerate(part_words):
-            text = MARK + w.decode()
-            for at in range(0, len(text), PART):
-                texts.append(text[at : at + PART])
-                owner.append(i)
+        v, texts = self.lattice.vocab, [MARK + w.decode() for w in part_words]
         size = np.fromiter(map(len, texts), np.int64, len(texts))
         begin = np.concatenate([[0], np.cumsum(size + 1)])
         found = np.array(list(v.automaton.iter("\n".join(texts))), np.int64).reshape(-1, 2)
@@ -179,32 +182,43 @@ class Scorer:
         start, end, piece, place = start[order], end[order], piece[order], (end - begin[text_of])[order]
         alpha = np.zeros((begin[-1] + 1, len(self.langs)))
         alpha[begin[:-1]] = 1.0
-        bounds = np.searchsorted(place, np.arange(1, PART + 2))
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        longest = int(size.max(initial=0))
+        scale = np.zeros((len(texts), len(self.langs)))
+        bounds = np.searchsorted(place, np.arange(1, longest + 2))
+        for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True), 1):
             if b > a:
                 first = np.flatnonzero(np.concatenate([[True], end[a + 1 : b] != end[a : b - 1]]))
                 alpha[end[a:b][first]] = np.add.reduceat(alpha[start[a:b]] * self.table[piece[a:b]], first, axis=0)
-        logs = np.log(alpha[begin[:-1] + size])
-        out = np.zeros((len(part_words), len(self.langs)))
-        np.add.at(out, np.asarray(owner), logs)
-        return out
+            if k % SCALED == 0 and len(on := np.flatnonzero(size > k)):  # the sums that longer words still need, over the last of them
+                front = alpha[begin[on] + k]
+                scale[on] += np.log(front)
+                at = begin[on][:, None] + np.arange(max(0, k - self.lattice.longest), k + 1)[None, :]
+                alpha[at] /= front[:, None, :]
+        return np.log(alpha[begin[:-1] + size]) + scale
 
     def rows(self, each: list[list[bytes]]) -> list[np.ndarray]:
         new = set().union(*each).difference(self.row) if each else set()
-        if len(self.row) + len(new) > self.cap:
+        if self.used + len(new) > self.cap:
             self.row.clear()
-            new = set().union(*each)
+            self.used, new = 0, set().union(*each)
         if new:
-            new = list(new)
-            if len(self.row) + len(new) > len(self.value):
-                self.value = np.resize(self.value, (len(self.row) + len(new), len(self.langs)))
-            at = len(self.row)
-            for a in range(0, len(new), 4096):
-                part = new[a : a + 4096]
-                self.value[at + a : at + a + len(part)] = self.forward(part)
-            self.row.update(zip(new, range(at, at + len(new)), strict=True))
+            new = sorted(new, key=len)  # words of like length together
+            if self.used + len(new) > len(self.value):
+                self.value = np.resize(self.value, (self.used + len(new), len(self.langs)))
+            a = 0
+            while a < len(new):
+                b = a + max(1, min(4096, 65_536 // len(new[a])))
+                self.value[self.used + a : self.used + min(b, len(new))] = self.forward(new[a:b])
+                a = b
+            self.row.update(zip(new, range(self.used, self.used + len(new)), strict=True))
+            self.used += len(new)
         get = self.row.__getitem__
-        return [self.value[np.fromiter(map(get, ws), np.int64, len(ws))].sum(0, dtype=np.float64) for ws in each]
+        out = [self.value[np.fromiter(map(get, ws), np.int64, len(ws))].sum(0, dtype=np.float64) for ws in each]
+        for w in reversed(new) if new else ():  # long words aren't kept
+            if len(w) <= LONG:
+                break
+            del self.row[w]
+        return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         each = [words(t) for t in texts]

@@ -2,6 +2,8 @@
 
 import math
 import random
+import time
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -78,29 +80,45 @@ def test_held_out_toxicity(spark, documents):
     assert sum(r.predicted for r in got if r.toxic == 1) >= 0.5 * sum(r.toxic for r in got)
 
 
+def plain_log_sum(word, prob):
+    """Over all segmentations into pieces that the library knows, by slices of the word and exact fractions; other characters have FLOOR."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=language_id.default_path())
+    known = {sp.id_to_piece(i): i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))}
+    longest, text = max(map(len, known)), "\u2581" + word
+    sums = [Fraction(1)]
+    for e in range(1, len(text) + 1):
+        total = Fraction(0)
+        for s in range(max(0, e - longest), e):
+            k = known.get(text[s:e])
+            if k is not None or e - s == 1:
+                total += sums[s] * Fraction(language_id.FLOOR if k is None else prob.get(k, prob[-1]))
+        sums.append(total)
+    return math.log(sums[-1].numerator) - math.log(sums[-1].denominator)
+
+
 def test_forward_sums_all_segmentations():
     prob = {"en": {-1: 1e-6, 300: 0.1, 259: 0.01, 261: 0.2}, "fr": {-1: 1e-6, 270: 0.2}}
     s = language_id.Scorer(language_id.default_path(), prob)
+    words = ["the", "tin", "éa字", "abcdefg", "abcdefghij" * 6, "thetion" * 9, "字仮名交じりの文" * 15, "", "x" * 200]
+    assert np.allclose(s.forward([w.encode() for w in words]), [[plain_log_sum(w, prob[x]) for x in s.langs] for w in words])
 
-    def plain(word, lang):
-        total = 0.0
-        for part, arcs in s.lattice.arcs(word):
-            def ways(at):
-                return 1.0 if at == len(part) else sum((language_id.FLOOR if k < 0 else prob[lang].get(k, prob[lang][-1])) * ways(e) for a, e, k in arcs if a == at)
-
-            total += math.log(ways(0))
-        return total
 
-    words = [b"the", b"tin", "éa字".encode(), b"abcdefg"]
-    assert np.allclose(s.forward(words), [[plain(w, x) for x in s.langs] for w in words])
-    long = [b"abcdefghij" * 9]
-    assert np.isfinite(s.forward(long)).all()
+def test_one_very_long_word():
+    s = language_id.Scorer(language_id.default_path(), {"en": {-1: 1e-6, 300: 0.1}, "fr": {-1: 2e-6}})
+    began = time.time()
+    assert np.isfinite(s.rows([[("字a" * 100_000).encode(), b"the"]])).all()
+    assert list(s.row) == [b"the"] and time.time() - began < 60
 
 
 def test_expected_counts_are_consistent():
     lattice = language_id.Lattice(language_id.default_path())
     counts = language_id.expected_counts(lattice, b"thetion", None, 0.0)
     assert math.isclose(sum(x * lattice.vocab.length[k] for k, x in counts.items()), len("thetion") + 1)
+    long = "thetion" * 300
+    counts = language_id.expected_counts(lattice, long.encode(), {300: 0.1, -1: 1e-7}, 1e-7)
+    assert math.isclose(sum(x * lattice.vocab.length[k] for k, x in counts.items()), len(long) + 1, rel_tol=1e-6)
 
 
 def test_language_held_out(documents):
