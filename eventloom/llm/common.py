@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,14 +85,30 @@ class Durable:
         self.tables = [t for t in self.tables if any(t[0] is x for x in needed)]
 
 
-def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]], rows: int = SLICE_ROWS) -> DataFrame:
-    """mapInArrow in slices of so many rows. start() runs once a task and gives the function from a slice to batches."""
+def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]], rows: int = SLICE_ROWS, most_bytes: int | None = None) -> DataFrame:
+    """mapInArrow in slices of so many rows. start() runs once a task and gives the function from a slice to batches.
+
+    most_bytes: a slice also ends where its texts (the second column) have this size.
+    """
+
+    def cuts(batch: pa.RecordBatch) -> list[int]:
+        if most_bytes is None or batch.nbytes <= most_bytes:
+            return [*range(0, batch.num_rows, rows), batch.num_rows]
+        out, size = [0], 0
+        for i, n in enumerate(pc.binary_length(batch.column(1)).to_pylist()):
+            if i > out[-1] and (i - out[-1] >= rows or size + (n or 0) > most_bytes):
+                out.append(i)
+                size = 0
+            size += n or 0
+        return [*out, batch.num_rows]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = start()
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                yield from step(batch.slice(at, rows))
+            at = cuts(batch)
+            for a, b in zip(at[:-1], at[1:], strict=True):
+                if a < b:
+                    yield from step(batch.slice(a, b - a))
 
     return df.mapInArrow(run, schema)
 

@@ -1,12 +1,15 @@
 """Benchmark decontamination with suffix arrays over the training words.
 
-Each task makes suffix arrays of its documents' words, shard by shard, and looks up every benchmark suffix in them by
-binary search. Words that no benchmark item has end all matches, so only runs of benchmark words as long as the
-shortest window get suffixes; that loses nothing. Benchmarks above common.BROADCAST_BYTES are worked off in blocks.
+Each task makes suffix arrays of its documents' words, shard by shard, and looks up benchmark suffixes in them by binary
+search: those whose first words stand somewhere in the shard. Places that follow each other in both texts are one
+verbatim match, as long as can be; the matches' words are hit, and the longest of a document is reported with its places.
+Words that no benchmark item has end all matches, so only runs of benchmark words as long as the shortest window get
+suffixes; that loses nothing. Benchmarks above common.BROADCAST_BYTES are worked off in blocks.
 
 Words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ after lower-casing A-Z. A window is 13 consecutive words of an item; an item
 of fewer words, but not none, is one window. Null texts have no words; items without an id are left out; repeated items
-count once; repeated documents each get their row.
+count once; repeated documents each get their row. Of equally long matches the first in the document, then in the
+first item by its id as a string, is reported.
 """
 
 from __future__ import annotations
@@ -23,8 +26,23 @@ from pyspark.sql import functions as F
 from . import common
 
 WINDOW = 13
-#: Documents in one suffix array.
-SHARD_ROWS = 2048
+#: Documents, and bytes of their texts, in one suffix array (but for a single longer text); words by which suffixes are chosen.
+SHARD_ROWS, SHARD_BYTES, FIRST_WORDS = 2048, 16 << 20, 3
+
+
+def first_words(flat: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """A hash of the n words at each place; equal words have equal hashes."""
+    out = np.zeros(len(at), np.uint64)
+    for k in range(n):
+        out = (out ^ flat[at + k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """low .. high - 1 of each pair, one after the other."""
+    n = high - low
+    return np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
 class Benchmark:
@@ -53,7 +71,9 @@ class Benchmark:
         self.size = np.asarray(size, np.int64)
         self.least = int(self.width.min()) if len(width) else 0
         self.flat = np.concatenate([np.asarray(flat, np.int64), np.zeros(window + 1, np.int64)])
-
+        keys = first_words(self.flat, self.start, min(FIRST_WORDS, self.least))
+        self.by_key = np.argsort(keys, kind="stable")
+        self.keys = keys[self.by_key]
 
     def suffixes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Start, words, item and place in the item of each suffix of each item."""
@@ -120,10 +140,25 @@ class Shard:
         """(position, window) for each occurrence of each window."""
         if not len(self.sa) or not len(b.start):
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        low, high = self.bound(b, b.start, b.width, False), self.bound(b, b.start, b.width, True)
-        n = high - low
-        window = np.repeat(np.arange(len(n)), n)
-        return self.sa[np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)], window
+        here = np.unique(first_words(self.flat, self.sa, min(FIRST_WORDS, b.least)))
+        todo = b.by_key[_ranges(np.searchsorted(b.keys, here), np.searchsorted(b.keys, here, side="right"))]
+        if not len(todo):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        low, high = self.bound(b, b.start[todo], b.width[todo], False), self.bound(b, b.start[todo], b.width[todo], True)
+        return self.sa[_ranges(low, high)], np.repeat(todo, high - low)
+
+    def verbatim(self, b: Benchmark) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position, window, length): where a longest verbatim match starts here and in its item, and its words.
+
+        A window's occurrence that continues the one a word before, in the same item, belongs to that one's match.
+        """
+        pos, win = self.occurrences(b)
+        order = np.lexsort((pos, pos - b.start[win]))
+        pos, win = pos[order], win[order]
+        going = (np.diff(pos) == 1) & (np.diff(b.start[win]) == 1)
+        first = np.flatnonzero(np.concatenate([[True], ~going])) if len(pos) else np.empty(0, np.int64)
+        last = np.append(first[1:], len(pos)) - 1
+        return pos[first], win[first], last - first + b.width[win[first]]
 
     def longest(self, b: Benchmark, start: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(length, first position) of the longest match of each run of width words of b, 0 if its first word isn't here.
@@ -181,48 +216,61 @@ def _merged(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[first, 0], reach[np.concatenate([np.flatnonzero(first)[1:] - 1, [len(spans) - 1]])]], 1)
 
 
-SCHEMA = "doc_id long, text string, n_words long, spans array<int>, items array<string>"
+SCHEMA = "doc_id long, text string, n_words long, spans array<int>, items array<string>, longest struct<length:bigint,word:bigint,item:string,item_word:bigint>"
 
 
 def matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, text, n_words, spans (start, end, start, end ... of the hit words, disjoint) and items with an occurring window."""
-    out = common.id_text(docs).withColumns({"n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<int>"), "items": F.array().cast("array<string>")})
+    """doc_id, text, n_words, spans (start, end, start, end ... of the hit words, disjoint), items with an occurring window, and the longest match."""
+    none = {"n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<int>"), "items": F.array().cast("array<string>"), "longest": F.lit(None).cast(SCHEMA.split("longest ")[1])}
+    out = common.id_text(docs).withColumns(none)
     sc = docs.sparkSession.sparkContext
     for block in blocks(bench):
         shared, key = sc.broadcast(block), uuid.uuid4().hex
 
         def start(shared=shared, key=key):
             b = common.resident(("bench", key, window), lambda: Benchmark(shared.value, window))
+            item_begin = np.cumsum(b.size + 1) - b.size - 1
 
             def step(batch: pa.RecordBatch):
                 words = [common.word_bytes(t) for t in batch.column(1).to_pylist()]
                 shard = Shard(words, b.vocab, b.least)
-                pos, win = shard.occurrences(b)
-                spans, items = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+                pos, win, length = shard.verbatim(b)
+                spans, items, longest = (batch.column(k).to_pylist() for k in (3, 4, 5))
                 if len(pos):
                     doc = shard.doc_of(pos)
                     order = np.argsort(doc, kind="stable")
-                    pos, win, doc = pos[order], win[order], doc[order]
+                    pos, win, length, doc = pos[order], win[order], length[order], doc[order]
                     cut = np.flatnonzero(np.diff(doc)) + 1
-                    for p, w, d in zip(np.split(pos, cut), np.split(win, cut), doc[np.concatenate([[0], cut])], strict=True):
-                        own = np.stack([p, p + b.width[w]], 1) - shard.begin[d]
+                    for p, w, n, d in zip(np.split(pos, cut), np.split(win, cut), np.split(length, cut), doc[np.concatenate([[0], cut])], strict=True):
+                        own = np.stack([p, p + n], 1) - shard.begin[d]
                         spans[d] = _merged(np.concatenate([np.asarray(spans[d], np.int64).reshape(-1, 2), own])).ravel().tolist()
                         items[d] = sorted({*items[d], *(b.ids[i] for i in np.unique(b.item[w]))})
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shard.size), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))], ["doc_id", "text", "n_words", "spans", "items"])
+                        top = np.flatnonzero(n == n.max())
+                        top = top[own[top, 0] == own[top, 0].min()]
+                        k = min(top.tolist(), key=lambda k: (b.ids[b.item[w[k]]], b.start[w[k]]))
+                        best = {"length": int(n[k]), "word": int(own[k, 0]), "item": b.ids[b.item[w[k]]], "item_word": int(b.start[w[k]] - item_begin[b.item[w[k]]])}
+                        rank = lambda x: (-x["length"], x["word"], x["item"], x["item_word"])
+                        longest[d] = best if longest[d] is None else min(best, longest[d], key=rank)
+                kind = pa.struct([("length", pa.int64()), ("word", pa.int64()), ("item", pa.string()), ("item_word", pa.int64())])
+                columns = [batch.column(0), batch.column(1), pa.array(shard.size), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())), pa.array(longest, kind)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_words", "spans", "items", "longest"])
 
             return step
 
-        out = common.map_rows(out, SCHEMA, start, SHARD_ROWS)
+        out = common.map_rows(out, SCHEMA, start, SHARD_ROWS, SHARD_BYTES)
     return out
 
 
 def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated (n_hit > 0 and 20 * n_hit >= n_words)."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, longest_match, contaminated (n_hit > 0 and 20 * n_hit >= n_words).
+
+    longest_match: words of the longest verbatim match with an item, 0 without a hit; matches() has its places.
+    """
     hit = F.aggregate(F.sequence(F.lit(0), F.size("spans") - 2, F.lit(2)), F.lit(0).cast("long"), lambda a, i: a + F.get("spans", i + 1) - F.get("spans", i))
     n_hit = F.when(F.size("spans") > 0, hit).otherwise(F.lit(0).cast("long"))
     return (
         matches(docs, bench, window)
-        .select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"))
+        .select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), F.coalesce("longest.length", F.lit(0).cast("long")).alias("longest_match"))
         .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
     )
 
@@ -253,7 +301,7 @@ def longest_matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW) ->
 
             return step
 
-        parts.append(common.map_rows(common.id_text(docs), "item_id string, item_word long, length long, doc_id long, word long", start, SHARD_ROWS))
+        parts.append(common.map_rows(common.id_text(docs), "item_id string, item_word long, length long, doc_id long, word long", start, SHARD_ROWS, SHARD_BYTES))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

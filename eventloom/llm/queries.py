@@ -59,17 +59,19 @@ _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP6_SQL = f"""
 WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-iw AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
-win AS (SELECT DISTINCT item, m, array_to_string(w[s:s + m - 1], ' ') AS k
-  FROM (SELECT item, w, least(13, len(w)) AS m, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS s FROM iw WHERE len(w) > 0)),
+iw AS (SELECT item, w, row_number() OVER (ORDER BY item, w) AS r FROM (SELECT DISTINCT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL) WHERE len(w) > 0),
+win AS (SELECT item, r, m, s AS i, array_to_string(w[s:s + m - 1], ' ') AS k
+  FROM (SELECT item, r, w, least(13, len(w)) AS m, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS s FROM iw)),
 dpos AS (SELECT doc_id, m, s, array_to_string(w[s:s + m - 1], ' ') AS k
   FROM (SELECT doc_id, w, m, unnest(generate_series(1, len(w) - m + 1)) AS s FROM dw, (SELECT DISTINCT m FROM win) WHERE len(w) >= m)),
-occ AS (SELECT doc_id, s, m, item FROM dpos JOIN win USING (m, k)),
+occ AS (SELECT doc_id, s, m, item, r, i FROM dpos JOIN win USING (m, k)),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(s, s + m - 1)) AS p FROM occ) GROUP BY doc_id),
+run AS (SELECT doc_id, max(n) AS longest FROM (SELECT doc_id, count(*) + min(m) - 1 AS n
+  FROM (SELECT doc_id, m, r, s - i AS d, s - row_number() OVER (PARTITION BY doc_id, r, s - i ORDER BY s) AS g FROM occ) GROUP BY doc_id, r, d, g) GROUP BY doc_id),
 its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM occ) GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
-  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)"""
+  coalesce(longest, 0)::BIGINT AS longest_match, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id) LEFT JOIN run USING (doc_id)"""
 
 OP10_SQL = rf"""
 WITH RECURSIVE dw AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),

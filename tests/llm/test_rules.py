@@ -213,6 +213,46 @@ def test_contamination_in_blocks(spark, awkward, monkeypatch):
     assert sorted(map(tuple, decontaminate.contamination(awkward, bench).collect())) == whole
 
 
+def test_verbatim_matches_against_plain(spark):
+    rng = random.Random(3)
+    word = lambda: rng.choice("abc")
+    items = {str(i): [word() for _ in range(rng.choice([2, 5, 30]))] for i in range(8)}
+    rows = [(i, [word() for _ in range(rng.choice([0, 3, 25]))] + rng.choice([[], items["3"], items["5"][:20]]) + [word()]) for i in range(60)]
+    want = {}
+    for doc, w in rows:
+        found = []
+        for name, x in items.items():
+            for s in range(len(x)):
+                for at in range(len(w)):
+                    n = 0
+                    while s + n < len(x) and at + n < len(w) and x[s + n] == w[at + n]:
+                        n += 1
+                    if n >= min(6, len(x)) and not (s and at and x[s - 1] == w[at - 1]):
+                        found.append((-n, at, name, s))
+        hit = {p for n, at, *_ in found for p in range(at, at - n)}
+        want[doc] = (min(found) if found else None, sorted(hit))
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    got = decontaminate.matches(docs, spark.createDataFrame([(k, " ".join(x)) for k, x in items.items()], "item_id string, text string"), window=6).collect()
+    for r in got:
+        spans = [p for a, b in zip(r.spans[::2], r.spans[1::2], strict=True) for p in range(a, b)]
+        assert (r.longest and (-r.longest.length, r.longest.word, r.longest.item, r.longest.item_word), spans) == want[r.doc_id]
+    assert any(x[0] for x in want.values())
+
+
+def test_slices_by_bytes(spark):
+    docs = spark.createDataFrame([(i, "x" * (i * 7 % 50)) for i in range(200)] + [(500, None), (501, "y" * 900)], "doc_id long, text string").coalesce(1)
+
+    def start():
+        def step(b):
+            yield type(b).from_pydict({"n": [b.num_rows], "size": [sum(len(t or "") for t in b.column(1).to_pylist())], "ids": [",".join(map(str, b.column(0).to_pylist()))]})
+
+        return step
+
+    got = license_scan.common.map_rows(docs, "n long, size long, ids string", start, 9, 120).collect()
+    assert all(r.n <= 9 and (r.size <= 120 or r.n == 1) for r in got)
+    assert ",".join(r.ids for r in got) == ",".join(map(str, [*range(200), 500, 501]))
+
+
 def test_longest_matches(spark):
     docs = spark.createDataFrame([(1, "q b c d e f z"), (2, "b c d"), (3, None)], "doc_id long, text string")
     bench = spark.createDataFrame([("i", "a b c d e f g h i j k l m n")], "item_id string, text string")
