@@ -266,11 +266,15 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> Da
 
     longest_match: words of the longest verbatim match with an item, 0 without a hit; matches() has its places.
     """
+    return _judged(docs, bench, window).drop("_hash")
+
+
+def _judged(docs: DataFrame, bench: DataFrame, window: int) -> DataFrame:
     hit = F.aggregate(F.sequence(F.lit(0), F.size("spans") - 2, F.lit(2)), F.lit(0).cast("long"), lambda a, i: a + F.get("spans", i + 1) - F.get("spans", i))
     n_hit = F.when(F.size("spans") > 0, hit).otherwise(F.lit(0).cast("long"))
     return (
         matches(docs, bench, window)
-        .select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), F.coalesce("longest.length", F.lit(0).cast("long")).alias("longest_match"))
+        .select("doc_id", F.xxhash64("text").alias("_hash"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), F.coalesce("longest.length", F.lit(0).cast("long")).alias("longest_match"))
         .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
     )
 
@@ -310,10 +314,10 @@ def longest_matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW) ->
 
 
 def remove_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents that aren't contaminated, all columns.
+    """The documents that aren't contaminated, all columns; of different texts under one id each is judged on its own.
 
-    The ids to remove are written first: Spark broadcasts them while they are few, and shuffles beyond.
+    The ids and text hashes to remove are written first: Spark broadcasts them while they are few, and shuffles beyond.
     """
-    bad = contamination(docs, bench, window).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
+    bad = _judged(docs, bench, window).where("contaminated").select(F.col("doc_id").alias("_bad"), "_hash").distinct()
     bad = common.Durable(docs.sparkSession, "contaminated").put(bad)
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad"]), "left_anti")
+    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad"]) & (F.xxhash64(docs["text"].cast("string")) == bad["_hash"]), "left_anti")

@@ -28,8 +28,9 @@ QUOTES = "\"“”«»„"
 #: Words on each side that make up the context, and what a context does to a match.
 CONTEXT, QUOTED, REPORTED, ADDRESSED = 5, 0.4, 0.7, 1.2
 STEM_LENGTHS = range(3, 9)
-#: A term counts so often in one text.
-MOST = 6
+#: A term counts so often in one text, and a text's weighted matches and number of matches are taken up to these values:
+#: beyond, the score has long reached its end, and one text can't outweigh the others in the fit. No match or row is left out for it.
+MOST, MOST_TOTAL, MOST_HITS = 6, 25.0, 8
 _RAW_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -208,6 +209,18 @@ def _evidence(a: int, n_a: int, b: int, n_b: int) -> float:
     return 2 * ((a * math.log(a / (n_a * rate)) if a else 0.0) + (b * math.log(b / (n_b * rate)) if b else 0.0))
 
 
+def _standing_out(bad: DataFrame, good: DataFrame, min_log_rate: float, min_evidence: float, store: common.Durable) -> tuple[dict, int, int]:
+    """{term: evidence} of the terms that stand out in toxic texts, and the words of both kinds of texts; only those reach the driver."""
+    a = store.put(_count(bad, _features).withColumnRenamed("n", "a"))
+    b = store.put(_count(good, _features).withColumnRenamed("n", "b"))
+    n1, n0 = ((r[0] if r else 0) or 1 for r in (a.where("term = ''").select("a").first(), b.where("term = ''").select("b").first()))
+    both = a.where("term <> '' and a >= 5").join(b, "term", "left").select("term", "a", F.coalesce("b", F.lit(0)).alias("b"))
+    rate = (F.col("a") + F.col("b")) / (n1 + n0)
+    g = 2 * (F.col("a") * F.log(F.col("a") / (n1 * rate)) + F.when(F.col("b") > 0, F.col("b") * F.log(F.col("b") / (n0 * rate))).otherwise(0.0))
+    apart = F.log((F.col("a") + 0.5) / (n1 + 1)) - F.log((F.col("b") + 0.5) / (n0 + 1))
+    return {r.term: r.g for r in both.select("term", g.alias("g")).where((F.col("g") >= min_evidence) & (apart >= min_log_rate)).collect()}, n1, n0
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     """Ridge logistic regression by Newton steps; the first column is the constant and isn't shrunk."""
     w, shrink = np.zeros(x.shape[1]), np.diag([1e-6] + [ridge] * (x.shape[1] - 1))
@@ -220,11 +233,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def train(sample: DataFrame, min_log_rate: float = 1.5, min_evidence: float = 40.0, max_candidates: int = 20_000) -> dict:
+def train(sample: DataFrame, min_log_rate: float = 1.5, min_evidence: float = 40.0) -> dict:
     """{'weight': {(term, edits): log of its rate in toxic texts over its rate in others}, 'fit': weights of features()}.
 
-    min_evidence keeps out terms that stand out by chance among the very many that are looked at; max_candidates bounds
-    those, by frequency in toxic texts.
+    min_evidence keeps out terms that stand out by chance among the very many that are looked at. What reaches the driver
+    is bounded by the sample: its terms of that evidence, and four numbers a row.
     """
     store = common.Durable(sample.sparkSession, "toxicity")
     sample = store.put(sample.repartition(16))
@@ -232,25 +245,13 @@ def train(sample: DataFrame, min_log_rate: float = 1.5, min_evidence: float = 40
     if not n.get(1) or not n.get(0):
         return {"weight": {}, "fit": [math.log((n.get(1, 0) + 0.5) / (n.get(0, 0) + 0.5)), 0.0, 0.0, 0.0]}
     bad, good = sample.where("toxic > 0"), sample.where("toxic <= 0")
-    in_bad = {r.term: r.n for r in _count(bad, _features).where("n >= 5").orderBy(F.desc("n"), "term").limit(max_candidates).collect()}
-
-    def of_interest(text: str) -> dict:
-        return {t: k for t, k in _features(text).items() if t in in_bad}
-
-    in_good = {r.term: r.n for r in _count(good, of_interest).collect()}
-    n1, n0 = in_bad.pop("", 1), in_good.pop("", 1)
-    evidence = {}
-    for t, a in in_bad.items():
-        g = _evidence(a, n1, in_good.get(t, 0), n0)
-        if g >= min_evidence and _log_rate(a, n1, in_good.get(t, 0), n0) >= min_log_rate:
-            evidence[t] = g
+    evidence, n1, n0 = _standing_out(bad, good, min_log_rate, min_evidence, store)
     # The strongest first; of equals a whole word, then the longest stem; none that a chosen one covers or extends.
     chosen: list[str] = []
     for t in sorted(evidence, key=lambda t: (-round(evidence[t], 6), t.endswith("*"), -len(t), t)):
         plain = t.rstrip("*")
         if not any((c.endswith("*") and plain.startswith(c[:-1])) or (t.endswith("*") and c.rstrip("*").startswith(plain)) for c in chosen):
             chosen.append(t)
-    chosen = chosen[:2000]
     key = uuid.uuid4().hex
 
     def matched(text: str) -> Counter:
@@ -301,7 +302,7 @@ class Scorer:
                 if own and seen[term] <= MOST:
                     total += factor[i] * own
                     n += 1
-        return [1.0, min(total, 25.0), math.log1p(min(n, 8)), math.log1p(len(ws))], n
+        return [1.0, min(total, MOST_TOTAL), math.log1p(min(n, MOST_HITS)), math.log1p(len(ws))], n
 
     def score(self, text: str | None) -> tuple[float, int]:
         x, n = self.features(text)
@@ -310,7 +311,7 @@ class Scorer:
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, score, predicted (1 if score >= 0.5) and n_hits for each row; reads the text only."""
-    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex  # at most 2000 terms
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex  # terms of a bounded sample
 
     def start():
         s = common.resident(("toxicity", key), lambda: Scorer(shared.value))

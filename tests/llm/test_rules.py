@@ -205,6 +205,12 @@ def test_contamination(spark, awkward, texts):
     assert decontaminate.contamination(awkward, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_null_and_repeated_ids_are_judged_by_text(spark):
+    rows = [(None, "the and idiot"), (None, "clean words"), (1, "the and idiot"), (1, "other words"), (2, None)]
+    kept = decontaminate.remove_contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([("i", "the and idiot")], "item_id string, text string"))
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [(None, "clean words"), (1, "other words"), (2, None)]))
+
+
 def test_contamination_in_blocks(spark, awkward, monkeypatch):
     bench = spark.createDataFrame([(1, "the and idiot"), (2, "idiot the"), (3, "word word")], "item_id long, text string")
     whole = sorted(map(tuple, decontaminate.contamination(awkward, bench).collect()))
