@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the one before has kept; run() writes each stage's result
 as Parquet in the shared folder and reads it back for the next. All stages but the last return the documents' columns.
 Rows with a null text pass the filters (no word is toxic, copied or contaminated) and are encoded as empty; an empty
-table gives an empty result.
+table gives an empty result. Rows without a doc_id are filtered like others but count as no one's copy. Rows that repeat
+id and text count once after the second stage; different texts under one id are judged each on its own.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each component of links at Jaccard similarity 0.8; texts without a set stay."""
+    """One document, the one with the smallest id, of each component of links at Jaccard similarity 0.8; texts without a set and rows without an id stay."""
     return jaccard_join.one_of_each(docs)
 
 
