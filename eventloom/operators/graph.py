@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .durable import cut
+
 
 def link_edges(pages: DataFrame, url: Column, page: str, base: Column) -> DataFrame:
     """src, dst: the page and each <a href> on it that isn't a download, resolved against base (scheme and host)."""
@@ -29,10 +31,9 @@ def broken(edges: DataFrame, nodes: DataFrame, node: str) -> DataFrame:
 def bfs(edges: DataFrame, start: DataFrame) -> DataFrame:
     """node, depth of all that is reachable: a frontier loop until no new node is met; each round joins only the frontier.
 
-    Each round's plan is cut (checkpoint, or a local one where no folder is set), so long chains don't make it grow.
+    Each round is written, so long chains don't make the plan grow.
     """
-    cut = (lambda t: t.checkpoint()) if edges.sparkSession.sparkContext.getCheckpointDir() else (lambda t: t.localCheckpoint())
-    e = edges.select("src", "dst").distinct().persist()
+    e = cut(edges.select("src", "dst").distinct())
     seen = frontier = cut(start.select(F.col(start.columns[0]).alias("node"), F.lit(0).alias("depth")).distinct())
     d = 0
     while not frontier.isEmpty():

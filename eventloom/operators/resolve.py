@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .durable import cut
 
 
 def latest(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -38,9 +39,8 @@ def first_of_any_key(new: DataFrame, keys: list[Column], order: str, known: Data
         k = known.select(F.col(known.columns[0]).alias("_k")).distinct()
         out = each.join(k, "_k", "left_semi").select("_o").distinct()
         each = each.join(out, "_o", "left_anti")
-    keep = new.sparkSession.sparkContext.getCheckpointDir() is not None
     while True:
-        each = each.checkpoint() if keep else each.persist()
+        each = cut(each)
         if each.isEmpty():
             break
         first = each.groupBy("_k").agg(F.min("_o").alias("_first"))
@@ -80,26 +80,25 @@ def similar_pairs(events: DataFrame, row_id: str = "id", low: float = 0.50, high
     return s.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"), reason.alias("reason"), F.bround(sure, 4).alias("confidence")).where("reason is not null")
 
 
-def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """v, component (the smallest vertex reachable): smallest neighbour label and pointer jumping, until nothing changes.
+def connected_components(edges: DataFrame) -> DataFrame:
+    """v, component (the smallest vertex reachable).
 
-    Labels are written with checkpoint() if a checkpoint folder is set, so the plan stays short; rounds bounds the loop
-    and an unfinished loop is an error.
+    Each round gives a vertex its smallest neighbour, jumps on from there once, and contracts the edges to those between
+    different ones, so each round joins less; the rounds' steps are then followed one after the other. Each is written.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    label = both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("a"), F.min("b")).alias("component"))
-    keep = edges.sparkSession.sparkContext.getCheckpointDir() is not None
-    for _ in range(rounds):
-        near = both.join(label, both["b"] == label["v"]).groupBy(F.col("a").alias("_v")).agg(F.min("component").alias("_near"))
-        hop = label.select(F.col("v").alias("_at"), F.col("component").alias("_hop"))
-        new = label.join(near, F.col("v") == F.col("_v"), "left").join(hop, F.col("component") == F.col("_at"), "left")
-        new = new.select("v", F.least("component", "_near", "_hop").alias("component"), F.col("component").alias("_old"))
-        new = new.checkpoint() if keep else new.persist()
-        done = new.where("component <> _old").isEmpty()
-        label = new.select("v", "component")
-        if done:
-            return label
-    raise RuntimeError("components are deeper than the rounds allowed")
+    rest = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    label = rest.select(F.col("a").alias("v")).union(rest.select(F.col("b").alias("v"))).distinct().withColumn("component", F.col("v"))
+    rest = rest.where("a <> b")
+    while not rest.isEmpty():
+        near = rest.select(F.col("b").alias("v"), F.col("a").alias("p")).union(rest.select(F.col("a").alias("v"), F.col("a").alias("p"))).groupBy("v").agg(F.min("p").alias("p"))
+        near = cut(near)
+        jump = near.select(F.col("v").alias("p"), F.col("p").alias("hop"))
+        step = cut(near.join(jump, "p", "left").select("v", F.coalesce("hop", "p").alias("p")))
+        for end in ("a", "b"):
+            rest = rest.join(step.select(F.col("v").alias(end), F.col("p").alias("_p")), end).drop(end).withColumnRenamed("_p", end)
+        rest = cut(rest.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        label = cut(label.join(step.select(F.col("v").alias("component"), "p"), "component", "left").select("v", F.coalesce("p", "component").alias("component")))
+    return label
 
 
 #: Fixed: which source speaks first.

@@ -40,14 +40,18 @@ def event_pages(events: DataFrame) -> DataFrame:
     return e.select(F.concat(F.lit("events/"), "id", F.lit("/index.html")).alias("path"), _html(F.col("title"), body).alias("html"))
 
 
-def hub_pages(events: DataFrame, group: str, least: int = 1, most: int = 200) -> DataFrame:
-    """path, html for each group (a category or series) with `least` events: its next `most` by start. Bounded by `most` links a page."""
+def hub_pages(events: DataFrame, group: str, least: int = 1, size: int = 200) -> DataFrame:
+    """path, html for each group (a category or series) with `least` events: all of them by start, `size` a page, each page with a link to the next."""
     by = Window.partitionBy(group).orderBy("starts_at", "id")
     n = Window.partitionBy(group)
-    e = events.where(F.col(group).isNotNull()).withColumns({"_k": F.row_number().over(by), "_n": F.count("*").over(n)}).where((F.col("_n") >= least) & (F.col("_k") <= most))
+    e = events.where(F.col(group).isNotNull()).withColumns({"_k": F.row_number().over(by) - 1, "_n": F.count("*").over(n)}).where(F.col("_n") >= least)
+    e = e.withColumn("_page", F.floor(F.col("_k") / size).cast("int"))
     item = F.struct(F.col("_k"), _link(F.concat(F.lit("/events/"), "id", F.lit("/")), F.col("title")).alias("li"))
-    out = e.groupBy(group).agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["li"]), "").alias("_list"))
-    return out.select(F.concat(F.lit(f"{group}/"), group, F.lit("/index.html")).alias("path"), _html(F.col(group), F.concat(F.lit("<ul>"), "_list", F.lit("</ul>"))).alias("html"))
+    out = e.groupBy(group, "_page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["li"]), "").alias("_list"), F.first("_n").alias("_n"))
+    folder = lambda page: F.concat(F.lit(f"{group}/"), group, F.when(page == 0, F.lit("/")).otherwise(F.concat(F.lit("/"), (page + 1).cast("string"), F.lit("/"))))
+    page = F.col("_page")
+    more = F.when((page + 1) * size < F.col("_n"), _link(F.concat(F.lit("/"), folder(page + 1)), F.lit("next"))).otherwise("")
+    return out.select(F.concat(folder(page), F.lit("index.html")).alias("path"), _html(F.col(group), F.concat(F.lit("<ul>"), "_list", more, F.lit("</ul>"))).alias("html"))
 
 
 def preview(events: DataFrame, most: int = 24) -> DataFrame:

@@ -10,7 +10,7 @@ import html
 import json
 import re
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import datetime
 from urllib.parse import urljoin
 
 import pyarrow as pa
@@ -78,41 +78,24 @@ def ics_events(files: DataFrame, text: str, zone: str = times.TOKYO) -> DataFram
     return out.where(F.col("starts_at").isNotNull()).drop("_e")
 
 
-def expand_rrule(events: DataFrame, window_start: datetime, window_end: datetime, zone: str = times.TOKYO, most: int = 1000) -> DataFrame:
-    """Events with a rule become their occurrences inside the window (DAILY, WEEKLY, MONTHLY, YEARLY; INTERVAL, COUNT, UNTIL, BYDAY)."""
+def expand_rrule(events: DataFrame, window_start: datetime, window_end: datetime, zone: str = times.TOKYO) -> DataFrame:
+    """Events with a rule become their occurrences between the window's ends (UTC, both included), however old the start is.
+
+    Rules are RFC 5545's, read by dateutil; one that can't be read leaves the start. Events without a rule stay as they are.
+    """
+    from dateutil.rrule import rrulestr
     from zoneinfo import ZoneInfo
 
-    names = ["MO", "TU", "WE", "TH", "FR", "SA", "SU"]
+    utc, local = ZoneInfo("UTC"), ZoneInfo(zone)
+    first, last = window_start.replace(tzinfo=utc), window_end.replace(tzinfo=utc)
 
     def occurrences(rule: str, start: datetime) -> list[datetime]:
-        r = dict(x.split("=", 1) for x in rule.upper().split(";") if "=" in x)
-        step, count = int(r.get("INTERVAL", 1)), int(r["COUNT"]) if "COUNT" in r else None
-        local = start.replace(tzinfo=ZoneInfo("UTC")).astimezone(ZoneInfo(zone)).replace(tzinfo=None)
-        until = datetime.strptime(r["UNTIL"][:8], "%Y%m%d") + timedelta(days=1) if "UNTIL" in r else None
-        days = {names.index(x[-2:]) for x in r.get("BYDAY", "").split(",") if x[-2:] in names} or {local.weekday()}
-        out, seen, day = [], 0, local
-        monday = local.date() - timedelta(days=local.weekday())
-        for _ in range(366 * 12):
-            weeks = ((day.date() - timedelta(days=day.weekday())) - monday).days // 7
-            months = (day.year - local.year) * 12 + day.month - local.month
-            freq = r.get("FREQ")
-            hit = (
-                (freq == "DAILY" and (day.date() - local.date()).days % step == 0)
-                or (freq == "WEEKLY" and weeks % step == 0 and day.weekday() in days)
-                or (freq == "MONTHLY" and months % step == 0 and day.day == local.day)
-                or (freq == "YEARLY" and (day.year - local.year) % step == 0 and (day.month, day.day) == (local.month, local.day))
-            )
-            if hit:
-                if (until and day >= until) or (count is not None and seen >= count):
-                    break
-                seen += 1
-                at = day.replace(tzinfo=ZoneInfo(zone)).astimezone(ZoneInfo("UTC")).replace(tzinfo=None)
-                if at > window_end or len(out) >= most:
-                    break
-                if at >= window_start:
-                    out.append(at)
-            day += timedelta(days=1)
-        return out
+        at = start.replace(tzinfo=utc).astimezone(local)
+        try:
+            found = rrulestr(rule, dtstart=at).between(first, last, inc=True)
+        except (TypeError, ValueError, OverflowError):
+            found = [at] if first <= at <= last else []
+        return [x.astimezone(utc).replace(tzinfo=None) for x in found]
 
     @F.arrow_udf("array<timestamp_ntz>")
     def expanded(rule: pa.Array, start: pa.Array) -> pa.Array:

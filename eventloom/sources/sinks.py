@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -68,18 +68,29 @@ def write_calendar(events: DataFrame, path: str) -> None:
 
 
 def write_bundle(events: DataFrame, path: str, facet_fields: list[str]) -> DataFrame:
-    """events/ (JSON), table/ (CSV by start and id), facets/ (Parquet), and the manifest: rows and a digest of each part."""
+    """events/ (JSON), table/ (CSV by start and id), facets/ (Parquet), and the manifest: rows and a digest of the events, bytes and SHA-256 of each file."""
     present = [c for c in CSV_COLUMNS if c in events.columns]
     events.write.mode("overwrite").json(f"{path}/events")
     events.select(*present).orderBy("starts_at", "id").write.mode("overwrite").option("header", True).csv(f"{path}/table")
     facets = metrics.facets(events, facet_fields)
     facets.write.mode("overwrite").parquet(f"{path}/facets")
     digest = events.select(F.xxhash64(*present).cast("decimal(38,0)").alias("h")).agg(F.count("*").alias("rows"), F.sum("h").cast("string").alias("digest"))
-    manifest = digest.select(F.lit("events").alias("part"), "rows", "digest")
+    whole = digest.select(F.lit("events").alias("part"), F.lit(None).cast("string").alias("file"), "rows", "digest", F.lit(None).cast("long").alias("bytes"), F.lit(None).cast("string").alias("sha256"))
+    manifest = whole.unionByName(file_digests(events.sparkSession, path, ("events", "table", "facets")), allowMissingColumns=True)
     manifest.write.mode("overwrite").json(f"{path}/manifest")
     return manifest
 
 
+def file_digests(spark: SparkSession, path: str, parts: tuple[str, ...]) -> DataFrame:
+    """part, file, bytes, sha256 of each file of a written table, read as whole files by tasks."""
+    out = None
+    for part in parts:
+        f = spark.read.format("binaryFile").load(f"{path}/{part}/part-*")
+        f = f.select(F.lit(part).alias("part"), F.regexp_extract("path", "([^/]+)$", 1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
 def append_once(rows: DataFrame, path: str, key: str) -> None:
     """Appends rows as JSON lines whose key the file hasn't yet; the same run twice changes nothing."""
     spark = rows.sparkSession
@@ -89,10 +100,19 @@ def append_once(rows: DataFrame, path: str, key: str) -> None:
     rows.write.mode("append").json(path)
 
 
-def sitemap(pages: DataFrame, path: str) -> None:
-    """<url> lines in order of address."""
+def sitemap(pages: DataFrame, path: str, size: int = 50_000) -> None:
+    """Files of at most about `size` addresses, each a whole urlset, dealt and sorted by address."""
     escaped = F.replace(F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-    pages.orderBy("url").select(F.concat(F.lit("<url><loc>"), escaped, F.lit("</loc></url>")).alias("value")).write.mode("overwrite").text(path)
+    rows = pages.select("url").distinct().orderBy("url").select(F.concat(F.lit("<url><loc>"), escaped, F.lit("</loc></url>")).alias("value"))
+    files = max(1, -(-rows.count() // size))
+    head, tail = '<?xml version="1.0" encoding="UTF-8"?>\n<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">', "</urlset>"
+
+    def wrap(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([head], pa.string())], ["value"])
+        yield from batches
+        yield pa.RecordBatch.from_arrays([pa.array([tail], pa.string())], ["value"])
+
+    rows.repartitionByRange(files, "value").sortWithinPartitions("value").mapInArrow(wrap, "value string").write.mode("overwrite").text(path)
 
 
 def iso_columns(events: DataFrame, columns: list[str]) -> DataFrame:
