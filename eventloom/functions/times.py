@@ -88,6 +88,26 @@ def event_datetime(text: Column, anchor: Column) -> Column:
     return F.when(t.rlike(full), a).when(t.rlike(short), b).when(t.rlike(day), c)
 
 
+def post_datetime(text: Column, created: Column) -> Column:
+    """Date and clock in a post: year-month-day, else month-day of the year of posting, or the next where that is 45 days past.
+
+    The first form that occurs decides; an impossible date gives null. Nothing bounds what stands between day and clock.
+    """
+    t = F.replace(F.coalesce(text, F.lit("")), F.lit("："), F.lit(":"))
+    found = F.lit(None).cast("timestamp")
+    for year in (r"()", r"(?:(20[0-9]{2})[./年-])"):
+        p = F.regexp_extract_all(t, F.lit(rf"(?s){year}([0-9]{{1,2}})[./月-]([0-9]{{1,2}}){_DAY_MARK}.*?{_CLOCK}"), F.lit(0))
+        whole = F.get(p, F.lit(0))
+        part = lambda i, w=whole, y=year: _int(F.regexp_extract(w, rf"(?s)^{y}([0-9]{{1,2}})[./月-]([0-9]{{1,2}}){_DAY_MARK}.*?{_CLOCK}", i))
+        rest = (part(2), part(3), part(4), F.coalesce(part(5), F.lit(0)))
+        this = F.year(local(created))
+        at = _stamp(F.coalesce(part(1), this), *rest)
+        if year == "()":
+            at = F.when(at < created - F.expr("interval 45 days"), _stamp(this + 1, *rest)).otherwise(at)
+        found = F.when(F.size(p) > 0, at).otherwise(found)
+    return found
+
+
 def relative_weekday(text: Column, anchor: Column, policy: str = "calendar_week") -> tuple[Column, Column]:
     """(instant, method) of a weekday with a clock in a text.
 

@@ -78,3 +78,9 @@ def review_queue(rows: DataFrame, resolved: DataFrame, previous: DataFrame, key:
     """Rows without a resolution; first_queued_at survives from the previous queue."""
     p = previous.select(key, F.col("first_queued_at").alias("_first"))
     return rows.join(resolved.select(key).distinct(), key, "left_anti").join(p, key, "left").withColumn("first_queued_at", F.coalesce("_first", now)).drop("_first")
+
+
+def widely_shared_rejections(rows: DataFrame, least: int = 3, excerpt: int = 360) -> DataFrame:
+    """Rejected rows with so many retweets: status_id, reason, retweet_count, text_excerpt."""
+    count = F.coalesce(F.nullif(F.col("max_retweet_count"), F.lit(0)), F.col("retweet_count"), F.lit(0)).cast("long")
+    return rows.where((F.col("last_decision") == "rejected") & (count >= least)).select("status_id", F.col("last_reason").alias("reason"), count.alias("retweet_count"), F.left(F.coalesce("text", F.lit("")), F.lit(excerpt)).alias("text_excerpt"))

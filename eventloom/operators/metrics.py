@@ -20,6 +20,21 @@ def expert_model(hits: DataFrame, expert: str, row_id: str, accepted: str) -> Da
     return per.withColumns({"precision": F.col("accepted") / F.col("support"), "wilson": wilson_lower(F.col("accepted"), F.col("support"))})
 
 
+def with_tiers(model: DataFrame, support: int = 20, accepted: int = 2, least: float = 0.05) -> DataFrame:
+    """The expert model with eligible and tier (precision, balanced, recall; exploration where not eligible), by its Wilson bound."""
+    eligible = (F.col("support") >= support) & (F.col("accepted") >= accepted) & (F.col("wilson") >= least)
+    tier = F.when(~eligible, "exploration").when(F.col("wilson") >= 0.15, "precision").when(F.col("wilson") >= 0.08, "balanced").otherwise("recall")
+    return model.withColumns({"eligible": eligible, "tier": tier})
+
+
+def top_reasons(hits: DataFrame, expert: str, reason: Column, k: int = 5) -> DataFrame:
+    """expert, reasons: its k most frequent reasons as reason:count, `accepted` where there is none; ties by name."""
+    per = hits.groupBy(expert, F.coalesce(F.nullif(reason, F.lit("")), F.lit("accepted")).alias("_r")).agg(F.count("*").alias("_n"))
+    first = per.withColumn("_k", F.row_number().over(Window.partitionBy(expert).orderBy(F.desc("_n"), "_r"))).where(F.col("_k") <= k)
+    row = F.struct("_k", F.concat_ws(":", "_r", F.col("_n").cast("string")).alias("text"))
+    return first.groupBy(expert).agg(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["text"]).alias("reasons"))
+
+
 def leave_one_out(hits: DataFrame, expert: str, row_id: str, accepted: str) -> DataFrame:
     """expert, unique_accepted: accepted rows that no other expert matched."""
     by = Window.partitionBy(row_id)

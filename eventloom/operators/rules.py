@@ -116,13 +116,13 @@ def accept_or_reject(candidates: DataFrame, now: Column, rules: RuleSet, known_i
         df = df.withColumn("_known", F.lit(None).cast("boolean"))
     at, _ = times.relative_weekday(text, now)
     df = df.withColumn("_at", F.coalesce(times.event_datetime(text, now), at))
-    count = F.col("retweet_count").try_cast("long")
+    count, plain = F.col("retweet_count").try_cast("long"), T.clean_text(text)
     reason = F.coalesce(
         _pre_gates(text, f),
         F.when(~F.col("status_id").cast("string").rlike(r"^[0-9]{10,25}$") | F.col("status_id").isNull(), "invalid_status_id"),
         F.when(F.col("_known"), "duplicate_x_source"),
-        F.when(F.length(text) < rules.min_length, "missing_text"),
-        F.when((F.length(text) > rules.max_length) | T.any_of(F.contains(text, F.lit(m)) for m in rules.malformed), "malformed_text"),
+        F.when(F.length(plain) < rules.min_length, "missing_text"),
+        F.when((F.length(plain) > rules.max_length) | T.any_of(F.contains(text, F.lit(m)) for m in rules.malformed), "malformed_text"),
         why,
         F.when(F.col("retweet_count").isNull(), "retweet_count_missing"),
         F.when(count.isNull(), "retweet_count_invalid"),

@@ -62,6 +62,46 @@ def category_decision(events: DataFrame, fields: list[tuple[Column, int]], categ
     ).drop("_ranked")
 
 
+def _term_evidence(fields: list[tuple[str, Column, int]], terms: list[str]) -> list[Column]:
+    """For each distinct term: keyword:field:term of the weightiest field that has it, or null."""
+    low = [(name, F.lower(F.coalesce(c, F.lit("")))) for name, c, _ in sorted(fields, key=lambda f: -f[2])]
+    out, seen = [], set()
+    for term in terms:
+        t = term.strip().lower()
+        if t and t not in seen:
+            seen.add(t)
+            out.append(F.coalesce(*(F.when(F.contains(c, F.lit(t)), F.lit(f"keyword:{name}:{t}")) for name, c in low)))
+    return out
+
+
+def decision_evidence(category: Column, fields: list[tuple[str, Column, int]], categories: list[dict], legacy: dict[str, str] | None = None, raw: Column | None = None, most: int = 12) -> Column:
+    """What speaks for a row's category: its legacy name, then strong and plain keywords with the field; at most `most`, as shown to readers."""
+    out = F.array().cast("array<string>")
+    for c in categories:
+        known = [F.when(raw == name, F.lit(f"legacy_category:{name}")) for name, to in (legacy or {}).items() if to == c["id"]] if raw is not None else []
+        found = F.array_compact(F.array(*known, *_term_evidence(fields, c.get("strong_keywords", [])), *_term_evidence(fields, c.get("keywords", []))))
+        out = F.when(category == c["id"], F.slice(found, 1, most)).otherwise(out)
+    return out
+
+
+def subcategory(category: Column, fields: list[tuple[Column, int]], categories: list[dict]) -> Column:
+    """The category's subcategory of the greatest score, the first of equals; null where none scores."""
+    out = F.lit(None).cast("string")
+    for c in categories:
+        best = F.lit(None).cast("struct<score:int,minus:int,id:string>")
+        for i, (sub, terms) in enumerate(c.get("subcategories", {}).items()):
+            score = term_score(fields, terms, 1).cast("int")
+            best = F.greatest(best, F.when(score > 0, F.struct(score.alias("score"), F.lit(-i).alias("minus"), F.lit(sub).alias("id"))))
+        out = F.when(category == c["id"], best["id"]).otherwise(out)
+    return out
+
+
+def attach_decision(events: DataFrame, previous: Column, neutral: str = "event") -> DataFrame:
+    """The events with legacy_category (the category before, if another and not the neutral one) and review_required (a tie)."""
+    was = F.nullif(F.trim(previous), F.lit(""))
+    return events.withColumns({"legacy_category": F.when((was != F.col("category")) & (was != neutral), was), "review_required": F.size("ambiguous_with") > 0})
+
+
 def organizer_prior(rows: DataFrame, organizer: str, category: str, order: str, minimum: int = 2, dominance: float = 0.75) -> DataFrame:
     """organizer, category, seed_events, classified, dominance of organizers with a dominant category; ties: seen first."""
     per = rows.where(F.col(organizer).isNotNull()).groupBy(organizer, category).agg(F.count("*").alias("seed_events"), F.min(order).alias("_first"))

@@ -125,8 +125,8 @@ def classify_structured(spark, d) -> DataFrame:
     return docs.select("doc_id", category.alias("category"), reason.alias("reason"))
 
 
-@query(f"""SELECT doc_id, CASE WHEN {_F['giveaway']} AND NOT {_F['specific']} THEN 'giveaway_only' WHEN EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 0) THEN 'duplicate_x_source' WHEN length(text) < 12 THEN 'missing_text'
- WHEN length(text) > 12000 THEN 'malformed_text' WHEN why IS NOT NULL THEN why WHEN n_chars < 300 THEN 'retweet_below_threshold' END AS reason FROM (SELECT *, {_WHY} AS why FROM documents) d""")
+@query(f"""SELECT doc_id, CASE WHEN {_F['giveaway']} AND NOT {_F['specific']} THEN 'giveaway_only' WHEN EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 0) THEN 'duplicate_x_source' WHEN length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) < 12 THEN 'missing_text'
+ WHEN length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) > 12000 THEN 'malformed_text' WHEN why IS NOT NULL THEN why WHEN n_chars < 300 THEN 'retweet_below_threshold' END AS reason FROM (SELECT *, {_WHY} AS why FROM documents) d""")
 def accept_reject(spark, d) -> DataFrame:
     rs = rules.RuleSet(terms=TERMS, marker=None, min_retweets=300, max_length=12000, malformed=())
     c = read(spark, d, "documents").select("doc_id", "text", F.concat(F.lit("9"), F.lpad(F.col("doc_id").cast("string"), 11, "0")).alias("status_id"), F.col("n_chars").alias("retweet_count"))

@@ -224,3 +224,21 @@ def test_streaming_ledger(spark, tmp_path):
     q.stop()
     r = live.current(spark, str(tmp_path / "ledger")).collect()
     assert len(r) == 1 and (r[0].retweets, r[0].observations) == (5, 2)
+
+
+def test_similar_pairs_against_plain(spark):
+    import difflib
+    import itertools
+
+    titles = ["open mic night one", "open mic night two", "open mic nigth one", "reading club", "readings club", "dance"]
+    rows = [(str(i), f"t{i % 2}", f"org{i % 3 // 2}", "", titles[i % len(titles)]) for i in range(36)]
+    got = {(r.a, r.b) for r in resolve.similar_pairs(spark.createDataFrame(rows, "id string, starts_at string, organizer string, description string, title string")).collect()}
+    key = {r.id: r.k for r in spark.createDataFrame(rows, "id string, starts_at string, organizer string, description string, title string").select("id", T.dedup_key(F.col("title")).alias("k")).collect()}
+    want = {(a[0], b[0]) for a, b in itertools.permutations(rows, 2) if a[0] < b[0] and a[1:3] == b[1:3] and difflib.SequenceMatcher(None, key[a[0]], key[b[0]]).ratio() >= 0.75}
+    assert got == want and want
+
+
+def test_components_of_a_long_chain_and_a_hub(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
+    got = {r.v: r.component for r in resolve.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)}
