@@ -1,11 +1,12 @@
 """Token ids as binary files: an adaptive context-mixing range coder in independent, checksummed blocks.
 
 Ids are coded in blocks of BLOCK ids; each block starts from the same state, so any block can be read alone, and carries
-the crc32 of its ids. At each id an order-2 and an order-1 context predict an id. Which prediction holds (the first, the
-second, none) is coded with a mix of two adaptive distributions, one by the predictions' past success, one by the last
-outcomes, weighted by how well each has done. An id that no context predicts is coded by order-0 distributions of its
-four nibbles. A carry-less range coder writes the bytes. All blocks at hand are coded in lockstep, one id of each at a
-time, so the arithmetic runs on whole arrays; encoder and decoder run the same arithmetic in the same order.
+the crc32 of its ids. Three orders predict each id: order 2 and order 1 the id that last followed their context, order 0
+every id by the adaptive counts of its upper byte and, within a class of those, its lower byte. They are mixed: an id's
+probability is the sum over the orders of the order's weight times its prediction. The weights adapt, for each pair of
+the confidences that orders 2 and 1 have earned in their contexts. A range coder with carries writes the bytes. All
+blocks at hand are coded in lockstep, one id of each at a time, so the arithmetic runs on whole arrays, of whole numbers
+only; encoder and decoder run the same in the same order.
 
 A file row ("frame") holds whole documents in ascending doc_id order: their ids and lengths, the blocks' bytes and
 checksums. Rows are stored as Parquet, written and read by Spark alone. Ids must be under 65,536. Null texts count as
@@ -27,124 +28,133 @@ from . import common
 
 BLOCK = 2048
 #: Ids in a frame at least (but for the last), blocks in lockstep at most, and words that a worker remembers.
-FRAME_IDS, LANES, REMEMBER = 1 << 18, 4096, 300_000
-SLOTS = 2048
-BITS = 14
+FRAME_IDS, LANES, REMEMBER = 1 << 18, 2048, 800_000
+#: Contexts of an order in a block, and bits of the coder's probabilities.
+SLOTS, BITS = 1024, 15
 _ONE = 1 << BITS
-_TOP, _BOTTOM = np.uint32(1 << 24), np.uint32(1 << 16)
-_STEP = np.arange(17, dtype=np.int16)
+_WORD, _WINDOW, _LOW = np.uint64(16), np.uint64((1 << 48) - 1), np.uint64(1 << 32)
+#: Classes of upper bytes with lower-byte counts of their own, what an id adds to a count, and ids between new tables of order 0.
+CLASSES, GAIN, RENEW = 4, 24, 64
+_CLASS = np.array([0, 1] + [2] * 6 + [3] * 248)
+
+
+class Bytes:
+    """Adaptive probabilities of a byte for n contexts; the tables are made anew from the counts now and then."""
+
+    def __init__(self, n: int):
+        self.count, self.cum = np.ones(n * 256, np.int32), np.empty(n * 257, np.int32)
+        self.renew()
+
+    def renew(self) -> None:
+        total = np.cumsum(self.count.reshape(-1, 256), axis=1, dtype=np.int32)
+        cum = self.cum.reshape(-1, 257)
+        cum[:, 0] = 0
+        cum[:, 1:] = total * (_ONE - 256) // total[:, -1:] + np.arange(1, 257, dtype=np.int32)
+
+    def code(self, coder: Coder, at: np.ndarray, context: np.ndarray, byte: np.ndarray | None) -> np.ndarray:
+        base = context * 257
+        if byte is None:
+            v, place = coder.target(at), base
+            for step in (128, 64, 32, 16, 8, 4, 2, 1):
+                place = place + step * (self.cum.take(place + step) <= v)
+            byte = place - base
+        low = self.cum.take(base + byte)
+        coder.narrow(at, low, self.cum.take(base + byte + 1) - low)
+        self.count[context * 256 + byte] += GAIN
+        return byte
 
 
 class Coder:
     """The state of n blocks in lockstep. The first `live` blocks take part in a step; they are sorted by length."""
 
     def __init__(self, n: int, data: list[bytes] | None = None):
-        self.n = n
-        self.low, self.range = np.zeros(n, np.uint32), np.full(n, 0xFFFFFFFF, np.uint32)
-        self.pos = np.zeros(n, np.int64)
+        self.range, self.pos, self.lane = np.full(n, 1 << 48, np.uint64), np.zeros(n, np.int64), np.arange(n)
         if data is None:
-            self.out, self.code = np.zeros((n, BLOCK * 3 + 64), np.uint8), None
+            self.low, self.out, self.code = np.zeros(n, np.uint64), np.zeros((n, BLOCK * 3 + 8), np.uint16), None
         else:
-            size = max(map(len, data)) + 8
-            self.out = np.frombuffer(b"".join(d.ljust(size, b"\0") for d in data), np.uint8).reshape(n, size)
-            self.code = self.out[:, :4].astype(np.uint32) @ np.array([1 << 24, 1 << 16, 1 << 8, 1], np.uint32)
-            self.pos += 4
-        self.lane = np.arange(n)
-        self.guess2, self.guess1 = np.full((n, SLOTS), -1, np.int32), np.full((n, SLOTS), -1, np.int32)
-        self.sure2, self.sure1 = np.zeros((n, SLOTS), np.int8), np.zeros((n, SLOTS), np.int8)
-        self.by_sure, self.by_past = np.full((n, 32, 3), 1 / 3, np.float32), np.full((n, 9, 3), 1 / 3, np.float32)
-        self.weight = np.full(n, 0.5, np.float32)
-        self.past = np.zeros(n, np.int64)
-        self.prev1, self.prev2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        self.nibble = np.tile((_STEP.astype(np.int32) * (_ONE // 16)).astype(np.int16), (n, 1 + 16 + 256 + 16, 1))
-
-    def _narrow(self, at: np.ndarray, cum: np.ndarray, freq: np.ndarray) -> None:
-        """Takes the part [cum, cum + freq) of 2**BITS for the blocks `at`, and moves bytes out or in."""
-        r = self.range[at] >> np.uint32(BITS)
-        low, rng = self.low[at] + r * cum.astype(np.uint32), r * freq.astype(np.uint32)
-        todo = np.arange(len(at))
-        while True:
-            a, b = low[todo], rng[todo]
-            same = (a ^ (a + b)) < _TOP
-            tight = ~same & (b < _BOTTOM)
-            move = same | tight
-            if not move.any():
-                break
-            b = np.where(tight, (np.uint32(0) - a) & np.uint32(0xFFFF), b)
-            todo, a, b = todo[move], a[move], b[move]
-            lane = at[todo]
-            if self.code is None:
-                self.out[lane, self.pos[lane]] = a >> np.uint32(24)
-            else:
-                self.code[lane] = (self.code[lane] << np.uint32(8)) | self.out[lane, np.minimum(self.pos[lane], self.out.shape[1] - 1)]
-            self.pos[lane] += 1
-            low[todo], rng[todo] = a << np.uint32(8), b << np.uint32(8)
-        self.low[at], self.range[at] = low, rng
-
-    def _target(self, at: np.ndarray) -> np.ndarray:
-        return np.minimum((self.code[at] - self.low[at]) // (self.range[at] >> np.uint32(BITS)), _ONE - 1).astype(np.int32)
-
-    def _mode(self, at: np.ndarray, p: np.ndarray, mode: np.ndarray | None) -> np.ndarray:
-        """Codes (or reads, mode None) one of three outcomes of probabilities p."""
-        f0 = (p[:, 0] * (_ONE - 6)).astype(np.int64) + 2
-        f1 = (p[:, 1] * (_ONE - 6)).astype(np.int64) + 2
-        c2 = f0 + f1
-        if mode is None:
-            v = self._target(at)
-            mode = (v >= f0).astype(np.int64) + (v >= c2)
-        cum = np.where(mode == 0, 0, np.where(mode == 1, f0, c2))
-        self._narrow(at, cum, np.where(mode == 0, f0, np.where(mode == 1, f1, _ONE - c2)))
-        return mode
-
-    def _nibble(self, at: np.ndarray, context: np.ndarray, symbol: np.ndarray | None, rate: int) -> np.ndarray:
-        c = self.nibble[at, context]
-        if symbol is None:
-            symbol = (c[:, 1:16] <= self._target(at)[:, None]).sum(1)
-        i = np.arange(len(at))
-        cum = c[i, symbol].astype(np.int32)
-        self._narrow(at, cum, c[i, symbol + 1] - cum)
-        goal = _STEP + (_STEP[None, :] > symbol.astype(np.int16)[:, None]) * np.int16(_ONE - 16)
-        c += (goal - c) >> rate
-        self.nibble[at, context] = c
-        return symbol
+            size = max(map(len, data)) // 2 + 8
+            self.out = np.frombuffer(b"".join(d.ljust(2 * size, b"\0") for d in data), ">u2").astype(np.uint16).reshape(n, size)
+            self.code = sum(self.out[:, k].astype(np.uint64) << np.uint64(32 - 16 * k) for k in range(3))
+            self.pos += 3
+        self.order2, self.order1 = np.full(n * SLOTS, -4, np.int32), np.full(n * SLOTS, -4, np.int32)  # id * 4 + confidence; no id yet
+        self.weight2, self.weight1 = np.full(n * 32, _ONE // 4, np.int32), np.full(n * 32, _ONE // 4, np.int32)
+        self.upper, self.lower = Bytes(n), Bytes(n * CLASSES)
+        self.prev1, self.prev2, self.steps = np.zeros(n, np.int64), np.zeros(n, np.int64), 0
+
+    def target(self, at) -> np.ndarray:
+        return np.minimum(self.code[at] // (self.range[at] >> np.uint64(BITS)), np.uint64(_ONE - 1)).astype(np.int64)
+
+    def narrow(self, at, cum: np.ndarray, freq: np.ndarray) -> None:
+        """Takes the part [cum, cum + freq) of _ONE for the blocks `at` (indices, or a slice from 0), and moves a word out or in."""
+        r = self.range[at] >> np.uint64(BITS)
+        skip, rng = r * cum.astype(np.uint64), r * freq.astype(np.uint64)
+        few = np.flatnonzero(rng < _LOW)
+        lane = few if isinstance(at, slice) else at[few]
+        pos = self.pos[lane]
+        rng[few] <<= _WORD
+        if self.code is None:
+            low = self.low[at] + skip
+            over = np.flatnonzero(low > _WINDOW)
+            if len(over):
+                low[over] &= _WINDOW
+                self._carry(over if isinstance(at, slice) else at[over])
+            self.out[lane, pos] = low[few] >> np.uint64(32)
+            low[few] = (low[few] << _WORD) & _WINDOW
+            self.low[at] = low
+        else:
+            code = self.code[at] - skip
+            code[few] = (code[few] << _WORD) | self.out[lane, np.minimum(pos, self.out.shape[1] - 1)]
+            self.code[at] = code
+        self.pos[lane] = pos + 1
+        self.range[at] = rng
+
+    def _carry(self, lane: np.ndarray) -> None:
+        pos = self.pos[lane] - 1
+        while len(lane):
+            self.out[lane, pos] += np.uint16(1)
+            on = self.out[lane, pos] == 0
+            lane, pos = lane[on], pos[on] - 1
 
     def step(self, live: int, ids: np.ndarray | None) -> np.ndarray:
         """Codes (or reads, ids None) the next id of the first `live` blocks."""
-        at = self.lane[:live]
+        if self.steps and (self.steps % RENEW == 0 or self.steps in (8, 16, 32)):
+            self.upper.renew()
+            self.lower.renew()
+        self.steps += 1
+        at, lane = slice(0, live), self.lane[:live]
         p1, p2 = self.prev1[:live], self.prev2[:live]
-        h1, h2 = p1 * 40503 % 65521 % SLOTS, (p1 * 40503 + p2 * 30011 + 7) % 65521 % SLOTS
-        g1, g2 = self.guess1[at, h1], self.guess2[at, h2]
-        s1, s2 = self.sure1[at, h1].astype(np.int64), self.sure2[at, h2].astype(np.int64)
-        agree = g1 == g2
-        x, y = s2 * 8 + s1 * 2 + agree, self.past[:live]
-        px, py, w = self.by_sure[at, x], self.by_past[at, y], self.weight[:live]
-        p = w[:, None] * (px - py) + py
+        i1 = lane * SLOTS + ((p1 * 40503 >> 5) & (SLOTS - 1))
+        i2 = lane * SLOTS + (((p1 * 40503 ^ p2 * 30011) >> 5) & (SLOTS - 1))
+        e1, e2 = self.order1.take(i1), self.order2.take(i2)
+        g1, g2, s1, s2 = e1 >> 2, e2 >> 2, e1 & 3, e2 & 3
+        same = g1 == g2
+        x = lane * 32 + (s2 * 8 + s1 * 2 + same)
+        w1, w2 = self.weight1.take(x), self.weight2.take(x)
+        a = (w2 * 127 >> 7) + 64
+        b = a + (w1 * 127 >> 7) + 64
+        a = np.where(same, b, a)  # both orders say this id: their weights add up
         if ids is None:
-            mode = self._mode(at, p, None)
+            v = self.target(at)
+            by2, by1 = v < a, (v >= a) & (v < b)
         else:
-            mode = self._mode(at, p, np.where(ids == g2, 0, np.where((ids == g1) & ~agree, 1, 2)))
-        got = np.where(mode == 0, g2, g1).astype(np.int64)
-        rest = np.flatnonzero(mode == 2)
+            by2 = ids == g2
+            by1 = (ids == g1) & ~by2
+        cum = np.where(by2, 0, np.where(by1, a, b))
+        self.narrow(at, cum, np.where(by2, a, np.where(by1, b, _ONE)) - cum)
+        got = np.where(by2, g2, g1).astype(np.int64) if ids is None else ids
+        rest = np.flatnonzero(~(by2 | by1))
         if len(rest):
             own = None if ids is None else ids[rest]
-            part = lambda k: None if own is None else own >> k & 15
-            a = self._nibble(rest, np.zeros(len(rest), np.int64), part(12), 5)
-            b = self._nibble(rest, 1 + a, part(8), 5)
-            c = self._nibble(rest, 17 + a * 16 + b, part(4), 4)
-            d = self._nibble(rest, 273 + c, part(0), 5)
-            got[rest] = ((a * 16 + b) * 16 + c) * 16 + d
+            upper = self.upper.code(self, rest, rest, None if own is None else own >> 8)
+            lower = self.lower.code(self, rest, rest * CLASSES + _CLASS[upper], None if own is None else own & 255)
+            if ids is None:
+                got[rest] = upper * 256 + lower
         # what was learned
-        i = np.arange(live)
-        ex, ey = px[i, mode], py[i, mode]
-        self.weight[:live] = np.clip(w * ex / (w * ex + (1 - w) * ey) * np.float32(0.98) + np.float32(0.01), 0.02, 0.98)
-        for q in (px, py):
-            q *= np.float32(0.95)
-            q[i, mode] += np.float32(0.05)
-        self.by_sure[at, x], self.by_past[at, y] = px, py
-        self.past[:live] = y % 3 * 3 + mode
-        hit1, hit2 = g1 == got, g2 == got
-        self.sure1[at, h1], self.sure2[at, h2] = np.where(hit1, np.minimum(s1 + 1, 3), 0), np.where(hit2, np.minimum(s2 + 1, 3), 0)
-        self.guess1[at, h1], self.guess2[at, h2] = got, got
+        o1, o2 = g1 == got, g2 == got
+        self.weight2[x] = w2 + (o2 * (_ONE >> o1.astype(np.int32)) - w2 >> 5)
+        self.weight1[x] = w1 + (o1 * (_ONE >> o2.astype(np.int32)) - w1 >> 5)
+        new = (got << 2).astype(np.int32)
+        self.order1[i1], self.order2[i2] = new + np.where(o1, np.minimum(s1 + 1, 3), 0), new + np.where(o2, np.minimum(s2 + 1, 3), 0)
         self.prev2[:live], self.prev1[:live] = p1.copy(), got
         return got
 
@@ -163,7 +173,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
             live = int(np.searchsorted(-size, -t, side="left"))
             coder.step(live, ids[t, :live])
         for b, low, pos in zip(coder.out, coder.low, coder.pos, strict=True):
-            out.append(b[:pos].tobytes() + int(low).to_bytes(4, "big"))
+            out.append(b[:pos].astype(">u2").tobytes() + int(low).to_bytes(6, "big"))
     return out
 
 
