@@ -199,6 +199,6 @@ def exact_target(spark, d) -> DataFrame:
 
 @query()
 def similar_pairs(spark, d) -> DataFrame:
-    """Parts of one brand and size with like names; the likeness is no SQL function."""
-    p = read(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").cast("string").alias("starts_at"), F.col("p_brand").alias("organizer"), F.lit("").alias("description"), F.col("p_name").alias("title"))
-    return resolve.similar_pairs(p)
+    """Customers of one nation and segment with like names; the likeness is no SQL function."""
+    c = read(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_mktsegment").alias("starts_at"), F.concat(F.lit("nation "), F.col("c_nationkey").cast("string")).alias("organizer"), F.lit("").alias("description"), F.col("c_name").alias("title"))
+    return resolve.similar_pairs(c)
