@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from .durable import cut
+
 
 def top_k(rows: DataFrame, group: list[str], k: int, *order: Column) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("rank") <= k)
@@ -62,9 +64,8 @@ def mmr(candidates: DataFrame, user: str, k: int = 6, trade: float = 0.82) -> Da
 
     candidates: user, item (a number, once a user), score, features (map of string to double). All of a user's items
     take part: each of k rounds is an aggregate that chooses one item a user, and a join that gives the others their
-    greatest likeness so far. Each round's plan is cut (checkpoint, or a local one where no folder is set).
+    greatest likeness so far. Each round is written, so the plan doesn't grow.
     """
-    cut = (lambda t: t.checkpoint()) if candidates.sparkSession.sparkContext.getCheckpointDir() else (lambda t: t.localCheckpoint())
     rest = candidates.select(F.col(user).alias("user"), "item", "score", "features", F.lit(0.0).alias("near"))
     value = F.struct(trade * F.col("score") - (1 - trade) * F.col("near"), -F.col("item"))
     out = None
