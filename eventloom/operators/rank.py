@@ -80,6 +80,14 @@ def mmr(candidates: DataFrame, user: str, k: int = 6, trade: float = 0.82) -> Da
     return out
 
 
+def unseen_first(candidates: DataFrame, user: str, seen: str, k: int = 6) -> DataFrame:
+    """A user's unseen candidates where there are k or more, else all; what `mmr` then ranks. A null in `seen` is unseen."""
+    new = ~F.coalesce(F.col(seen), F.lit(False))
+    plenty = candidates.groupBy(F.col(user).alias("_user")).agg(F.count_if(new).alias("_new")).where(F.col("_new") >= k)
+    df = candidates.join(plenty, F.col(user).eqNullSafe(F.col("_user")), "left")
+    return df.where(F.col("_new").isNull() | new).drop("_user", "_new")
+
+
 @F.arrow_udf(DoubleType())
 def novelty(c: pa.Array) -> pa.Array:
     """FNV-1a (32 bit) over the first UTF-16 unit of each character, modulo 1000, in thousandths."""

@@ -63,23 +63,37 @@ def evidence_edges(events: DataFrame, keys: dict[str, Column], row_id: str, bloc
     return out
 
 
+def _same_place(events: DataFrame, row_id: str) -> DataFrame:
+    """l_ and r_ id, at, org, key, nth, url and likeness s of the pairs with the same start and organizer; keys are made once a row."""
+    body = F.coalesce(F.nullif(F.col("description"), F.lit("")), F.col("title"), F.lit(""))
+    url = T.canonical_url_strict(F.col("url")) if "url" in events.columns else F.lit(None).cast("string")
+    k = events.select(F.col(row_id).alias("id"), F.coalesce("starts_at", F.lit("")).alias("at"), T.dedup_key(F.col("organizer")).alias("org"), T.dedup_key(body).alias("key"), T.event_ordinal(body).alias("nth"), url.alias("url")).where("org <> ''")
+    left, right = k.select(*(F.col(c).alias(f"l_{c}") for c in k.columns)), k.select(*(F.col(c).alias(f"r_{c}") for c in k.columns))
+    return left.join(right, (F.col("l_at") == F.col("r_at")) & (F.col("l_org") == F.col("r_org")) & (F.col("l_id") < F.col("r_id")))
+
+
 def similar_pairs(events: DataFrame, row_id: str = "id", low: float = 0.50, high: float = 0.75) -> DataFrame:
     """a, b, reason, confidence of pairs with the same start and organizer whose ordinals agree and whose texts are alike.
 
-    events: starts_at, organizer, description, title and the id. Keys are made once a row; similarity runs on the pairs
-    that are left only.
+    events: starts_at, organizer, description, title and the id. Similarity runs on the pairs that are left only.
     """
-    body = F.coalesce(F.nullif(F.col("description"), F.lit("")), F.col("title"), F.lit(""))
-    k = events.select(F.col(row_id).alias("id"), F.coalesce("starts_at", F.lit("")).alias("at"), T.dedup_key(F.col("organizer")).alias("org"), T.dedup_key(body).alias("key"), T.event_ordinal(body).alias("nth")).where("org <> ''")
-    left, right = k.select(*(F.col(c).alias(f"l_{c}") for c in k.columns)), k.select(*(F.col(c).alias(f"r_{c}") for c in k.columns))
-    pairs = left.join(right, (F.col("l_at") == F.col("r_at")) & (F.col("l_org") == F.col("r_org")) & (F.col("l_id") < F.col("r_id")) & F.col("l_nth").eqNullSafe(F.col("r_nth")))
-    s = pairs.withColumn("s", T.ratcliff("l_key", "r_key"))
+    s = _same_place(events, row_id).where(F.col("l_nth").eqNullSafe(F.col("r_nth"))).withColumn("s", T.ratcliff("l_key", "r_key"))
     nth = F.col("l_nth").isNotNull() & (F.col("s") >= low)
     reason = F.when(nth, "same_organizer_same_start_ordinal").when(F.col("s") >= high, "same_organizer_same_start_high_similarity")
     sure = F.when(nth, F.least(F.lit(0.96), 0.80 + 0.25 * F.col("s"))).otherwise(F.least(F.lit(0.94), 0.74 + 0.25 * F.col("s")))
     return s.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"), reason.alias("reason"), F.bround(sure, 4).alias("confidence")).where("reason is not null")
 
 
+def ambiguous_pairs(events: DataFrame, row_id: str = "id", least: float = 0.45, low: float = 0.50, high: float = 0.75) -> DataFrame:
+    """a, b, similarity of pairs with the same start and organizer that are alike but by no rule the same: for a person to decide.
+
+    events: as for similar_pairs, and url; pairs with one address are the same. low and high: as there.
+    """
+    p = _same_place(events, row_id).where(~F.coalesce(F.col("l_url") == F.col("r_url"), F.lit(False))).withColumn("s", T.ratcliff("l_key", "r_key"))
+    same = F.col("l_nth").eqNullSafe(F.col("r_nth")) & ((F.col("l_nth").isNotNull() & (F.col("s") >= low)) | (F.col("s") >= high))
+    return p.where((F.col("s") >= least) & ~same).select(F.col("l_id").alias("a"), F.col("r_id").alias("b"), F.bround("s", 4).alias("similarity"))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """v, component (the smallest vertex reachable).
 
