@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 SLICE_ROWS = 256
 #: Most bytes that may be broadcast; larger sides take another way.
 BROADCAST_BYTES = 64 << 20
+#: Most bytes of Parquet files of a table that may be broadcast: some times that in memory.
+LIGHT_BYTES = 12 << 20
 #: Rows in a file of a narrow intermediate table whose greatest length is known.
 FILE_ROWS = 50_000
 
@@ -77,6 +79,16 @@ class Durable:
         self.tables.append((out, path))
         return out
 
+    def bytes(self, table: DataFrame) -> int:
+        """Bytes of the files of a table that put() gave."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(next(path for t, path in self.tables if t is table))
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+    def light(self, table: DataFrame) -> DataFrame:
+        """The table, to be broadcast if its files are of LIGHT_BYTES at most; larger ones are joined by shuffle."""
+        return F.broadcast(table) if self.bytes(table) <= LIGHT_BYTES else table
+
     def keep(self, *needed: DataFrame) -> None:
         """Deletes all tables but those that are still needed."""
         for df, path in self.tables:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, language_id, license_scan, pii, piece_codec, quality_mcd, token_binary, token_counts, toxicity
+from . import collocations, conversation_repair, decontaminate, jaccard_join, language_id, license_scan, pii, piece_codec, quality_mcd, repeats, token_binary, token_counts, toxicity
 from .common import table
 
 
@@ -50,8 +50,20 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_components(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repaired(table(spark, sf_dir, "conversations"))
+
+
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_license_scan, op4_token_binary, op5_pii, op6_decontaminate, op7_quality_mcd, op8_language_id, op9_piece_codec, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_license_scan, op4_token_binary, op5_pii, op6_decontaminate, op7_quality_mcd, op8_language_id, op9_piece_codec, op10_jaccard_join, op11_conversation_repair, op12_repeats, op13_collocations)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -86,6 +98,30 @@ comp AS (SELECT v, min(r) AS c FROM walk GROUP BY v)
 SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(c, doc_id)) AS component_id FROM dw LEFT JOIN n USING (doc_id) LEFT JOIN comp ON v = doc_id"""
 
 
+OP12_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+ q AS (SELECT r, o, substr(h, 2 * o + 1, 1198) AS h FROM (SELECT r, h, unnest(range(0, length(h) // 2 - 399, 200)) AS o FROM d)),
+ w AS (SELECT r, o + i AS o, md5_number(substr(h, 2 * i + 1, 800)) AS k FROM (SELECT r, o, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM q)),
+ f AS (SELECT r, o FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+ e AS (SELECT r, o, coalesce(o > lag(o) OVER (PARTITION BY r ORDER BY o) + 400, true) AS new FROM f),
+ s AS (SELECT r, min(o) AS a, max(o) + 400 AS b FROM (SELECT r, o, sum(new::INT) OVER (PARTITION BY r ORDER BY o) AS i FROM e) GROUP BY r, i),
+ c AS (SELECT r, count(*) AS spans, sum(b - a) AS gone, list_prepend(0, list(b ORDER BY a)) AS froms, list(a ORDER BY a) AS upto FROM s GROUP BY r)
+ SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0) AS n_spans,
+ sha256(unhex(CASE WHEN gone IS NULL THEN h ELSE array_to_string(list_transform(range(1, len(froms) + 1), lambda i: substr(h, 2 * froms[i] + 1, CASE WHEN i > len(upto) THEN length(h) ELSE 2 * (upto[i] - froms[i]) END)), '') END)) AS kept_sha256
+ FROM d LEFT JOIN c USING (r)"""
+
+OP13_SQL = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+ w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM t), s AS (SELECT lang, w, m FROM w, range(1, 6) AS z(m)),
+ f AS (SELECT lang, g, m, count(*) AS f FROM (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i : i + m - 1], ' '))) AS g FROM s) GROUP BY ALL),
+ n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang), c AS (SELECT lang, g, m, f AS a, string_split(g, ' ') AS w FROM f WHERE m > 1 AND f >= 100),
+ k AS (SELECT lang, g, a, unnest(range(1, m)) AS k, w FROM c),
+ u AS (SELECT k.lang, k.g, k.a, k, x.f AS l, y.f AS r, n, (1000 * k.a::HUGEINT * n // (x.f::HUGEINT * y.f))::BIGINT AS score FROM k JOIN n USING (lang) JOIN f x ON x.lang = k.lang AND x.g = array_to_string(w[1 : k], ' ') JOIN f y ON y.lang = k.lang AND y.g = array_to_string(w[k + 1 :], ' ')),
+ b AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+ i AS (SELECT lang, array_to_string(w[p : p + z - 1], ' ') AS g, max(a) AS inside FROM (SELECT lang, a, w, z, unnest(range(1, m - z + 2)) AS p FROM c, range(2, 5) AS q(z) WHERE z < m) GROUP BY ALL)
+ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n, score FROM b LEFT JOIN i USING (lang, g) WHERE coalesce(100 * inside, 0) < 100 * a QUALIFY rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The others have parts that SQL can't say (automata, learned scores, coders, covariance steps); tests compare those with plain versions."""
-    return {"op6_decontaminate": OP6_SQL, "op10_jaccard_join": OP10_SQL}
+    return {"op6_decontaminate": OP6_SQL, "op10_jaccard_join": OP10_SQL, "op12_repeats": OP12_SQL, "op13_collocations": OP13_SQL}
