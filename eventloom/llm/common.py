@@ -19,6 +19,8 @@ SLICE_ROWS = 256
 BROADCAST_BYTES = 64 << 20
 #: Most bytes of Parquet files of a table that may be broadcast: some times that in memory.
 LIGHT_BYTES = 12 << 20
+#: Bits of a filter of keys: 8 MB, whatever the number of keys; with many more keys than bits it lets everything pass.
+FILTER_BITS = 1 << 26
 #: Rows in a file of a narrow intermediate table whose greatest length is known.
 FILE_ROWS = 50_000
 
@@ -97,6 +99,22 @@ class Durable:
         self.tables = [t for t in self.tables if any(t[0] is x for x in needed)]
 
 
+def key_filter(store: Durable, keys: DataFrame, key: str) -> DataFrame:
+    """bucket, bitmap: a bit for each key by its hash, in bitmaps of 32,768 bits; FILTER_BITS in all."""
+    bit = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    return store.put(keys.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bitmap")).coalesce(4))
+
+
+def with_filter(rows: DataFrame, bits: DataFrame, key: str) -> DataFrame:
+    """rows with may_have: false only if no such key is in the filter. Rows that can't be joined needn't be shuffled."""
+    bit = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    place = F.bitmap_bit_position(bit).cast("int")
+    df = rows.withColumn("_bucket", F.bitmap_bucket_number(bit)).join(F.broadcast(bits.withColumnRenamed("bucket", "_bucket")), "_bucket", "left")
+    byte = F.conv(F.hex(F.substring("bitmap", (place / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    has = F.floor(byte / F.pow(F.lit(2), place % 8)).cast("int") % 2 == 1
+    return df.withColumn("may_have", F.coalesce(has, F.lit(False))).drop("_bucket", "bitmap")
+
+
 def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]], rows: int = SLICE_ROWS, most_bytes: int | None = None) -> DataFrame:
     """mapInArrow in slices of so many rows. start() runs once a task and gives the function from a slice to batches.
 

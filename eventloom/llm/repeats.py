@@ -8,7 +8,8 @@ windows with the anchor at one place make a region. Steps, each over all rows:
 2. The regions of the others are cut out of the texts and counted by their content: copies meet as numbers, not as bytes.
    All windows of a region that occurs twice are repeated.
 3. The different regions of an anchor are put one after the other (the anchor itself as one symbol) and a suffix array is
-   built by Lyndon grouping (see suffix_grouping). Windows that are repeated are neighbours in it and are compared.
+   built by Lyndon grouping (see suffix_grouping). Windows that are repeated are neighbours in it and are compared. What
+   lies further from the anchor than any other region agrees is cut off first: no repeated window reaches there.
 4. The regions of an anchor with more than BLOCK different ones are dealt to blocks, each with a suffix array of its own.
    Each block's different windows are then compared with the other blocks' by 128-bit digests, packed by digest.
 5. Repeated windows go back to their texts as byte ranges.
@@ -193,25 +194,53 @@ def cut_regions(rows: DataFrame) -> DataFrame:
     return common.map_rows(rows.select("key", "text", "regions"), REGION, start)
 
 
+def _agreed(a: bytes, b: bytes) -> int:
+    """Length of the common prefix."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while low < high:
+        mid = (low + high + 1) // 2
+        if a[:mid] == b[:mid]:
+            low = mid
+        else:
+            high = mid - 1
+    return low
+
+
+def _reach(sides: list[bytes]) -> list[int]:
+    """For each text the length of the longest prefix that it shares with another: sorted, with one of its neighbours."""
+    order = sorted(range(len(sides)), key=sides.__getitem__)
+    out = [0] * len(sides)
+    for i, j in zip(order, order[1:]):
+        n = _agreed(sides[i], sides[j])
+        out[i], out[j] = max(out[i], n), max(out[j], n)
+    return out
+
+
 def repeated_windows(regions: list[tuple[bytes, int, int, int]]) -> list[np.ndarray]:
     """For each region (body, pre, windows, n) of one anchor which windows are repeated; n: how often the region occurs."""
-    raw, at = b"", []
-    for body, pre, _, _ in regions:
-        at.append(len(raw))
-        raw += body[:pre] + _ANCHOR_BYTE + body[pre:] + _END_BYTE
     width = WINDOW - ANCHOR + 1
-    region = [-1] * (len(raw) + 1)
-    for k, (a, (_, _, windows, _)) in enumerate(zip(at, regions, strict=True)):
-        region[a : a + windows] = [k] * windows
+    left = _reach([body[:pre][::-1] for body, pre, _, _ in regions])
+    right = _reach([body[pre:] for body, pre, _, _ in regions])
     flags = [np.full(w, n > 1) for _, _, w, n in regions]
-    last = -1
-    for i in suffix_array([c + 1 for c in raw] + [0]):
-        k = region[i]
+    raw, at, owner = b"", [0] * len(regions), []
+    for k, (body, pre, windows, _) in enumerate(regions):
+        first, last = max(0, pre - left[k]), min(windows - 1, pre + right[k] - (width - 1))
+        if first > last:
+            continue
+        at[k] = len(raw) - first
+        piece = body[first:pre] + _ANCHOR_BYTE + body[pre : last + width - 1] + _END_BYTE
+        owner += [k] * (last - first + 1) + [-1] * (len(piece) - (last - first + 1))
+        raw += piece
+    before = -1
+    for i in suffix_array([c + 1 for c in raw] + [0]) if raw else ():
+        k = owner[i] if i < len(owner) else -1
         if k < 0:
             continue
-        if last >= 0 and raw[last : last + width] == raw[i : i + width]:
-            flags[k][i - at[k]] = flags[region[last]][last - at[region[last]]] = True
-        last = i
+        if before >= 0 and raw[before : before + width] == raw[i : i + width]:
+            flags[k][i - at[k]] = flags[owner[before]][before - at[owner[before]]] = True
+        before = i
     return flags
 
 
@@ -335,7 +364,8 @@ def repeated_ranges(store: common.Durable, rows: DataFrame) -> DataFrame:
     often = store.put(found.select(F.explode("h").alias("h")).groupBy("h").count().where("count > 1").select("h"))
     each = found.select("key", F.explode(F.arrays_zip("h", "s", "e", "p")).alias("r")).select("key", "r.*")
     places = store.put(each.join(store.light(often), "h").groupBy("key").agg(F.collect_set(F.struct("s", "e", "p")).alias("regions")))
-    regions = store.put(cut_regions(rows.select("key", "text").join(store.light(places), "key")))
+    bits = common.key_filter(store, places, "key")
+    regions = store.put(cut_regions(common.with_filter(rows.select("key", "text"), bits, "key").where("may_have").join(places, "key")))
 
     ids = ["g1", "g2", "d1", "d2"]
     different = store.put(regions.groupBy(*ids).agg(F.sum("n").alias("n"), F.first("windows").alias("windows"), F.first("pre").alias("pre"), F.max("body").alias("body")))
@@ -384,7 +414,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     store = common.Durable(docs.sparkSession, "repeats")
     rows = keyed(docs)
     ranges = repeated_ranges(store, rows)
-    return _applied(rows.join(store.light(ranges), "key", "left"))
+    marked = common.with_filter(rows, common.key_filter(store, ranges, "key"), "key")
+    none = F.lit(None).cast("array<int>")
+    whole = marked.where("not may_have").withColumns({"a": none, "b": none})
+    return _applied(marked.where("may_have").join(ranges, "key", "left").unionByName(whole))
 
 
 def removed(docs: DataFrame) -> DataFrame:
