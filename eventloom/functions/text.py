@@ -18,6 +18,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
+from . import markup
+
 FULL_DIGITS = ("０１２３４５６７８９", "0123456789")
 
 
@@ -206,11 +208,8 @@ def modality(text: Column, category: Column, terms: dict[str, list[str]]) -> Col
 
 
 def meta_content(page: Column, name: str) -> Column:
-    """A page's meta content by name or property, whichever way round the attributes stand."""
-    n = re.escape(name)
-    first = F.regexp_extract(page, rf"(?i)<meta[^>]+(?:name|property)=[\"']{n}[\"'][^>]+content=[\"']([^\"']*)", 1)
-    second = F.regexp_extract(page, rf"(?i)<meta[^>]+content=[\"']([^\"']*)[\"'][^>]+(?:name|property)=[\"']{n}[\"']", 1)
-    return F.coalesce(F.nullif(first, F.lit("")), F.nullif(second, F.lit("")))
+    """A page's meta content by name or property, however the attributes stand and are quoted."""
+    return markup.meta_of(markup.tags(page), name)
 
 
 @F.arrow_udf(StringType())

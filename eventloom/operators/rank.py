@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .durable import cut
+from .durable import Rounds
 
 
 def top_k(rows: DataFrame, group: list[str], k: int, *order: Column) -> DataFrame:
@@ -68,15 +68,18 @@ def mmr(candidates: DataFrame, user: str, k: int = 6, trade: float = 0.82) -> Da
     """
     rest = candidates.select(F.col(user).alias("user"), "item", "score", "features", F.lit(0.0).alias("near"))
     value = F.struct(trade * F.col("score") - (1 - trade) * F.col("near"), -F.col("item"))
-    out = None
+    out, tables, before = None, Rounds(candidates.sparkSession), None
     for r in range(1, k + 1):
-        best = cut(rest.groupBy("user").agg(F.max_by(F.struct("item", "features"), value).alias("best")))
+        best = tables.put(rest.groupBy("user").agg(F.max_by(F.struct("item", "features"), value).alias("best")))
         chosen = best.select("user", F.col("best.item").alias("item"), F.lit(r).alias("rank"))
         out = chosen if out is None else out.unionByName(chosen)
         if r < k:
             last = best.select(F.col("user").alias("_user"), F.col("best.item").alias("_item"), F.col("best.features").alias("_features"))
             rest = rest.join(last, F.col("user").eqNullSafe(F.col("_user"))).where("item <> _item")
-            rest = cut(rest.select("user", "item", "score", "features", F.greatest("near", _likeness(F.col("features"), F.col("_features"))).alias("near")))
+            rest = tables.put(rest.select("user", "item", "score", "features", F.greatest("near", _likeness(F.col("features"), F.col("_features"))).alias("near")))
+            if before is not None:
+                tables.drop(before)
+            before = rest
     return out
 
 

@@ -2,7 +2,7 @@
 
 Pairs are only formed inside a block (the same start, or a key of equal evidence). Equal evidence never needs all pairs
 of a block: its members are linked to the block's first member. Only the similarity rule compares pairs, inside blocks
-of start and organizer.
+of start and organizer and behind an exact filter (see `similarity`).
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .durable import cut
+from . import similarity
+from .durable import Rounds
 
 
 def latest(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -34,13 +35,13 @@ def first_of_any_key(new: DataFrame, keys: list[Column], order: str, known: Data
     that share a key with them go; only the rest, (key, order) pairs of undecided rows, goes round again.
     """
     each = new.select(F.col(order).alias("_o"), F.explode(F.array_distinct(F.array_compact(F.array(*keys)))).alias("_k"))
-    out = None
+    out, tables = None, Rounds(new.sparkSession)
     if known is not None:
         k = known.select(F.col(known.columns[0]).alias("_k")).distinct()
         out = each.join(k, "_k", "left_semi").select("_o").distinct()
         each = each.join(out, "_o", "left_anti")
     while True:
-        each = cut(each)
+        each = tables.put(each)
         if each.isEmpty():
             break
         first = each.groupBy("_k").agg(F.min("_o").alias("_first"))
@@ -54,34 +55,36 @@ def first_of_any_key(new: DataFrame, keys: list[Column], order: str, known: Data
 
 def evidence_edges(events: DataFrame, keys: dict[str, Column], row_id: str, block: list[str]) -> DataFrame:
     """a, b, reason: each row linked to the smallest row of its block with the same key; null keys link nothing."""
-    out = None
+    out, tables = None, Rounds(events.sparkSession)
     for reason, key in keys.items():
         rows = events.select(F.col(row_id).alias("b"), *block, key.alias("_key")).where(F.col("_key").isNotNull())
-        first = rows.groupBy(*block, "_key").agg(F.min("b").alias("a"))
+        # written, so that both sides of the join are shuffled for it and the rows of a hot key can be split
+        first = tables.put(rows.groupBy(*block, "_key").agg(F.min("b").alias("a"), F.count("*").alias("_n")).where("_n > 1").drop("_n"))
         e = rows.join(first, [*block, "_key"]).where("a < b").select("a", "b", F.lit(reason).alias("reason"))
         out = e if out is None else out.unionByName(e)
     return out
 
 
-def _same_place(events: DataFrame, row_id: str) -> DataFrame:
-    """l_ and r_ id, at, org, key, nth, url and likeness s of the pairs with the same start and organizer; keys are made once a row."""
+def _keys(events: DataFrame, row_id: str) -> DataFrame:
+    """id, at (start), org (organizer's key), key (of the text), nth and url of the rows that have an organizer."""
     body = F.coalesce(F.nullif(F.col("description"), F.lit("")), F.col("title"), F.lit(""))
     url = T.canonical_url_strict(F.col("url")) if "url" in events.columns else F.lit(None).cast("string")
-    k = events.select(F.col(row_id).alias("id"), F.coalesce("starts_at", F.lit("")).alias("at"), T.dedup_key(F.col("organizer")).alias("org"), T.dedup_key(body).alias("key"), T.event_ordinal(body).alias("nth"), url.alias("url")).where("org <> ''")
-    left, right = k.select(*(F.col(c).alias(f"l_{c}") for c in k.columns)), k.select(*(F.col(c).alias(f"r_{c}") for c in k.columns))
-    return left.join(right, (F.col("l_at") == F.col("r_at")) & (F.col("l_org") == F.col("r_org")) & (F.col("l_id") < F.col("r_id")))
+    return events.select(F.col(row_id).alias("id"), F.coalesce("starts_at", F.lit("")).alias("at"), T.dedup_key(F.col("organizer")).alias("org"), T.dedup_key(body).alias("key"), T.event_ordinal(body).alias("nth"), url.alias("url")).where("org <> ''")
 
 
 def similar_pairs(events: DataFrame, row_id: str = "id", low: float = 0.50, high: float = 0.75) -> DataFrame:
     """a, b, reason, confidence of pairs with the same start and organizer whose ordinals agree and whose texts are alike.
 
-    events: starts_at, organizer, description, title and the id. Similarity runs on the pairs that are left only.
+    events: starts_at, organizer, description, title and the id. Blocks have one start, organizer and ordinal; see
+    `similarity` for how pairs are found in them.
     """
-    s = _same_place(events, row_id).where(F.col("l_nth").eqNullSafe(F.col("r_nth"))).withColumn("s", T.ratcliff("l_key", "r_key"))
-    nth = F.col("l_nth").isNotNull() & (F.col("s") >= low)
-    reason = F.when(nth, "same_organizer_same_start_ordinal").when(F.col("s") >= high, "same_organizer_same_start_high_similarity")
-    sure = F.when(nth, F.least(F.lit(0.96), 0.80 + 0.25 * F.col("s"))).otherwise(F.least(F.lit(0.94), 0.74 + 0.25 * F.col("s")))
-    return s.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"), reason.alias("reason"), F.bround(sure, 4).alias("confidence")).where("reason is not null")
+    nth, s = F.col("nth").isNotNull(), F.col("s")
+    k = _keys(events, row_id).withColumn("least", F.when(nth, F.lit(min(low, high))).otherwise(F.lit(high))).withColumn("carry", nth)
+    pairs = similarity.alike_pairs(k.select("at", "org", "nth", "id", "key", "least", "carry"), ["at", "org", "nth"])
+    ordinal = F.col("l_carry") & (s >= low)
+    reason = F.when(ordinal, "same_organizer_same_start_ordinal").otherwise("same_organizer_same_start_high_similarity")
+    sure = F.when(ordinal, F.least(F.lit(0.96), 0.80 + 0.25 * s)).otherwise(F.least(F.lit(0.94), 0.74 + 0.25 * s))
+    return pairs.select(F.col("l").alias("a"), F.col("r").alias("b"), reason.alias("reason"), F.bround(sure, 4).alias("confidence"))
 
 
 def ambiguous_pairs(events: DataFrame, row_id: str = "id", least: float = 0.45, low: float = 0.50, high: float = 0.75) -> DataFrame:
@@ -89,30 +92,57 @@ def ambiguous_pairs(events: DataFrame, row_id: str = "id", least: float = 0.45,
 
     events: as for similar_pairs, and url; pairs with one address are the same. low and high: as there.
     """
-    p = _same_place(events, row_id).where(~F.coalesce(F.col("l_url") == F.col("r_url"), F.lit(False))).withColumn("s", T.ratcliff("l_key", "r_key"))
-    same = F.col("l_nth").eqNullSafe(F.col("r_nth")) & ((F.col("l_nth").isNotNull() & (F.col("s") >= low)) | (F.col("s") >= high))
-    return p.where((F.col("s") >= least) & ~same).select(F.col("l_id").alias("a"), F.col("r_id").alias("b"), F.bround("s", 4).alias("similarity"))
+    k = _keys(events, row_id).select("at", "org", "id", "key", F.lit(least).alias("least"), F.struct("nth", "url").alias("carry"))
+    p = similarity.alike_pairs(k, ["at", "org"]).where(~F.coalesce(F.col("l_carry.url") == F.col("r_carry.url"), F.lit(False)))
+    same = F.col("l_carry.nth").eqNullSafe(F.col("r_carry.nth")) & ((F.col("l_carry.nth").isNotNull() & (F.col("s") >= low)) | (F.col("s") >= high))
+    return p.where(~same).select(F.col("l").alias("a"), F.col("r").alias("b"), F.bround("s", 4).alias("similarity"))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """v, component (the smallest vertex reachable).
 
-    Each round gives a vertex its smallest neighbour, jumps on from there once, and contracts the edges to those between
-    different ones, so each round joins less; the rounds' steps are then followed one after the other. Each is written.
+    Each round vertices draw lots: each steps to the least of itself and its neighbours, jumps on from there once, and the
+    edges are contracted to those between different places. The lots are hashes, drawn anew from the third round on, so
+    whatever the order of the ids no long descending chains are left: the number of vertices falls by a constant share each
+    round, and a hub meets all its leaves in the first two. A round writes the steps of the vertices that are left; these are
+    followed from the last round back, so all rounds together cost a few times the first.
     """
-    rest = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    label = rest.select(F.col("a").alias("v")).union(rest.select(F.col("b").alias("v"))).distinct().withColumn("component", F.col("v"))
+    return _components(edges)[0]
+
+
+def _components(edges: DataFrame) -> tuple[DataFrame, int]:
+    """The components and the number of rounds."""
+    tables = Rounds(edges.sparkSession)
+    rest = tables.put(edges.select("a", "b").where("a is not null and b is not null").distinct())
+    vertices = rest.select(F.col("a").alias("v")).union(rest.select(F.col("b").alias("v"))).distinct()
+    first, steps = rest, []
     rest = rest.where("a <> b")
     while not rest.isEmpty():
-        near = rest.select(F.col("b").alias("v"), F.col("a").alias("p")).union(rest.select(F.col("a").alias("v"), F.col("a").alias("p"))).groupBy("v").agg(F.min("p").alias("p"))
-        near = cut(near)
-        jump = near.select(F.col("v").alias("p"), F.col("p").alias("hop"))
-        step = cut(near.join(jump, "p", "left").select("v", F.coalesce("hop", "p").alias("p")))
+        lot = lambda c: F.xxhash64(F.lit(max(0, len(steps) - 1)), c)  # noqa: B023, E731
+        both = rest.select(F.col("b").alias("v"), F.col("a").alias("p")).union(rest.select(F.col("a").alias("v"), F.col("b").alias("p")))
+        least = both.groupBy("v").agg(F.min(F.struct(lot(F.col("p")).alias("lot"), F.col("p").alias("p"))).alias("m"))
+        near = tables.put(least.select("v", F.when(F.struct(lot(F.col("v")).alias("lot"), F.col("v").alias("p")) < F.col("m"), F.col("v")).otherwise(F.col("m.p")).alias("p")))
+        step = tables.put(near.join(near.select(F.col("v").alias("p"), F.col("p").alias("hop")), "p").select("v", F.col("hop").alias("p")))
+        tables.drop(near)
         for end in ("a", "b"):
             rest = rest.join(step.select(F.col("v").alias(end), F.col("p").alias("_p")), end).drop(end).withColumnRenamed("_p", end)
-        rest = cut(rest.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        label = cut(label.join(step.select(F.col("v").alias("component"), "p"), "component", "left").select("v", F.coalesce("p", "component").alias("component")))
-    return label
+        rest = tables.put(rest.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        if steps:
+            tables.drop(last)
+        last = rest
+        steps.append(step)
+    root = None
+    for step in reversed(steps):
+        if root is not None:
+            step = step.join(root.select(F.col("v").alias("p"), F.col("root").alias("_r")), "p", "left").select("v", F.coalesce("_r", "p").alias("p"))
+        root = tables.put(step.withColumnRenamed("p", "root"))
+    if root is None:
+        return vertices.withColumn("component", F.col("v")), 0
+    tables.drop(*steps)
+    whole = tables.put(vertices.join(root, "v", "left").select("v", F.coalesce("root", "v").alias("root")))
+    least = tables.put(whole.groupBy("root").agg(F.min("v").alias("component")))
+    tables.drop(first)
+    return whole.join(least, "root").select("v", "component"), len(steps)
 
 
 #: Fixed: which source speaks first.
@@ -137,3 +167,90 @@ def merge_members(rows: DataFrame, group: str, order: list[Column], scalars: lis
     filled = [F.max_by(c, F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != "", F.col("_o"))).alias(c) for c in scalars]
     united = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in arrays]
     return ranked.groupBy(group).agg(*filled, *united, F.array_sort(F.collect_set(F.struct(*provenance))).alias("provenance"), F.count("*").alias("merged_source_count"))
+
+
+#: What a member says of where it comes from.
+PROVENANCE = ("source_record_id", "event_id", "source", "source_id", "url", "organizer", "fetched_at")
+#: Fields that the representative takes from the next in rank if it has none.
+BACKFILLED = ("image_url", "image_kind", "primary_action_url", "primary_action_kind", "official_x_url", "official_website_url", "vrchat_group_url", "vrchat_group_image_url", "preferred_image_url", "preferred_image_kind")
+LINK_FIELDS = ("official_links", "related_links")
+
+
+def first_of_each(items: Column) -> Column:
+    """Rows of an array of struct<key, place, row>, one for each key: the one of the least place. In order of the key."""
+    ordered = F.array_sort(F.transform(items, lambda x: F.struct(x["key"].alias("key"), x["place"].alias("place"), x["row"].alias("row"))))
+    kept = F.filter(ordered, lambda x, i: (i == 0) | (F.get(ordered, i - 1)["key"] != x["key"]))
+    return F.transform(kept, lambda x: x["row"])
+
+
+def _placed(rows: Column, place: Column, key) -> Column:
+    """array<struct<key, place, row>> of an array of structs; place: of the member, then of the row in it."""
+    return F.transform(rows, lambda r, i: F.struct(F.coalesce(F.nullif(key(r), F.lit("")), F.to_json(r)).alias("key"), F.struct(place.alias("member"), i.alias("at")).alias("place"), r.alias("row")))
+
+
+def merged_clusters(members: DataFrame, matches: DataFrame, own: list[str]) -> DataFrame:
+    """One row a cluster, as an ordered fold in one aggregate.
+
+    members: cluster, place (the order of input), id, source_record_id, what representative_order and PROVENANCE name, and any of
+    tags, provenance, BACKFILLED, LINK_FIELDS. matches: cluster, reason, confidence of the pairs that made it.
+
+    own: fields that the representative gives as they are. BACKFILLED come from the first in rank that has one. Tags are
+    united and sorted, blank ones left out. Of links with one canonical address and of provenance of one record the
+    first by place counts, whatever its rank. merge_reason is the sorted union, merge_confidence the least (1 without matches).
+    """
+    has = members.columns
+    rank = F.struct(*representative_order(has), -F.col("place"))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    rows = members.withColumn("_o", rank)
+    shape = "array<struct<" + ",".join(f"{c}:string" for c in PROVENANCE) + ">>"
+    itself = F.array(F.struct(*((F.col("id") if c == "event_id" else F.col(c)).cast("string").alias(c) for c in PROVENANCE)))
+    said = F.concat(F.coalesce(F.col("provenance").cast(shape), F.array().cast(shape)), itself) if "provenance" in has else itself
+    rows = rows.withColumn("_provenance", _placed(said, F.col("place"), lambda r: r["source_record_id"]))
+    out = [F.max_by(c, "_o").alias(c) for c in own]
+    out += [F.max_by(c, F.when(text(c) != "", F.col("_o"))).alias(c) for c in BACKFILLED if c in has and c not in own]
+    out += [F.max_by("source_record_id", "_o").alias("source_record_id"), first_of_each(F.flatten(F.collect_list("_provenance"))).alias("provenance"), F.count("*").alias("members")]
+    if "tags" in has:
+        out.append(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.filter("tags", lambda t: T.clean_text(t) != ""))))).alias("tags"))
+    for c in LINK_FIELDS:
+        if c in has:
+            rows = rows.withColumn(f"_{c}", _placed(F.coalesce(c, F.array().cast(members.schema[c].dataType)), F.col("place"), lambda r: T.canonical_url_strict(r["url"])))
+            out.append(first_of_each(F.flatten(F.collect_list(f"_{c}"))).alias(c))
+    merged = rows.groupBy("cluster").agg(*out).withColumn("merged_source_count", F.size("provenance"))
+    why = matches.groupBy("cluster").agg(F.array_sort(F.collect_set("reason")).alias("_why"), F.min("confidence").alias("_sure"))
+    df = merged.join(why, "cluster", "left")
+    return df.withColumns({"merge_reason": F.coalesce("_why", F.array().cast("array<string>")), "merge_confidence": F.coalesce("_sure", F.lit(1.0))}).drop("_why", "_sure")
+
+
+def cluster_audit(members: DataFrame, matches: DataFrame) -> DataFrame:
+    """A row for each cluster of several members: counts, ids, sources, reasons, least confidence, the representative's record."""
+    best = F.struct(*representative_order(members.columns), -F.col("place"))
+    sorted_of = lambda c: F.array_sort(F.collect_set(F.col(c).cast("string")))
+    m = members.groupBy("cluster").agg(F.count("*").alias("member_count"), sorted_of("id").alias("member_ids"), sorted_of("source").alias("sources"), F.max_by("source_record_id", best).alias("representative")).where("member_count > 1")
+    why = matches.groupBy("cluster").agg(sorted_of("reason").alias("reasons"), F.min("confidence").alias("confidence"))
+    return m.join(why, "cluster", "left").withColumn("confidence", F.coalesce("confidence", F.lit(1.0)))
+
+
+def audit_totals(members: DataFrame, audit: DataFrame, ambiguous: DataFrame) -> DataFrame:
+    """One row: events before and after, clusters, occurrences dropped, their rate, clusters with equal records, pairs left for a person."""
+    c = audit.agg(F.count("*").alias("clusters"), F.coalesce(F.sum(F.col("member_count") - 1), F.lit(0)).alias("dropped"), F.count_if(F.array_contains("reasons", "exact_source_record")).alias("exact_source"))
+    rows = members.agg(F.count("*").alias("before")).crossJoin(c).crossJoin(ambiguous.agg(F.count("*").alias("ambiguous")))  # one row each
+    return rows.select("before", (F.col("before") - F.col("dropped")).alias("after"), "clusters", "dropped", F.bround(F.coalesce(F.try_divide("dropped", "before"), F.lit(0.0)), 6).alias("rate"), "exact_source", "ambiguous")
+
+
+def negative_samples(members: DataFrame, count: int = 10) -> DataFrame:
+    """The first pairs (left_id, right_id, starts_at, similarity) of one start that aren't one cluster: starts in the order they
+    come up, pairs by the places of their rows.
+
+    members: cluster, place, id, starts_at, description, title. Of a start the first `count` rows of each of its first
+    count + 1 clusters are enough: any other pair has that many before it.
+    """
+    by = members.select("cluster", "place", "id", F.coalesce("starts_at", F.lit("")).alias("at"), T.dedup_key(F.coalesce(F.nullif("description", F.lit("")), F.col("title"))).alias("key"))
+    clusters = by.groupBy("at", "cluster").agg(F.min("place").alias("first"))
+    starts = clusters.groupBy("at").agg(F.min("first").alias("begin"), F.count("*").alias("n")).where("n > 1").orderBy("begin").limit(count)
+    early = clusters.join(F.broadcast(starts.select("at", "begin")), "at")
+    early = early.withColumn("_c", F.row_number().over(Window.partitionBy("at").orderBy("first"))).where(F.col("_c") <= count + 1)
+    rows = by.join(F.broadcast(early.select("at", "cluster", "begin")), ["at", "cluster"])  # (count + 1) clusters of `count` starts
+    rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy("at", "cluster").orderBy("place"))).where(F.col("_r") <= count)
+    right = rows.select("at", *(F.col(c).alias(f"r_{c}") for c in ("cluster", "place", "id", "key")))
+    pairs = rows.join(right, "at").where("place < r_place and cluster <> r_cluster").orderBy("begin", "place", "r_place").limit(count)
+    return pairs.select(F.col("id").alias("left_id"), F.col("r_id").alias("right_id"), F.col("at").alias("starts_at"), F.bround(T.ratcliff("key", "r_key"), 4).alias("similarity"))

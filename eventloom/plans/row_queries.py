@@ -210,8 +210,8 @@ def graph_indegree(spark, d) -> DataFrame:
 
 
 @query(f"""WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM ({_EDGES}) WHERE dst <> 'https://site'), both_ways AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
- walk(node, depth) AS (SELECT (SELECT min(src) FROM e), 0 UNION SELECT b.dst, w.depth + 1 FROM walk w JOIN both_ways b ON b.src = w.node WHERE w.depth < 8)
- SELECT node, min(depth)::BIGINT AS depth FROM walk GROUP BY node""")
+ walk(node, depth) USING KEY (node) AS (SELECT (SELECT min(src) FROM e), 0::BIGINT UNION SELECT b.dst, min(w.depth) + 1 FROM walk w JOIN both_ways b ON b.src = w.node WHERE b.dst NOT IN (SELECT node FROM recurring.walk) GROUP BY b.dst)
+ SELECT node, depth FROM walk""")
 def graph_bfs(spark, d) -> DataFrame:
     e = _edges(spark, d).distinct()
     both = e.union(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))

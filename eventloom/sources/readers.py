@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import html
 import json
-import re
 from collections.abc import Callable
 from datetime import datetime
 from urllib.parse import urljoin
@@ -17,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import times
+from ..functions import markup, times
 
 ICS_FIELDS = ("UID", "SUMMARY", "DESCRIPTION", "LOCATION", "URL", "STATUS", "CATEGORIES", "RRULE")
 
@@ -78,6 +77,21 @@ def ics_events(files: DataFrame, text: str, zone: str = times.TOKYO) -> DataFram
     return out.where(F.col("starts_at").isNotNull()).drop("_e")
 
 
+def ics_records(spark: SparkSession, path: str) -> DataFrame:
+    """file, value (the text of one VEVENT with what stands before it), calendar_name, calendar_zone of each event in the files.
+
+    Files are read in splits, with END:VEVENT as the end of a record, so a large calendar serves many tasks and no row has
+    a whole file. What is said once, in the head of a file, is joined back by file; a file has one calendar. A file
+    that ends inside an event gives that event.
+    """
+    rows = spark.read.option("lineSep", "END:VEVENT").text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    head = rows.where(F.contains("value", F.lit("BEGIN:VCALENDAR")))
+    said = lambda n: F.max(unescape(ics_value(F.substring_index(unfold(F.col("value")), "BEGIN:VEVENT", 1), n)))
+    named = head.groupBy("file").agg(said("X-WR-CALNAME").alias("calendar_name"), said("X-WR-TIMEZONE").alias("calendar_zone"))
+    events = rows.where(F.contains("value", F.lit("BEGIN:VEVENT"))).withColumn("value", F.concat("value", F.lit("END:VEVENT")))
+    return events.join(named, "file", "left")
+
+
 def expand_rrule(events: DataFrame, window_start: datetime, window_end: datetime, zone: str = times.TOKYO) -> DataFrame:
     """Events with a rule become their occurrences between the window's ends (UTC, both included), however old the start is.
 
@@ -114,9 +128,6 @@ def apply_exceptions(occurrences: DataFrame, exdates: DataFrame, overrides: Data
     return kept.join(o, ["uid", "starts_at"], "left_anti").unionByName(overrides.drop("recurrence_id"), allowMissingColumns=True)
 
 
-_SCRIPT = re.compile(r"<script\b([^>]*)>(.*?)</script>", re.I | re.S)
-
-
 def _walk(node):
     yield node
     for child in node.values() if isinstance(node, dict) else node if isinstance(node, list) else ():
@@ -124,13 +135,13 @@ def _walk(node):
             yield from _walk(child)
 
 
-def _scripts(page: str | None, wanted: Callable[[str], bool]):
-    for attributes, body in _SCRIPT.findall(page or ""):
-        if wanted(attributes.lower()):
-            try:
-                yield json.loads(body)
-            except ValueError:
-                continue
+def _trees(bodies: list[str] | None):
+    """The JSON texts that can be read."""
+    for body in bodies or ():
+        try:
+            yield json.loads(body)
+        except (ValueError, RecursionError):
+            continue
 
 
 def _text(v) -> str | None:
@@ -147,11 +158,11 @@ def jsonld_events(pages: DataFrame, page: str, url: str, zone: str = times.TOKYO
     keys = ("title", "description", "start", "end", "location", "organizer", "event_url", "image")
 
     @F.arrow_udf("array<struct<" + ",".join(f"{k}:string" for k in keys) + ">>")
-    def found(html_: pa.Array, base: pa.Array) -> pa.Array:
+    def found(scripts: pa.Array, base: pa.Array) -> pa.Array:
         out = []
-        for h, b in zip(html_.to_pylist(), base.to_pylist(), strict=True):
+        for bodies, b in zip(scripts.to_pylist(), base.to_pylist(), strict=True):
             rows = []
-            for tree in _scripts(h, lambda a: "application/ld+json" in a):
+            for tree in _trees(bodies):
                 for n in _walk(tree):
                     kinds = n.get("@type") if isinstance(n, dict) else None
                     if any(str(k).lower().endswith("event") for k in (kinds if isinstance(kinds, list) else [kinds])):
@@ -159,7 +170,8 @@ def jsonld_events(pages: DataFrame, page: str, url: str, zone: str = times.TOKYO
             out.append(rows)
         return pa.array(out, pa.list_(pa.struct([(k, pa.string()) for k in keys])))
 
-    df = pages.withColumn("_n", F.explode(found(page, url))).drop(page)
+    kind = lambda a: F.lower(F.trim(F.substring_index(F.element_at(a, F.lit("type")), ";", 1))) == "application/ld+json"
+    df = pages.withColumn("_n", F.explode(found(markup.scripts_of(markup.tags(page), kind), url))).drop(page)
     return df.select("*", "_n.*").drop("_n").withColumns({"starts_at": times.parse_instant(F.col("start"), zone), "ends_at": times.parse_instant(F.col("end"), zone)}).drop("start", "end")
 
 
@@ -174,7 +186,7 @@ POST_KEYS = {
 
 
 def embedded_posts(pages: DataFrame, page: str) -> DataFrame:
-    """status_id, url, text, author, retweet_count of posts in the pages' embedded JSON; the richest row of each id."""
+    """status_id, url, text, author, retweet_count of posts in the pages' embedded JSON; the richest row of each id (of equals the earlier on its page, then the greater text)."""
 
     def pick(node: dict, names) -> str | None:
         low = {str(k).lower(): v for k, v in node.items()}
@@ -187,9 +199,9 @@ def embedded_posts(pages: DataFrame, page: str) -> DataFrame:
     @F.arrow_udf("array<struct<" + ",".join(f"{k}:string" for k in POST_KEYS) + ">>")
     def found(c: pa.Array) -> pa.Array:
         out = []
-        for h in c.to_pylist():
+        for bodies in c.to_pylist():
             rows = []
-            for tree in _scripts(h, lambda a: "json" in a or "__next_data__" in a):
+            for tree in _trees(bodies):
                 for n in _walk(tree):
                     if isinstance(n, dict):
                         row = {k: pick(n, names) for k, names in POST_KEYS.items()}
@@ -198,9 +210,11 @@ def embedded_posts(pages: DataFrame, page: str) -> DataFrame:
             out.append(rows)
         return pa.array(out, pa.list_(pa.struct([(k, pa.string()) for k in POST_KEYS])))
 
-    rows = pages.select(F.posexplode(found(page)).alias("_at", "_p")).select("_at", "_p.*")
+    low = lambda a, k: F.lower(F.coalesce(F.element_at(a, F.lit(k)), F.lit("")))
+    wanted = lambda a: F.contains(low(a, "type"), F.lit("json")) | low(a, "id").isin("__next_data__", "__initial_state__")
+    rows = pages.select(F.posexplode(found(markup.scripts_of(markup.tags(page), wanted))).alias("_at", "_p")).select("_at", "_p.*")
     count = F.replace("retweet_count", F.lit(","), F.lit("")).try_cast("long")
-    best = F.max_by(F.struct("url", "text", "author", count.alias("retweet_count")), F.struct(count.isNotNull(), F.length("text"), -F.col("_at"))).alias("b")
+    best = F.max_by(F.struct("url", "text", "author", count.alias("retweet_count")), F.struct(count.isNotNull(), F.length("text"), -F.col("_at"), "text", "url", "author")).alias("b")
     return rows.groupBy("status_id").agg(best).select("status_id", "b.*")
 
 
@@ -227,18 +241,18 @@ def _json(spark: SparkSession, cfg: dict) -> DataFrame:
 
 @source("ics")
 def _ics(spark: SparkSession, cfg: dict) -> DataFrame:
-    return ics_events(spark.read.option("wholetext", True).text(cfg["path"]), "value", cfg.get("timezone", times.TOKYO))
+    return ics_events(ics_records(spark, cfg["path"]).drop("file"), "value", cfg.get("timezone", times.TOKYO))
 
 
 @source("jsonld")
 def _jsonld(spark: SparkSession, cfg: dict) -> DataFrame:
-    pages = spark.read.option("wholetext", True).text(cfg["path"]).withColumn("page_url", F.lit(cfg.get("url", "")))
+    pages = spark.read.text(cfg["path"], wholetext=True).withColumn("page_url", F.lit(cfg.get("url", "")))
     return jsonld_events(pages, "value", "page_url", cfg.get("timezone", times.TOKYO))
 
 
 @source("posts")
 def _posts(spark: SparkSession, cfg: dict) -> DataFrame:
-    return embedded_posts(spark.read.option("wholetext", True).text(cfg["path"]), "value")
+    return embedded_posts(spark.read.text(cfg["path"], wholetext=True), "value")
 
 
 def collect(spark: SparkSession, cfg: dict) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 
 def _fold(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("status_id").agg(F.max_by("text", "last_seen").alias("text"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.max("retweets").alias("retweets"), F.sum("observations").alias("observations"))
+    return rows.groupBy("status_id").agg(F.max(F.struct("last_seen", "text")).getField("text").alias("text"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.max("retweets").alias("retweets"), F.sum("observations").alias("observations"))
 
 
 def maintain(stream: DataFrame, path: str, checkpoint: str):
