@@ -28,9 +28,8 @@ QUOTES = "\"“”«»„"
 #: Words on each side that make up the context, and what a context does to a match.
 CONTEXT, QUOTED, REPORTED, ADDRESSED = 5, 0.4, 0.7, 1.2
 STEM_LENGTHS = range(3, 9)
-#: A term counts so often in one text, and a text's weighted matches and number of matches are taken up to these values:
-#: beyond, the score has long reached its end, and one text can't outweigh the others in the fit. No match or row is left out for it.
-MOST, MOST_TOTAL, MOST_HITS = 6, 25.0, 8
+#: A text's sum of weighted matches x counts as x / (1 + x / HALF): each match raises it, however many there are.
+HALF = 25.0
 _RAW_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -172,7 +171,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, sample_ro
 
 
 def _features(text: str) -> Counter:
-    """How often each word and stem occurs, at most MOST times, so that one text can't make a term; "" counts the words."""
+    """How often each word and stem occurs, by repeats(), so that one text can't make a term; "" counts the words."""
     out: Counter = Counter()
     for w, n in Counter(words(text)).items():
         w = w.decode()
@@ -181,7 +180,12 @@ def _features(text: str) -> Counter:
         for k in STEM_LENGTHS:
             if len(w) >= k:
                 out[w[:k] + "*"] += n
-    return Counter({t: min(n, MOST) if t else n for t, n in out.items()})
+    return Counter({t: repeats(n) if t else n for t, n in out.items()})
+
+
+def repeats(n: int) -> int:
+    """What n occurrences in one text count: one more each time n doubles."""
+    return n.bit_length()
 
 
 def _count(df: DataFrame, features) -> DataFrame:
@@ -257,7 +261,7 @@ def train(sample: DataFrame, min_log_rate: float = 1.5, min_evidence: float = 40
     def matched(text: str) -> Counter:
         auto = common.resident(("lexicon", key), lambda: LexiconAutomaton(chosen))
         found = Counter(f"{term}\t{e}" for _, m in auto.hits(words(text)) for term, e in m.items())
-        return Counter({t: min(n, MOST) for t, n in found.items()})
+        return Counter({t: repeats(n) for t, n in found.items()})
 
     a, b = ({r.term: r.n for r in _count(part, matched).collect()} for part in (bad, good))
     weight = {}
@@ -289,7 +293,10 @@ class Scorer:
         self.auto = LexiconAutomaton(sorted({t for t, _ in self.weight}))
 
     def features(self, text: str | None) -> tuple[list[float], int]:
-        """Constant, weighted matches, log of their number, log of the number of words; and the number of matches."""
+        """Constant, weighted matches, log of their number, log of the number of words; and the number of matches.
+
+        All matches count: the k-th of a term by 1 / k of its weight, so a term's sum grows as the logarithm.
+        """
         ws = words(text)
         hits = self.auto.hits(ws)
         total, n = 0.0, 0
@@ -299,10 +306,10 @@ class Scorer:
             for i, m in hits:
                 own, term = max((self.weight.get(x, 0.0), x[0]) for x in m.items())
                 seen[term] += 1
-                if own and seen[term] <= MOST:
-                    total += factor[i] * own
+                if own:
+                    total += factor[i] * own / seen[term]
                     n += 1
-        return [1.0, min(total, MOST_TOTAL), math.log1p(min(n, MOST_HITS)), math.log1p(len(ws))], n
+        return [1.0, total / (1 + total / HALF), math.log1p(n), math.log1p(len(ws))], n
 
     def score(self, text: str | None) -> tuple[float, int]:
         x, n = self.features(text)
