@@ -11,25 +11,29 @@ than n log n steps.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
-#: Kind, expression, a character that a text must contain for it (or None), score, score beside a context word, words.
+#: A text without a digit has no such match.
+DIGIT = "digit"
+#: Kind, expression, what a text must contain for it (one of some strings, or a digit), score, score beside a context word, words.
 KINDS = [
     # [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+ : starts where a run starts or the last match ended
-    ("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", 0.9, 1.0, "mail|contact|write|kontakt|correo"),
+    ("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", ("@",), 0.9, 1.0, "mail|contact|write|kontakt|correo"),
     # [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+), parts at most 255
-    ("ip", r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){3}", ".", 0.7, 0.9, "ip|host|server|address|login"),
+    ("ip", r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){3}", DIGIT, 0.7, 0.9, "ip|host|server|address|login"),
     # [0-9]([\x20-]?[0-9])+, 14 to 19 digits: whole runs of that many digits
-    ("card", r"[0-9](?<![0-9][0-9])(?<![0-9][\x20-][0-9])(?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])", None, 0.8, 1.0, "card|visa|pay|karte|carte|tarjeta"),
+    ("card", r"[0-9](?<![0-9][0-9])(?<![0-9][\x20-][0-9])(?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])", DIGIT, 0.8, 1.0, "card|visa|pay|karte|carte|tarjeta"),
     # \+[0-9][\x20().0-9-]+[0-9], 10 to 15 digits
-    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.8, 1.0, "phone|call|tel|mobile|fax"),
-    ("iban", r"[A-Z](?<![A-Za-z0-9].)[A-Z][0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", None, 0.8, 1.0, "iban|bank|account|konto|compte|cuenta"),
-    ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", 0.4, 0.9, "ssn|social|security"),
-    ("local_phone", r"[(0-9](?<![0-9+(-].)(?:(?<=\()[0-9])?[0-9]{2}\)?[\x20-][0-9]{3}[\x20-][0-9]{4}(?![0-9-])", None, 0.4, 0.8, "phone|call|tel|mobile|fax"),
-    ("key", r"(?:AKIA(?<![A-Za-z0-9_]AKIA)[0-9A-Z]{16}|gh[pousr]_(?<![A-Za-z0-9_].{4})[A-Za-z0-9]{36}|sk_live_(?<![A-Za-z0-9_].{8})[A-Za-z0-9]{24,64})(?![A-Za-z0-9_])", None, 0.9, 1.0, "key|token|secret"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", ("+",), 0.8, 1.0, "phone|call|tel|mobile|fax"),
+    ("iban", r"[A-Z](?<![A-Za-z0-9].)[A-Z][0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", DIGIT, 0.8, 1.0, "iban|bank|account|konto|compte|cuenta"),
+    ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", DIGIT, 0.4, 0.9, "ssn|social|security"),
+    ("local_phone", r"[(0-9](?<![0-9+(-].)(?:(?<=\()[0-9])?[0-9]{2}\)?[\x20-][0-9]{3}[\x20-][0-9]{4}(?![0-9-])", DIGIT, 0.4, 0.8, "phone|call|tel|mobile|fax"),
+    ("key", r"(?:AKIA(?<![A-Za-z0-9_]AKIA)[0-9A-Z]{16}|gh[pousr]_(?<![A-Za-z0-9_].{4})[A-Za-z0-9]{36}|sk_live_(?<![A-Za-z0-9_].{8})[A-Za-z0-9]{24,64})(?![A-Za-z0-9_])", ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk_live_"), 0.9, 1.0, "key|token|secret"),
 ]
 BASE = ("email", "ip", "card", "phone")
 KEEP, NEAR, AROUND = 0.6, 40, 4
@@ -124,12 +128,12 @@ def with_spans(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     found, gaps = {}, {}
     for kind, expr, has, *_ in KINDS:
-        all_ = F.regexp_extract_all(text, F.lit(expr), F.lit(0))
-        found[f"_hit_{kind}"] = all_ if has is None else F.when(F.contains(text, F.lit(has)), all_).otherwise(F.array().cast("array<string>"))
+        may = F.col("_digit") if has == DIGIT else reduce(lambda a, b: a | b, (F.contains(text, F.lit(x)) for x in has))
+        found[f"_hit_{kind}"] = F.when(may, F.regexp_extract_all(text, F.lit(expr), F.lit(0))).otherwise(F.array().cast("array<string>"))
         gaps[f"_gap_{kind}"] = F.when(F.size(f"_hit_{kind}") > 0, F.split(text, expr, -1))
-    out = docs.withColumns(found).withColumns(gaps)
+    out = docs.withColumn("_digit", text.rlike("[0-9]")).withColumns(found).withColumns(gaps)
     every = F.concat(*(_spans_of(F.col(f"_gap_{k[0]}"), F.col(f"_hit_{k[0]}"), i) for i, k in enumerate(KINDS)))
-    return out.withColumn("pii", F.sort_array(every)).drop(*found, *gaps)
+    return out.withColumn("pii", F.sort_array(every)).drop("_digit", *found, *gaps)
 
 
 def _joined(spans: Column) -> Column:
