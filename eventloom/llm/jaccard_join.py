@@ -355,8 +355,9 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, store: common.D
     few = needed.count() <= 500_000  # at most 16 MB of numbers; a shuffle join beyond
     texts = common.id_text(docs).withColumnRenamed("doc_id", "rep").join(F.broadcast(needed) if few else needed, "rep")
     texts = store.put(texts.select("v", F.struct("key", "key2", "text").alias("own")))
-    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("salts"))
-    dealt = store.put(pairs.join(salts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt")), rows=most)
+    # only leaders of many pairs; a table of its own, so that the join's two sides are shuffled and a hot leader can be split
+    salts = store.put(pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("salts")).where("salts > 1"), rows=most // MEMBERS + 1)
+    dealt = store.put(pairs.join(salts, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt")), rows=most)
     leaders = dealt.select("a", "salt").distinct().join(texts, F.col("a") == F.col("v")).select("a", "salt", F.lit(0).alias("member"), F.col("a").alias("b"), "own.*")
     members = dealt.join(texts, F.col("b") == F.col("v")).select("a", "salt", F.lit(1).alias("member"), "b", "own.*")
     rows = leaders.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
