@@ -29,6 +29,8 @@ from . import common
 BLOCK = 2048
 #: Ids in a frame at least (but for the last), blocks in lockstep at most, and words that a worker remembers.
 FRAME_IDS, LANES, REMEMBER = 1 << 18, 2048, 800_000
+#: Bytes of text in a range of documents.
+RANGE_BYTES = 64 << 20
 #: Contexts of an order in a block, and bits of the coder's probabilities.
 SLOTS, BITS = 1024, 15
 _ONE = 1 << BITS
@@ -254,8 +256,10 @@ def frames(docs: DataFrame, path: str | None = None, end_id: int = 1) -> DataFra
     """The file rows: documents dealt to ranges of doc_id, each range coded in order by one task."""
     path = path or default_path()
     spark = docs.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    plain = common.id_text(docs).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, size // RANGE_BYTES)
+    # by the text too, so that the rows of a repeated id can lie in several ranges
+    plain = common.id_text(docs).withColumn("_h", F.xxhash64("text")).repartitionByRange(n, "doc_id", "_h").sortWithinPartitions("doc_id", "_h", "text").drop("_h")
 
     def run(batches):
         tok = common.resident(("tokenizer", path), lambda: WordTokenizer(path))
