@@ -73,19 +73,28 @@ def event_datetime(text: Column, anchor: Column) -> Column:
     short = rf"(?s)([0-9]{{1,2}})[./月-]([0-9]{{1,2}}){_DAY_MARK}.{{0,40}}?{_CLOCK}"
     day = rf"(?s)(本日|今日|明日).{{0,30}}?{_CLOCK}"
 
-    def at(pattern: str, i: int) -> Column:
-        return F.regexp_extract(t, pattern, i)
+    def first(pattern: str, made, other: Column) -> Column:
+        """made(group) of the first match, which is looked for once; its groups are taken from the match alone."""
+        return let(F.regexp_extract(t, pattern, 0), lambda w: F.when(w != "", made(lambda i: F.regexp_extract(w, pattern, i))).otherwise(other))
 
-    def minute(pattern: str, i: int) -> Column:
-        return F.coalesce(_int(at(pattern, i)), F.lit(0))
+    def by_year(at) -> Column:
+        return _stamp(_int(at(1)), _int(at(2)), _int(at(3)), _int(at(4)), F.coalesce(_int(at(5)), F.lit(0)))
 
-    a = _stamp(_int(at(full, 1)), _int(at(full, 2)), _int(at(full, 3)), _int(at(full, 4)), minute(full, 5))
-    rest = (_int(at(short, 1)), _int(at(short, 2)), _int(at(short, 3)), minute(short, 4))
-    b = _stamp(F.year(near), *rest)
-    b = F.when(b < anchor - F.expr("interval 2 days"), _stamp(F.year(near) + 1, *rest)).otherwise(b)
-    on = F.date_add(F.to_date(near), F.when(at(day, 1) == "明日", 1).otherwise(0))
-    c = _stamp(F.year(on), F.month(on), F.dayofmonth(on), _int(at(day, 2)), minute(day, 3))
-    return F.when(t.rlike(full), a).when(t.rlike(short), b).when(t.rlike(day), c)
+    def by_month(at) -> Column:
+        rest = (_int(at(1)), _int(at(2)), _int(at(3)), F.coalesce(_int(at(4)), F.lit(0)))
+        this = _stamp(F.year(near), *rest)
+        return F.when(this < anchor - F.expr("interval 2 days"), _stamp(F.year(near) + 1, *rest)).otherwise(this)
+
+    def by_day(at) -> Column:
+        on = F.date_add(F.to_date(near), F.when(at(1) == "明日", 1).otherwise(0))
+        return _stamp(F.year(on), F.month(on), F.dayofmonth(on), _int(at(2)), F.coalesce(_int(at(3)), F.lit(0)))
+
+    return first(full, by_year, first(short, by_month, first(day, by_day, F.lit(None).cast("timestamp"))))
+
+
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def post_datetime(text: Column, created: Column) -> Column:
@@ -115,34 +124,35 @@ def relative_weekday(text: Column, anchor: Column, policy: str = "calendar_week"
     """
     t = F.coalesce(width_folded(text), F.lit(""))
     pattern = rf"(?s)(次(?:の)?|来週(?:の)?|今週(?:の)?)?\s*([{WEEKDAYS}])曜日?.{{0,100}}?{_CLOCK}"
-    prefix = F.regexp_extract(t, pattern, 1)
     near = local(anchor)
     today = F.to_date(near)
-    target = F.instr(F.lit(WEEKDAYS), F.regexp_extract(t, pattern, 2)) - 1
-    ahead = F.pmod(target - F.weekday(today), F.lit(7))
     monday = F.date_sub(today, F.weekday(today))
-    nxt, this, later = F.startswith(prefix, F.lit("来週")), F.startswith(prefix, F.lit("今週")), F.startswith(prefix, F.lit("次"))
-    on = F.date_add(today, F.when(later & (ahead == 0), 7).otherwise(ahead))
-    if policy == "calendar_week":
-        on = F.when(nxt, F.date_add(monday, 7 + target)).when(this, F.date_add(monday, target)).otherwise(on)
-    else:
-        on = F.when(nxt, F.date_add(on, 7)).otherwise(on)
-    hour, minute = _int(F.regexp_extract(t, pattern, 3)), F.coalesce(_int(F.regexp_extract(t, pattern, 4)), F.lit(0))
-    at = _stamp(F.year(on), F.month(on), F.dayofmonth(on), hour, minute)
-    past = at < anchor - F.expr("interval 2 hours")
-    if policy == "calendar_week":
-        at = F.when(this & (at < anchor), F.lit(None).cast("timestamp")).when((prefix == "") & past, at + F.expr("interval 7 days")).otherwise(at)
-    else:
-        at = F.when((prefix == "") & (ahead == 0) & past, at + F.expr("interval 7 days")).otherwise(at)
-    method = (
-        F.when(nxt, "next_calendar_week_weekday").when(this, "current_calendar_week_weekday").when(later, "next_occurrence_explicit").otherwise("next_occurrence_unprefixed")
-    )
-    found = t.rlike(pattern)
-    return F.when(found, at), F.when(found & at.isNotNull(), method)
+
+    def made(w: Column) -> Column:
+        prefix = F.regexp_extract(w, pattern, 1)
+        target = F.instr(F.lit(WEEKDAYS), F.regexp_extract(w, pattern, 2)) - 1
+        ahead = F.pmod(target - F.weekday(today), F.lit(7))
+        nxt, this, later = F.startswith(prefix, F.lit("来週")), F.startswith(prefix, F.lit("今週")), F.startswith(prefix, F.lit("次"))
+        on = F.date_add(today, F.when(later & (ahead == 0), 7).otherwise(ahead))
+        if policy == "calendar_week":
+            on = F.when(nxt, F.date_add(monday, 7 + target)).when(this, F.date_add(monday, target)).otherwise(on)
+        else:
+            on = F.when(nxt, F.date_add(on, 7)).otherwise(on)
+        at = _stamp(F.year(on), F.month(on), F.dayofmonth(on), _int(F.regexp_extract(w, pattern, 3)), F.coalesce(_int(F.regexp_extract(w, pattern, 4)), F.lit(0)))
+        past = at < anchor - F.expr("interval 2 hours")
+        if policy == "calendar_week":
+            at = F.when(this & (at < anchor), F.lit(None).cast("timestamp")).when((prefix == "") & past, at + F.expr("interval 7 days")).otherwise(at)
+        else:
+            at = F.when((prefix == "") & (ahead == 0) & past, at + F.expr("interval 7 days")).otherwise(at)
+        method = F.when(nxt, "next_calendar_week_weekday").when(this, "current_calendar_week_weekday").when(later, "next_occurrence_explicit").otherwise("next_occurrence_unprefixed")
+        return F.when(w != "", F.struct(at.alias("at"), F.when(at.isNotNull(), method).alias("method")))
+
+    both = let(F.regexp_extract(t, pattern, 0), made)
+    return both["at"], both["method"]
 
 
 def month_conflict(text: Column) -> Column:
     """Whether the month that a next date is announced for isn't the month of its date."""
     pattern = r"(?is)次回.{0,50}?(1[0-2]|0?[1-9])月.{0,80}?(?:日時|日程)\s*[:：]?\s*(?:20[0-9]{2}[./年-])?(1[0-2]|0?[1-9])[./月-]"
-    t = F.coalesce(text, F.lit(""))
-    return t.rlike(pattern) & (_int(F.regexp_extract(t, pattern, 1)) != _int(F.regexp_extract(t, pattern, 2)))
+    found = F.regexp_extract(F.coalesce(text, F.lit("")), pattern, 0)
+    return let(found, lambda w: (w != "") & (_int(F.regexp_extract(w, pattern, 1)) != _int(F.regexp_extract(w, pattern, 2))))
