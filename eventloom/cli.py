@@ -40,7 +40,9 @@ def run(spark: SparkSession, config: dict, output: str, now: datetime, strict: b
         if not s.get("enabled", True):
             continue
         try:
-            rows = ev.build(readers.collect(spark, s).drop("source"), s["name"], moment).where("error is null").drop("error")
+            # of rows with one id the later source counts, and in it the later row, as far as its files are read in order
+            raw = readers.collect(spark, s).drop("source")
+            rows = ev.build(raw, s["name"], moment).withColumns({"_source": F.lit(len(parts)), "_row": F.monotonically_increasing_id()}).where("error is null").drop("error")
             n = rows.count()
             parts.append(rows)
             health.append((s["name"], "ok", n, None))
@@ -52,7 +54,7 @@ def run(spark: SparkSession, config: dict, output: str, now: datetime, strict: b
         rows = parts[0]
         for p in parts[1:]:
             rows = rows.unionByName(p)
-        rows = resolve.best_by(rows, ["id"], [F.col("fetched_at"), F.xxhash64("source", "title")])
+        rows = resolve.best_by(rows, ["id"], [F.col("fetched_at"), F.col("_source"), F.col("_row")]).drop("_source", "_row")
         w = config.get("window", {})
         rows = rows.where(F.col("starts_at").between(moment - F.expr(f"interval {int(w.get('past_days', 1))} days"), moment + F.expr(f"interval {int(w.get('future_days', 120))} days")))
         sinks.write_bundle(rows, output, ["category", "status", "source"])

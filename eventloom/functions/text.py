@@ -232,6 +232,33 @@ def ratcliff(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(out, pa.float64())
 
 
+def title_key(c: Column) -> Column:
+    """Folded text with only its letters and digits, of any script."""
+    return F.regexp_replace(nfkc_folded(clean_text(F.coalesce(c, F.lit("")))), r"[^\p{L}\p{N}]", "")
+
+
+def search_text_cleaned(c: Column) -> Column:
+    """A search page's text: entities read, marks of highlighted words gone."""
+    marked = F.replace(F.replace(html_unescaped(c), F.lit("\tSTART\t"), F.lit(" ")), F.lit("\tEND\t"), F.lit(" "))
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(marked, r"^\s*START(?=\s)", ""), r"(?<=\s)END\s*$", ""), r"^\s+|\s+$", "")
+
+
+GROUP_PAGE = r"(?i)^https://(?:www\.)?vrchat\.com/home/group/grp_[A-Za-z0-9-]+(?:[/?#].*)?$"
+
+
+def group_url(links: Column, *others: Column) -> Column:
+    """The first link of kind vrchat_group, else other address, that is a group's page; without query and fragment. links: array<struct<url, kind>>."""
+    kept = F.filter(links, lambda x: (x["kind"] == "vrchat_group") & x["url"].rlike(GROUP_PAGE))
+    found = F.coalesce(F.get(F.transform(kept, lambda x: x["url"]), F.lit(0)), *(F.when(c.rlike(GROUP_PAGE), c) for c in others))
+    return F.regexp_replace(found, r"(?s)[?#].*$", "")
+
+
+def group_image(page: Column) -> Column:
+    """The address of a page's image (og:image) if it is https with a host."""
+    url = F.trim(meta_content(page, "og:image"))
+    return F.when(F.startswith(F.lower(url), F.lit("https://")) & url_host(url).isNotNull(), url)
+
+
 def match_key(c: Column, extra: str = "") -> Column:
     """Folded text with only digits, Latin letters, kana and kanji (and extra characters)."""
     return F.regexp_replace(nfkc_folded(c), rf"[^0-9a-zぁ-んァ-ヶ一-龠{extra}]", "")

@@ -66,6 +66,21 @@ def changed(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
     return o.join(n, key).where(~F.col("before").eqNullSafe(F.col("after")))
 
 
+def resolution_audit(previous: DataFrame, current: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """How dates were resolved: (counts in one row, events by method, events of both sides whose start changed).
+
+    Both sides: source_id (once a side), starts_at; current also date_resolution_method, _anchor and _evidence.
+    """
+    method = F.coalesce(F.nullif(F.col("date_resolution_method"), F.lit("")), F.lit("missing"))
+    methods = current.groupBy(method.alias("method")).agg(F.count("*").alias("n"))
+    known = lambda df: df.where(F.coalesce(F.col("source_id").cast("string"), F.lit("")) != "")
+    moved = changed(known(previous), known(current), "source_id", "starts_at")
+    moved = moved.join(known(current).select("source_id", "date_resolution_method", "date_resolution_anchor"), "source_id")
+    seen = current.agg(F.count("*").alias("current"), F.count_if(F.coalesce(F.col("date_resolution_evidence"), F.lit("")) != "").alias("with_evidence"))
+    counts = previous.agg(F.count("*").alias("previous")).crossJoin(seen).crossJoin(moved.agg(F.count("*").alias("changed")))  # one row each
+    return counts, methods, moved
+
+
 def transitions(old: DataFrame, new: DataFrame, key: str, decision: str) -> DataFrame:
     """transition ('old->new', '' where missing), n over the new rows."""
     o = old.select(key, F.col(decision).alias("_old"))

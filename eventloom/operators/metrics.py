@@ -91,6 +91,28 @@ def deltas(snapshots: DataFrame, order: str, measures: list[str], keep: int) ->
     return df.orderBy(F.desc(order)).limit(keep)
 
 
+#: What a run's snapshot counts besides the sources.
+SNAPSHOT = ("calendar_event_count", "normalized_event_count", "yahoo_candidate_count", "yahoo_accepted_count", "yahoo_rejected_count", "yahoo_unique_candidates_this_run", "yahoo_queries_succeeded", "yahoo_queries_failed")
+
+
+def registration_snapshots(runs: DataFrame, sources: DataFrame, keep: int) -> tuple[DataFrame, DataFrame]:
+    """(the last `keep` runs with the deltas of their counts, each source's count in those runs with its delta).
+
+    runs: generated_at and SNAPSHOT; what a run hasn't counts 0, but normalized_event_count is then the calendar's count.
+    sources: generated_at, name, count. A source that one of two runs lacks counts 0 there; the first run has no delta.
+    """
+    filled = runs.withColumns({c: F.coalesce(F.col(c), F.col("calendar_event_count") if c == "normalized_event_count" else F.lit(0)).cast("long") for c in SNAPSHOT})
+    kept = deltas(filled, "generated_at", list(SNAPSHOT), keep)
+    step = filled.select("generated_at", F.lag("generated_at").over(Window.orderBy("generated_at")).alias("_before"))  # one row a run
+    pair = step.where("_before is not null")
+    s = sources.groupBy("generated_at", "name").agg(F.sum("count").alias("count"))
+    now = s.join(pair, "generated_at").select("generated_at", "name", F.col("count").alias("now"), F.lit(0).cast("long").alias("before"))
+    then = pair.join(s.withColumnRenamed("generated_at", "_before"), "_before").select("generated_at", "name", F.lit(0).cast("long").alias("now"), F.col("count").alias("before"))
+    both = now.unionByName(then).groupBy("generated_at", "name").agg(F.sum("now").alias("count"), (F.sum("now") - F.sum("before")).alias("delta"))
+    first = s.join(step.where("_before is null"), "generated_at").select("generated_at", "name", "count", F.lit(None).cast("long").alias("delta"))
+    return kept, both.unionByName(first).join(kept.select("generated_at"), "generated_at", "left_semi")
+
+
 def health(rows: DataFrame, status: str) -> DataFrame:
     """One row: sources, failed, status (ok, degraded or error)."""
     failed = F.count_if(F.col(status) == "error")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -74,6 +74,43 @@ def plan(groups: DataFrame, least: int = 50) -> DataFrame:
     return out
 
 
+#: Groups of the best plan and its queries that have proved good, as (key, group, term, query).
+BEST_STRUCTURED = ("core", "access", "venues", "activities", "communities", "recruitment")
+BEST_FALLBACK = ("activities", "communities", "venues", "core")
+_ACCESS = '(JOIN OR ジョイン OR リクイン OR reqin OR リクエストインバイト OR "request invite" OR Group+ OR グループインスタンス OR フレンドインスタンス OR 参加方法)'
+_ANNOUNCED = "(イベント告知 OR 営業告知 OR 通常営業 OR 開催決定 OR OPEN OR オープン)"
+_WHEN = "(開催 OR 告知 OR 日時 OR OPEN OR オープン OR 開場 OR 開始 OR 営業 OR 本日 OR 今日 OR 明日 OR 今夜)"
+BEST_PROVEN = (
+    ("best-000-abc-full", "ablation_winner", "A+B+C", f"{_ANNOUNCED} {_ACCESS} {PLATFORM}"),
+    ("best-001-ac-complement", "ablation_complement", "A+C", f"{_ANNOUNCED} {PLATFORM}"),
+    ("best-002-bc-complement", "ablation_complement", "B+C", f"{_ACCESS} {PLATFORM}"),
+    ("best-003-event-announcement-access", "lexical_high_precision", "イベント告知系", f"(イベント告知 OR 開催決定 OR 集会 OR 交流会 OR 公演 OR ライブイベント) {_ACCESS} {PLATFORM}"),
+    ("best-004-business-open-access", "lexical_high_precision", "営業・OPEN系", f"(営業告知 OR 通常営業 OR OPEN OR オープン OR カフェ営業 OR バー営業) {_ACCESS} {PLATFORM}"),
+    ("best-005-participation-method", "lexical_high_precision", "参加方法系", f"(参加方法 OR JOIN制 OR リクイン OR Group+ instance OR グループインスタンス) {_WHEN} {PLATFORM}"),
+)
+
+
+def best_plan(groups: DataFrame, least: int = 100) -> DataFrame:
+    """key, group, term, query, place: the proven queries, then those of the plan's structured groups, then single terms of the
+    fallback groups; the first of each query whatever its case. groups: as for plan. Fewer than `least` queries is an error.
+    """
+    spark = groups.sparkSession
+    proven = spark.createDataFrame([(0, 0, i, *row) for i, row in enumerate(BEST_PROVEN)], "kind int, ord int, i int, key string, group string, term string, query string")
+    own = plan(groups, 0).where(F.col("group").isin(*BEST_STRUCTURED))
+    own = own.select(F.lit(1).alias("kind"), "ord", "i", F.concat(F.lit("best-structured-"), "key").alias("key"), F.concat(F.lit("structured_"), "group").alias("group"), "term", "query")
+    rank = F.array_position(F.array(*(F.lit(g) for g in BEST_FALLBACK)), F.col("group")).cast("int")
+    terms = groups.where(F.col("group").isin(*BEST_FALLBACK)).select(rank.alias("ord"), "group", F.posexplode("terms").alias("i", "term")).withColumn("term", F.trim("term")).where("term <> ''")
+    number = F.row_number().over(Window.orderBy("ord", "i")) - 1  # a configuration's terms
+    single = terms.select(F.lit(2).alias("kind"), "ord", "i", F.concat(F.lit("best-fallback-"), F.lpad(number.cast("string"), 3, "0")).alias("key"), F.concat(F.lit("platform_fallback_"), "group").alias("group"), "term", F.concat(F.lit("("), "term", F.lit(f") {PLATFORM}")).alias("query"))
+    rows = proven.unionByName(own).unionByName(single).withColumn("_k", F.lower("query"))
+    out = resolve.latest(rows, ["_k"], F.col("kind"), F.col("ord"), F.col("i"))
+    out = out.withColumn("place", (F.row_number().over(Window.orderBy("kind", "ord", "i")) - 1).cast("long")).select("key", "group", "term", "query", "place")
+    n = out.count()
+    if n < least:
+        raise ValueError(f"a plan has at least {least} queries, this one {n}")
+    return out
+
+
 def ablation_plan(blocks: dict[str, str], variants: list[dict], full: str) -> list[dict]:
     """Variants as whole queries; empty or repeated keys and queries, unknown blocks and a missing full variant are errors."""
     out, keys, queries = [], set(), set()

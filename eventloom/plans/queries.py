@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import aggregate_queries, asset_queries, cluster_queries, curation_queries, event_queries, resolve_queries, row_queries  # noqa: F401  they register their queries
+from . import aggregate_queries, asset_queries, cluster_queries, curation_queries, event_queries, post_queries, resolve_queries, row_queries  # noqa: F401  they register their queries
 from .registry import QUERIES, SQL
 from .row_queries import category_counts as flagship  # noqa: F401
 

@@ -1,11 +1,16 @@
-"""Pages as rows: path and HTML of events, categories and series, made by column expressions and written as text files."""
+"""Pages as rows: path and HTML of events, categories and series, made by column expressions and written as files by their paths."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from ..functions import times
+from .recorded import opened
 
 
 def escaped(c: Column) -> Column:
@@ -59,5 +64,37 @@ def preview(events: DataFrame, most: int = 24) -> DataFrame:
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
-    """One folder a page. Partitioning by path is Spark's own writer, so any file system will do."""
-    pages.select(F.regexp_replace("path", "/index.html$", "").alias("page"), F.col("html").alias("value")).write.mode("overwrite").partitionBy("page").text(path)
+    """Each page as the file of its path under `path`, as a server serves it; tasks write their pages, each as a whole.
+
+    Paths that lead out of the folder, are empty or are hidden files are an error.
+    """
+    pages.sparkSession.dataSource.register(PageFiles)
+    pages.select("path", "html").write.format("page_files").mode("append").option("path", path).save()
+
+
+class _PageWriter(DataSourceWriter):
+    def __init__(self, path: str):
+        self.path = path.rstrip("/")
+
+    def write(self, rows: Iterator) -> WriterCommitMessage:
+        files, root = opened(self.path)
+        for r in rows:
+            steps = (r.path or "").split("/")
+            if any(s in ("", ".", "..") or s.startswith(".") for s in steps):
+                raise ValueError(f"not a page's path: {r.path!r}")
+            folder = "/".join([root, *steps[:-1]])
+            files.create_dir(folder, recursive=True)
+            hidden = f"{folder}/.{steps[-1]}.{uuid.uuid4().hex}"
+            with files.open_output_stream(hidden) as f:
+                f.write((r.html or "").encode())
+            files.move(hidden, f"{folder}/{steps[-1]}")
+        return WriterCommitMessage()
+
+
+class PageFiles(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "page_files"
+
+    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+        return _PageWriter(self.options["path"])

@@ -1,7 +1,10 @@
 from datetime import datetime
 
+import pytest
+
 from eventloom.operators import graph
 from eventloom.sources import pages
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 
@@ -16,5 +19,8 @@ def test_pages(spark, tmp_path):
     edges = graph.link_edges(pages.event_pages(e), F.col("path"), "html", F.lit("https://s"))
     assert {r.dst for r in edges.collect()} == {"https://x.y", "https://s/events/a/", "https://s/events/b/"}
     pages.write_pages(hubs, str(tmp_path / "out"))
-    assert spark.read.text(str(tmp_path / "out")).count() == 1
+    assert (tmp_path / "out/category/music/index.html").read_text() == hubs.first().html
+    with pytest.raises(PySparkException):
+        pages.write_pages(spark.createDataFrame([("../x.html", "h")], "path string, html string"), str(tmp_path / "out"))
+    assert not (tmp_path / "x.html").exists()
     assert [r.id for r in pages.preview(e, 2).collect()] == ["a", "bad id"]
