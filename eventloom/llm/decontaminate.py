@@ -4,7 +4,12 @@ Each task makes suffix arrays of its documents' words, shard by shard, and looks
 search: those whose first words stand somewhere in the shard. Places that follow each other in both texts are one
 verbatim match, as long as can be; the matches' words are hit, and the longest of a document is reported with its places.
 Words that no benchmark item has end all matches, so only runs of benchmark words as long as the shortest window get
-suffixes; that loses nothing. Benchmarks above common.BROADCAST_BYTES are worked off in blocks.
+suffixes; that loses nothing.
+
+A benchmark of BENCH_BYTES at most is sent to all tasks. A larger one is dealt to parts by a hash of each window's first
+words, as are the documents' runs of words that begin with such words (a bitmap of the hashes drops most others at once).
+Each part has a suffix array of its different runs and looks up its windows; occurrences that follow each other in a
+document and an item are then joined to verbatim matches by windows over their places.
 
 Words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ after lower-casing A-Z. A window is 13 consecutive words of an item; an item
 of fewer words, but not none, is one window. Null texts have no words; items without an id are left out; repeated items
@@ -20,12 +25,15 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 
 WINDOW = 13
+#: Bytes of benchmark text (four for each character) that are sent to every task; of windows in a part beyond.
+BENCH_BYTES, BENCH_PART_BYTES = common.BROADCAST_BYTES, 8 << 20
 #: Documents, and bytes of their texts, in one suffix array (but for a single longer text); words by which suffixes are chosen.
 SHARD_ROWS, SHARD_BYTES, FIRST_WORDS = 2048, 16 << 20, 3
 
@@ -195,17 +203,13 @@ class Shard:
         return np.searchsorted(self.begin, pos, side="right") - 1
 
 
-def blocks(bench: DataFrame) -> Iterator[list[tuple[str, str]]]:
-    """Items with an id and a text, in blocks of at most BROADCAST_BYTES of text."""
-    block, size = [], 0
-    rows = bench.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("string"), "text")
-    for r in rows.toLocalIterator():
-        if block and size + len(r[1]) * 4 > common.BROADCAST_BYTES:
-            yield block
-            block, size = [], 0
-        block.append((r[0], r[1]))
-        size += len(r[1]) * 4
-    yield block
+def items_of(bench: DataFrame) -> DataFrame:
+    """item_id (string) and text of the items that have both."""
+    return bench.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+
+
+def is_small(bench: DataFrame) -> bool:
+    return (items_of(bench).agg(F.sum(F.length("text").cast("long") * 4 + 64)).first()[0] or 0) <= BENCH_BYTES
 
 
 def _merged(spans: np.ndarray) -> np.ndarray:
@@ -221,44 +225,167 @@ SCHEMA = "doc_id long, text string, n_words long, spans array<int>, items array<
 
 def matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, text, n_words, spans (start, end, start, end ... of the hit words, disjoint), items with an occurring window, and the longest match."""
-    none = {"n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<int>"), "items": F.array().cast("array<string>"), "longest": F.lit(None).cast(SCHEMA.split("longest ")[1])}
-    out = common.id_text(docs).withColumns(none)
-    sc = docs.sparkSession.sparkContext
-    for block in blocks(bench):
-        shared, key = sc.broadcast(block), uuid.uuid4().hex
-
-        def start(shared=shared, key=key):
-            b = common.resident(("bench", key, window), lambda: Benchmark(shared.value, window))
-            item_begin = np.cumsum(b.size + 1) - b.size - 1
+    if not is_small(bench):
+        return _matches_by_parts(docs, bench, window)
+    rows = [tuple(r) for r in items_of(bench).toLocalIterator()]  # BENCH_BYTES at most
+    shared, key = docs.sparkSession.sparkContext.broadcast(rows), uuid.uuid4().hex
+
+    def start():
+        b = common.resident(("bench", key, window), lambda: Benchmark(shared.value, window))
+        item_begin = np.cumsum(b.size + 1) - b.size - 1
+
+        def step(batch: pa.RecordBatch):
+            words = [common.word_bytes(t) for t in batch.column(1).to_pylist()]
+            shard = Shard(words, b.vocab, b.least)
+            pos, win, length = shard.verbatim(b)
+            spans, items, longest = ([None if k == 2 else [] for _ in words] for k in range(3))
+            if len(pos):
+                doc = shard.doc_of(pos)
+                order = np.argsort(doc, kind="stable")
+                pos, win, length, doc = pos[order], win[order], length[order], doc[order]
+                cut = np.flatnonzero(np.diff(doc)) + 1
+                for p, w, n, d in zip(np.split(pos, cut), np.split(win, cut), np.split(length, cut), doc[np.concatenate([[0], cut])], strict=True):
+                    own = np.stack([p, p + n], 1) - shard.begin[d]
+                    spans[d] = _merged(own).ravel().tolist()
+                    items[d] = sorted({b.ids[i] for i in np.unique(b.item[w])})
+                    top = np.flatnonzero(n == n.max())
+                    top = top[own[top, 0] == own[top, 0].min()]
+                    k = min(top.tolist(), key=lambda k: (b.ids[b.item[w[k]]], b.start[w[k]]))
+                    longest[d] = {"length": int(n[k]), "word": int(own[k, 0]), "item": b.ids[b.item[w[k]]], "item_word": int(b.start[w[k]] - item_begin[b.item[w[k]]])}
+            kind = pa.struct([("length", pa.int64()), ("word", pa.int64()), ("item", pa.string()), ("item_word", pa.int64())])
+            columns = [batch.column(0), batch.column(1), pa.array(shard.size), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())), pa.array(longest, kind)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_words", "spans", "items", "longest"])
+
+        return step
+
+    return common.map_rows(common.id_text(docs), SCHEMA, start, SHARD_ROWS, SHARD_BYTES)
+
+
+def _hashes(words: list[bytes], m: int, memo: common.Memo) -> np.ndarray:
+    """A hash of the first words of each run of m words, and of m."""
+    n = min(FIRST_WORDS, m)
+    h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+    out = np.full(max(0, len(words) - m + 1), m, np.uint64)
+    for k in range(n):
+        out = (out ^ h[k : k + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out.view(np.int64)
 
-            def step(batch: pa.RecordBatch):
-                words = [common.word_bytes(t) for t in batch.column(1).to_pylist()]
-                shard = Shard(words, b.vocab, b.least)
-                pos, win, length = shard.verbatim(b)
-                spans, items, longest = (batch.column(k).to_pylist() for k in (3, 4, 5))
-                if len(pos):
-                    doc = shard.doc_of(pos)
-                    order = np.argsort(doc, kind="stable")
-                    pos, win, length, doc = pos[order], win[order], length[order], doc[order]
-                    cut = np.flatnonzero(np.diff(doc)) + 1
-                    for p, w, n, d in zip(np.split(pos, cut), np.split(win, cut), np.split(length, cut), doc[np.concatenate([[0], cut])], strict=True):
-                        own = np.stack([p, p + n], 1) - shard.begin[d]
-                        spans[d] = _merged(np.concatenate([np.asarray(spans[d], np.int64).reshape(-1, 2), own])).ravel().tolist()
-                        items[d] = sorted({*items[d], *(b.ids[i] for i in np.unique(b.item[w]))})
-                        top = np.flatnonzero(n == n.max())
-                        top = top[own[top, 0] == own[top, 0].min()]
-                        k = min(top.tolist(), key=lambda k: (b.ids[b.item[w[k]]], b.start[w[k]]))
-                        best = {"length": int(n[k]), "word": int(own[k, 0]), "item": b.ids[b.item[w[k]]], "item_word": int(b.start[w[k]] - item_begin[b.item[w[k]]])}
-                        rank = lambda x: (-x["length"], x["word"], x["item"], x["item_word"])
-                        longest[d] = best if longest[d] is None else min(best, longest[d], key=rank)
-                kind = pa.struct([("length", pa.int64()), ("word", pa.int64()), ("item", pa.string()), ("item_word", pa.int64())])
-                columns = [batch.column(0), batch.column(1), pa.array(shard.size), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())), pa.array(longest, kind)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_words", "spans", "items", "longest"])
 
-            return step
+def _windows(rows: DataFrame, sizes: list[int] | None, bits, window: int) -> DataFrame:
+    """id, at, m, h, run: runs of m words with the hash of their first ones. rows: id, text.
 
-        out = common.map_rows(out, SCHEMA, start, SHARD_ROWS, SHARD_BYTES)
-    return out
+    sizes None: an item's windows; else runs of these sizes whose hash is in the bitmap, a set of bits of FILTER_BITS.
+    """
+    schema = "id long, at int, m int, h long, run string"
+
+    def start():
+        memo = common.Memo(xxhash.xxh64_intdigest)
+        known = None if bits is None else np.frombuffer(bits.value, np.uint8)
+
+        def step(b: pa.RecordBatch):
+            out: list[list] = [[], [], [], [], []]
+            for i, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                words = common.word_bytes(text)
+                for m in sizes or ([min(window, len(words))] if words else []):
+                    h = _hashes(words, m, memo)
+                    at = np.arange(len(h))
+                    if known is not None:
+                        bit = h.view(np.uint64) % np.uint64(common.FILTER_BITS)
+                        at = np.flatnonzero(known[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
+                    for column, v in zip(out, ([i] * len(at), at.tolist(), [m] * len(at), h[at].tolist(), [b" ".join(words[a : a + m]).decode() for a in at.tolist()]), strict=True):
+                        column += v
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string()), strict=True)], ["id", "at", "m", "h", "run"])
+
+        return step
+
+    return common.map_rows(rows.select("id", "text"), schema, start)
+
+
+def _bitmap(store: common.Durable, windows: DataFrame):
+    """The hashes of all windows as FILTER_BITS bits, broadcast: 8 MB, whatever the benchmark's size."""
+    bit = F.pmod("h", F.lit(common.FILTER_BITS))
+    rows = store.put(windows.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 32768).alias("bucket")).agg(F.bitmap_construct_agg((F.col("bit") % 32768).cast("long")).alias("bitmap")))
+    whole = bytearray(common.FILTER_BITS // 8)
+    for r in rows.toLocalIterator():
+        whole[r.bucket * 4096 : (r.bucket + 1) * 4096] = bytes(r.bitmap)
+    return rows.sparkSession.sparkContext.broadcast(bytes(whole))
+
+
+def _found_runs(runs: DataFrame, windows: DataFrame, parts: int) -> DataFrame:
+    """m, run of the runs that are windows: each part's different runs as a suffix array, in which its windows are looked up."""
+    rows = runs.select("m", "h", "run").distinct().withColumn("side", F.lit(1)).unionByName(windows.select("m", "h", "run").distinct().withColumn("side", F.lit(0)))
+    rows = rows.withColumn("part", F.pmod("h", F.lit(parts)).cast("int")).repartition(parts, "part").sortWithinPartitions("part", "side")
+
+    def solve(items: list[str], texts: list[tuple[int, str]]) -> Iterator[pa.RecordBatch]:
+        b = Benchmark([(run, run) for run in items], 1 << 20)  # an item is one window here
+        shard = Shard([run.encode().split(b" ") for _, run in texts], b.vocab, b.least or 1)
+        pos, win = shard.occurrences(b)
+        doc = shard.doc_of(pos)
+        whole = (pos == shard.begin[doc]) & (b.width[win] == shard.size[doc])
+        got = np.unique(doc[whole])
+        yield pa.RecordBatch.from_arrays([pa.array([texts[d][0] for d in got], pa.int32()), pa.array([texts[d][1] for d in got], pa.string())], ["m", "run"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items, texts, of, size = [], [], None, 0
+        for batch in batches:
+            for m, text, side, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part != of or size > SHARD_BYTES:  # a part's windows stay for the next runs
+                    if texts and items:
+                        yield from solve(items, texts)
+                    texts, size = [], 0
+                    if part != of:
+                        items, of = [], part
+                if side:
+                    texts.append((m, text))
+                    size += len(text)
+                else:
+                    items.append(text)
+        if texts and items:
+            yield from solve(items, texts)
+
+    return rows.select("m", "run", "side", "part").mapInArrow(run, "m int, run string")
+
+
+def _matches_by_parts(docs: DataFrame, bench: DataFrame, window: int) -> DataFrame:
+    """matches() for a benchmark that isn't sent to every task."""
+    store = common.Durable(docs.sparkSession, "bench")
+    items = store.put(items_of(bench).distinct().withColumn("id", F.monotonically_increasing_id()))
+    windows = store.put(_windows(items, None, None, window).withColumnRenamed("id", "item_no").withColumnRenamed("at", "item_word"))
+    sizes = sorted(r.m for r in windows.select("m").distinct().collect())  # `window` at most
+    rows = store.put(common.id_text(docs).withColumn("id", F.monotonically_increasing_id()))
+    runs = store.put(_windows(rows, sizes, _bitmap(store, windows), window)) if sizes else None
+    if runs is None:
+        return rows.select("doc_id", "text", _word_count("text"), F.array().cast("array<int>").alias("spans"), F.array().cast("array<string>").alias("items"), F.lit(None).cast(SCHEMA.split("longest ")[1]).alias("longest"))
+    size = windows.agg(F.sum(F.octet_length("run") + 32)).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BENCH_PART_BYTES))
+    found = store.put(_found_runs(runs, windows, parts))
+    # every side of these joins is a table, so hot runs and windows can be split
+    mine = store.put(windows.join(found, ["m", "run"]).join(items.select(F.col("id").alias("item_no"), "item_id"), "item_no").select("m", "run", "item_no", "item_id", "item_word"))
+    occurs = runs.join(found, ["m", "run"]).select("id", "at", "m", "run").join(mine, ["m", "run"]).select("id", "at", "m", "item_no", "item_id", "item_word")
+    by = Window.partitionBy("id", "item_no", F.col("at") - F.col("item_word")).orderBy("at")
+    going = F.col("at") - F.row_number().over(by)
+    matched = occurs.withColumn("_run", going).groupBy("id", "item_no", "item_id", (F.col("at") - F.col("item_word")).alias("_shift"), "_run").agg(F.min("at").alias("word"), (F.max("at") - F.min("at") + F.max("m")).alias("length"), F.min("item_word").alias("item_word"))
+    best = F.min(F.struct((-F.col("length")).alias("length"), "word", "item_id", "item_word")).alias("b")
+    per = matched.groupBy("id").agg(F.array_sort(F.collect_set(F.struct(F.col("word").alias("a"), (F.col("word") + F.col("length")).alias("b")))).alias("ranges"), F.array_sort(F.collect_set("item_id")).alias("items"), best)
+    per = store.put(_merged_ranges(per))
+    kind = F.when(F.col("b").isNotNull(), F.struct((-F.col("b.length")).cast("long").alias("length"), F.col("b.word").cast("long").alias("word"), F.col("b.item_id").alias("item"), F.col("b.item_word").cast("long").alias("item_word")))
+    out = rows.join(per, "id", "left")
+    return out.select("doc_id", "text", _word_count("text"), F.coalesce("spans", F.array().cast("array<int>")).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), kind.alias("longest"))
+
+
+def _word_count(text: str):
+    return F.size(F.filter(F.split(F.regexp_replace(F.coalesce(text, F.lit("")), "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+", " "), " "), lambda w: w != "")).cast("long").alias("n_words")
+
+
+def _merged_ranges(per: DataFrame) -> DataFrame:
+    """per with spans, the disjoint union of ranges, instead of ranges."""
+
+    @F.arrow_udf("array<int>")
+    def union(ranges: pa.Array) -> pa.Array:
+        return pa.array([_merged(np.array([(x["a"], x["b"]) for x in r], np.int64)).ravel().tolist() for r in ranges.to_pylist()], pa.list_(pa.int32()))
+
+    return per.withColumn("spans", union("ranges")).drop("ranges")
 
 
 def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -284,9 +411,9 @@ def longest_matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW) ->
 
     Each shard gives one row a suffix whose first word it has; Spark takes the longest, then the smallest doc_id and word.
     """
-    parts, sc = [], docs.sparkSession.sparkContext
-    for block in blocks(bench):
-        shared, key = sc.broadcast(block), uuid.uuid4().hex
+    parts = []
+    for block in _blocks(bench):
+        shared, key = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
 
         def start(shared=shared, key=key):
             b = common.resident(("bench", key, window), lambda: Benchmark(shared.value, window))
@@ -313,6 +440,18 @@ def longest_matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW) ->
     return out.groupBy("item_id", "item_word").agg(best).select("item_id", "item_word", "b.*")
 
 
+def _blocks(bench: DataFrame) -> Iterator[list[tuple[str, str]]]:
+    """Items in blocks of at most BENCH_BYTES: every suffix of an item is looked up in every shard, so all have to pass by."""
+    block, size = [], 0
+    for r in items_of(bench).toLocalIterator():
+        if block and size + len(r[1]) * 4 > BENCH_BYTES:
+            yield block
+            block, size = [], 0
+        block.append((r[0], r[1]))
+        size += len(r[1]) * 4
+    yield block
+
+
 def remove_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that aren't contaminated, all columns; of different texts under one id each is judged on its own.
 

@@ -151,3 +151,63 @@ def test_language_awkward(awkward, texts):
 @pytest.mark.parametrize("text, letters", [("123 !", False), ("字", True), ("é", True), ("😀", False), ("1a", True)])
 def test_letters(text, letters):
     assert bool(language_id.words(text)) is letters
+
+
+def test_predictions_are_the_plain_sums():
+    """lang_pred and score of whole texts from exact fractions over all segmentations of each word."""
+    prob = {"en": {-1: 1e-6, 300: 0.1, 259: 0.01, 261: 0.2}, "fr": {-1: 1e-6, 270: 0.2}, "de": {-1: 2e-6}}
+    s = language_id.Scorer(language_id.default_path(), prob)
+    texts = ["the tin in the", "es les mes des", "字 x", "", None, "1 2 3", "The Tin! 9", "a " * 40]
+    langs, scores = s.predict(texts)
+    for text, lang, score in zip(texts, langs, scores, strict=True):
+        ws = language_id.words(text)
+        if not ws:
+            assert (lang, score) == ("und", 0.0)
+            continue
+        total = {x: math.fsum(plain_log_sum(w.decode(), prob[x]) for w in ws) for x in s.langs}
+        best = max(total.values())
+        assert math.isclose(total[lang], best, rel_tol=1e-5)
+        assert math.isclose(score, 1 / math.fsum(math.exp(max(-700, x - total[lang])) for x in total.values()), rel_tol=1e-3)
+
+
+def plain_features(text, weight):
+    """All of op2's features by distances of each word to each term; contexts by the module's own function."""
+    ws = toxicity.words(text)
+    hits = []
+    for i, w in enumerate(ws):
+        found = {}
+        for term in {t for t, _ in weight}:
+            stem = term.rstrip("*")
+            near = min(distances(w.decode(), stem), *(distances(w.decode()[:k], stem) for k in range(len(w.decode()) + 1))) if term.endswith("*") else distances(w.decode(), stem)
+            if near <= toxicity.edits_for(stem):
+                found[term] = near
+        if found:
+            hits.append((i, found))
+    factor = toxicity.contexts(text, ws, [i for i, _ in hits]) if hits else {}
+    seen, total, n = {}, 0.0, 0
+    for i, found in hits:
+        own, term = max((weight.get((t, e), 0.0), t) for t, e in found.items())
+        seen[term] = seen.get(term, 0) + 1
+        if own:
+            total, n = total + factor[i] * own / seen[term], n + 1
+    return [1.0, total / (1 + total / toxicity.HALF), math.log1p(n), math.log1p(len(ws))]
+
+
+def test_toxicity_scores_are_plain():
+    weight = {("idiot", 0): 4.0, ("idiot", 1): 2.5, ("moron", 0): 3.0, ("bad", 0): 1.0, ("réeux*", 0): 2.0, ("réeux*", 1): 1.5}
+    fit = [-3.0, 0.8, 0.5, -0.2]
+    s, rng = toxicity.Scorer({"weight": weight, "fit": fit}), random.Random(3)
+    vocabulary = ["you", "said", "idiot", "idiots", "idiut", "moron", "bad", "bed", "réeuxette", "reeux", '"', "the", "club", "quote"]
+    for _ in range(200):
+        text = " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 30)))
+        plain = plain_features(text, weight)
+        score, _ = s.score(text)
+        assert np.allclose(s.features(text)[0], plain)
+        assert math.isclose(score, 1 / (1 + math.exp(-sum(a * b for a, b in zip(plain, fit)))))
+
+
+def test_each_match_counts():
+    """However many matches there are, one more raises the sum and their number."""
+    s = toxicity.Scorer({"weight": {("idiot", 0): 4.0}, "fit": [0.0] * 4})
+    rows = [s.features(" ".join(["idiot"] * n))[0] for n in range(1, 400)]
+    assert all(b[1] > a[1] and b[2] > a[2] for a, b in zip(rows, rows[1:]))

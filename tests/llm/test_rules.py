@@ -211,12 +211,24 @@ def test_null_and_repeated_ids_are_judged_by_text(spark):
     assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [(None, "clean words"), (1, "other words"), (2, None)]))
 
 
-def test_contamination_in_blocks(spark, awkward, monkeypatch):
-    bench = spark.createDataFrame([(1, "the and idiot"), (2, "idiot the"), (3, "word word")], "item_id long, text string")
-    whole = sorted(map(tuple, decontaminate.contamination(awkward, bench).collect()))
-    monkeypatch.setattr(decontaminate.common, "BROADCAST_BYTES", 40)
-    assert len(list(decontaminate.blocks(bench))) > 1
-    assert sorted(map(tuple, decontaminate.contamination(awkward, bench).collect())) == whole
+def test_contamination_by_parts(spark, awkward, monkeypatch):
+    """A benchmark that isn't sent to every task gives the same matches as one that is."""
+    rng = random.Random(8)
+    word = lambda: rng.choice(["a", "b", "c", "É", "字"])
+    items = [(str(i % 25), " ".join(word() for _ in range(rng.choice([0, 1, 2, 5, 14, 40])))) for i in range(30)] + [("x", None), (None, "a b"), ("1", "a"), ("1", "a")]
+    docs = []
+    for i in range(120):
+        parts = [rng.choice(items)[1] or "" if rng.random() < 0.5 else " ".join(rng.choice("abcdef") for _ in range(rng.randint(0, 9))) for _ in range(rng.randint(0, 4))]
+        docs.append((rng.choice([i, i, i, 7, None]), rng.choice([" ".join(parts), " ".join(parts).upper() + "!", None]) if i % 9 == 0 else " ".join(parts)))
+    cases = [(awkward, spark.createDataFrame([(1, "the and idiot"), (2, "idiot the"), (3, "word word")], "item_id long, text string"), 13), (spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string"), 4)]
+    rows = lambda d, b, w: sorted(map(repr, decontaminate.matches(d, b, w).collect()))
+    whole = [rows(*c) for c in cases]
+    monkeypatch.setattr(decontaminate, "BENCH_BYTES", -1)
+    monkeypatch.setattr(decontaminate, "BENCH_PART_BYTES", 200)
+    assert [rows(*c) for c in cases] == whole
+    assert any(len(r.items) > 1 for r in decontaminate.matches(*cases[1]).collect())
+    assert decontaminate.contamination(cases[0][0], cases[0][1].limit(0)).where("n_hit > 0").count() == 0
+    assert sorted(map(repr, decontaminate.longest_matches(*cases[0]).collect()))
 
 
 def test_verbatim_matches_against_plain(spark):
