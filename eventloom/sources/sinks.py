@@ -53,6 +53,23 @@ def vevent(events: DataFrame) -> Column:
     return F.concat_ws("\r\n", *lines, F.lit("END:VEVENT"))
 
 
+def event_calendar(events: DataFrame, base_url: str, host: str, product: str, generated_at: Column) -> Column:
+    """A calendar of one event: its id with the host as uid, start, end, title, description, and its page under base_url as address.
+
+    events: id, title, starts_at, and description and ends_at if there are such columns; blank descriptions and null ends are left out.
+    """
+    stamp = lambda c: F.date_format(c, "yyyyMMdd'T'HHmmss'Z'")
+    said = lambda name, c: ics_folded(F.concat(F.lit(f"{name}:"), ics_escape(c)))
+    has = events.columns
+    end = F.concat(F.lit("DTEND:"), stamp("ends_at")) if "ends_at" in has else F.lit(None).cast("string")
+    text = F.nullif(F.trim("description"), F.lit("")) if "description" in has else F.lit(None).cast("string")
+    lines = [
+        F.lit("BEGIN:VCALENDAR"), F.lit("VERSION:2.0"), F.lit(f"PRODID:{product}"), F.lit("CALSCALE:GREGORIAN"), F.lit("BEGIN:VEVENT"), F.concat(F.lit("UID:"), "id", F.lit(f"@{host}")), F.concat(F.lit("DTSTAMP:"), stamp(generated_at)),
+        F.concat(F.lit("DTSTART:"), stamp("starts_at")), end, said("SUMMARY", F.col("title")), F.when(text.isNotNull(), said("DESCRIPTION", text)), ics_folded(F.concat(F.lit(f"URL:{base_url}/events/"), "id", F.lit("/"))), F.lit("END:VEVENT"), F.lit("END:VCALENDAR"),
+    ]
+    return F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n"))
+
+
 def write_calendar(events: DataFrame, path: str) -> None:
     """A calendar file a partition, events in order of start and uid; files follow the order too."""
     body = events.select("starts_at", "uid", vevent(events).alias("value")).orderBy("starts_at", "uid").select("value")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from eventloom.sources import readers, recorded, reports
+from eventloom.sources import readers, recorded, reports, sinks
 
 
 def put(folder, request, pages):
@@ -125,6 +125,16 @@ def test_calendar_in_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_calendar_of_one_event(spark):
+    rows = [("a1", "T, x", "é" * 60, "2026-08-01 12:00:00", "2026-08-01 13:00:00"), ("b", "U", " ", "2026-08-02 12:00:00", None)]
+    e = spark.createDataFrame(rows, "id string, title string, description string, s string, e string").withColumns({"starts_at": F.col("s").cast("timestamp"), "ends_at": F.col("e").cast("timestamp")})
+    text = {r.id: r.t for r in e.select("id", sinks.event_calendar(e, "https://h.example", "h.example", "-//x//EN", F.lit("2026-07-01 00:00:00").cast("timestamp")).alias("t")).collect()}
+    assert text["b"].split("\r\n") == ["BEGIN:VCALENDAR", "VERSION:2.0", "PRODID:-//x//EN", "CALSCALE:GREGORIAN", "BEGIN:VEVENT", "UID:b@h.example", "DTSTAMP:20260701T000000Z", "DTSTART:20260802T120000Z", "SUMMARY:U", "URL:https://h.example/events/b/", "END:VEVENT", "END:VCALENDAR", ""]
+    assert all(len(line.encode()) <= 75 for line in text["a1"].split("\r\n")) and "\r\n é" in text["a1"]
+    back = readers.ics_events(spark.createDataFrame([(text["a1"],)], "value string"), "value").first()
+    assert (back.uid, back.title, back.description) == ("a1@h.example", "T, x", "é" * 60)
+
+
 def test_sources_read_whole_files(spark, tmp_path):
     """Pages and calendars of many lines, by their configuration."""
     (tmp_path / "p.html").write_text('<html>\n<script type="application/ld+json">\n{"@type": "Event",\n "name": "N", "startDate": "2026-08-02T21:30:00+09:00"}\n</script>\n<script id="__NEXT_DATA__">\n{"id": "12",\n "text": "t"}</script>')
