@@ -9,7 +9,7 @@ is n log n in the detections of a text.
 
 Base phrases (words standing one after the other) are reported besides: see BASE. Words are
 [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ after lower-casing A-Z; null and empty texts have none, no labels and score 0.
-Repeated rows each get their row.
+Repeated rows each get their row, an empty table gives none.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ where none is left; a bit field keeps the positions that can't be completed, so
 prefix is unique, hence a failed position fails for every way that leads there.
 
 Null and empty texts have no ids and decode to the empty text. Characters without a piece become byte pieces.
-Long texts are cut into segments (see vocabulary.py), so memory follows the longest run without blanks.
+Long texts are cut into segments (see vocabulary.py), so memory follows the longest run without blanks. Repeated rows each
+get their row, an empty table gives none; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -4,7 +4,9 @@ The unigram vocabulary is the fixed public one with the scores that its file giv
 that end at each character; the state of a character is (best score, count). Ties follow the tokenizer: among equal
 scores the piece that starts first, hence the longest, stays; a character that is no piece itself costs the least score
 less ten and counts as its UTF-8 bytes. Scores are whole numbers, so sums are exact in any order and a segment's
-result holds wherever it stands: segments are memoized. Null and empty texts have 0 tokens and score 0.
+result holds wherever it stands: segments are memoized. Null and empty texts have 0 tokens and score 0. A very long text
+is counted segment by segment, in time linear in its length. Repeated rows each get their row, an empty table gives none;
+other columns are ignored.
 """
 
 from __future__ import annotations

@@ -112,3 +112,17 @@ def test_damage_is_found(spark, awkward):
     bad = [r.asDict() | {"crcs": [c ^ 1 for c in r.crcs]} for r in files]
     with pytest.raises(Exception, match="checksum"):
         token_binary.read(spark.createDataFrame(bad, token_binary.FRAME)).collect()
+
+
+def test_empty_tables(awkward):
+    assert token_counts.token_counts(awkward.limit(0)).count() == 0
+    assert piece_codec.encode_digests(awkward.limit(0)).count() == 0
+
+
+def test_rows_of_one_id_in_many_ranges(spark, monkeypatch):
+    """A third of all rows have one id: they may lie in several ranges, and the order of the file stays that of the ids."""
+    monkeypatch.setattr(token_binary, "RANGE_BYTES", 2000)
+    rows = [(7 if i % 3 == 0 else i, f"some words number {i} of the text") for i in range(600)]
+    got = token_binary.write_and_read(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("start").collect()
+    assert len(got) == 600 and [r.doc_id for r in got] == sorted(r[0] for r in rows)
+    assert [r.start for r in got] == [sum(x.n_tokens for x in got[:k]) for k in range(600)]
