@@ -341,7 +341,7 @@ def candidates(sent: DataFrame, parts: int, chunk_bytes: int = CHUNK_BYTES) -> D
             yield from flush(True)
 
     dealt_out = sent.repartition(min(parts, MOST_PARTITIONS), "part").sortWithinPartitions("part")
-    return dealt_out.mapInArrow(run, "a long, b long, bucket long, members array<long>")
+    return dealt_out.mapInArrow(common.releasing(run), "a long, b long, bucket long, members array<long>")
 
 
 def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, store: common.Durable) -> DataFrame:
@@ -377,7 +377,7 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, store: common.D
                     b.append(kb)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return store.put(rows.mapInArrow(run, "a long, b long").distinct(), rows=most)
+    return store.put(rows.mapInArrow(common.releasing(run), "a long, b long").distinct(), rows=most)
 
 
 def components(edges: DataFrame, store: common.Durable) -> DataFrame:
@@ -476,7 +476,7 @@ def remaining(members: DataFrame, n_members: int, label: DataFrame, reps: DataFr
         if held[0]:
             yield from pairs_of(held)
 
-    found = units.mapInArrow(run, "bucket long, a long, b long, apart long")
+    found = units.mapInArrow(common.releasing(run), "bucket long, a long, b long, apart long")
     if nearest and largest > UNIT:
         found = found.groupBy("bucket", "a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
