@@ -73,10 +73,6 @@ def event_datetime(text: Column, anchor: Column) -> Column:
     short = rf"(?s)([0-9]{{1,2}})[./月-]([0-9]{{1,2}}){_DAY_MARK}.{{0,40}}?{_CLOCK}"
     day = rf"(?s)(本日|今日|明日).{{0,30}}?{_CLOCK}"
 
-    def first(pattern: str, made, other: Column) -> Column:
-        """made(group) of the first match, which is looked for once; its groups are taken from the match alone."""
-        return let(F.regexp_extract(t, pattern, 0), lambda w: F.when(w != "", made(lambda i: F.regexp_extract(w, pattern, i))).otherwise(other))
-
     def by_year(at) -> Column:
         return _stamp(_int(at(1)), _int(at(2)), _int(at(3)), _int(at(4)), F.coalesce(_int(at(5)), F.lit(0)))
 
@@ -89,7 +85,12 @@ def event_datetime(text: Column, anchor: Column) -> Column:
         on = F.date_add(F.to_date(near), F.when(at(1) == "明日", 1).otherwise(0))
         return _stamp(F.year(on), F.month(on), F.dayofmonth(on), _int(at(2)), F.coalesce(_int(at(3)), F.lit(0)))
 
-    return first(full, by_year, first(short, by_month, first(day, by_day, F.lit(None).cast("timestamp"))))
+    return _first(t, full, by_year, _first(t, short, by_month, _first(t, day, by_day, F.lit(None).cast("timestamp"))))
+
+
+def _first(text: Column, pattern: str, made, other: Column) -> Column:
+    """made(group) of the first match, which is looked for once; its groups are taken from the match alone."""
+    return let(F.regexp_extract(text, pattern, 0), lambda w: F.when(w != "", made(lambda i: F.regexp_extract(w, pattern, i))).otherwise(other))
 
 
 def let(value: Column, body) -> Column:
@@ -103,18 +104,17 @@ def post_datetime(text: Column, created: Column) -> Column:
     The first form that occurs decides; an impossible date gives null. Nothing bounds what stands between day and clock.
     """
     t = F.replace(F.coalesce(text, F.lit("")), F.lit("："), F.lit(":"))
-    found = F.lit(None).cast("timestamp")
-    for year in (r"()", r"(?:(20[0-9]{2})[./年-])"):
-        p = F.regexp_extract_all(t, F.lit(rf"(?s){year}([0-9]{{1,2}})[./月-]([0-9]{{1,2}}){_DAY_MARK}.*?{_CLOCK}"), F.lit(0))
-        whole = F.get(p, F.lit(0))
-        part = lambda i, w=whole, y=year: _int(F.regexp_extract(w, rf"(?s)^{y}([0-9]{{1,2}})[./月-]([0-9]{{1,2}}){_DAY_MARK}.*?{_CLOCK}", i))
-        rest = (part(2), part(3), part(4), F.coalesce(part(5), F.lit(0)))
-        this = F.year(local(created))
-        at = _stamp(F.coalesce(part(1), this), *rest)
-        if year == "()":
-            at = F.when(at < created - F.expr("interval 45 days"), _stamp(this + 1, *rest)).otherwise(at)
-        found = F.when(F.size(p) > 0, at).otherwise(found)
-    return found
+    month = rf"([0-9]{{1,2}})[./月-]([0-9]{{1,2}}){_DAY_MARK}.*?{_CLOCK}"
+    this = F.year(local(created))
+
+    def by_year(at) -> Column:
+        return _stamp(_int(at(1)), _int(at(2)), _int(at(3)), _int(at(4)), F.coalesce(_int(at(5)), F.lit(0)))
+
+    def by_month(at) -> Column:
+        made = lambda year: _stamp(year, _int(at(1)), _int(at(2)), _int(at(3)), F.coalesce(_int(at(4)), F.lit(0)))
+        return let(made(this), lambda own: F.when(own < created - F.expr("interval 45 days"), made(this + 1)).otherwise(own))
+
+    return _first(t, rf"(?s)(20[0-9]{{2}})[./年-]{month}", by_year, _first(t, rf"(?s){month}", by_month, F.lit(None).cast("timestamp")))
 
 
 def relative_weekday(text: Column, anchor: Column, policy: str = "calendar_week") -> tuple[Column, Column]:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from . import text_index
 from .durable import Rounds
 
 #: Bytes of all names of entries (with 32 for each) that one automaton may take.
@@ -101,8 +102,7 @@ def _by_automaton(events: DataFrame, entries: DataFrame) -> DataFrame:
 
 def _term_hits(rows: DataFrame, terms: DataFrame, tables: Rounds) -> DataFrame:
     """_row, term of the terms in each body. rows: _row, body; terms: term, distinct and not empty."""
-    size = lambda n: F.transform(F.sequence(F.lit(1), F.length("body") - (n - 1)), lambda i: F.substr("body", i, F.lit(n)))
-    each = F.flatten(F.array(*(F.when(F.length("body") >= n, size(n)).otherwise(F.array().cast("array<string>")) for n in range(1, GRAM + 1))))
+    each = F.flatten(F.array(*(F.when(F.length("body") >= n, text_index.runs(F.col("body"), n)).otherwise(F.array().cast("array<string>")) for n in range(1, GRAM + 1))))
     grams = tables.put(rows.where("body <> ''").select("_row", F.explode(F.array_distinct(each)).alias("gram")))
     often = tables.put(grams.groupBy("gram").agg(F.count("*").alias("n")))
     own = F.when(F.length("term") <= GRAM, F.array("term")).otherwise(F.transform(F.sequence(F.lit(1), F.length("term") - (GRAM - 1)), lambda i: F.substr("term", i, F.lit(GRAM))))

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import times
+
 #: What follows a text in the index, twice.
 END = "\x03"
 SIZE = 3
@@ -22,8 +24,13 @@ SIZE = 3
 
 def grams(text: Column) -> Column:
     """The different grams of a text, one from each character on."""
-    low = F.concat(F.lower(text), F.lit(END * (SIZE - 1)))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda i: F.substr(low, i, F.lit(SIZE))))
+    return F.array_distinct(runs(F.concat(F.lower(text), F.lit(END * (SIZE - 1))), SIZE))
+
+
+def runs(text: Column, size: int) -> Column:
+    """Every run of so many characters of a text that has as many; the text is split once, so time is linear in its length."""
+    at = lambda c, i: F.concat(*(F.get(c, i + k) for k in range(size)))
+    return times.let(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.transform(F.sequence(F.lit(0), F.size(c) - size), lambda i: at(c, i)))
 
 
 def folder(gram: Column, folders: int) -> Column:
@@ -47,17 +54,14 @@ class TextIndex:
         self.spark, self.folders = spark, folders
         self.postings, self.texts = spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/texts")
 
-    def _folder(self, gram: str) -> int:
-        return self.spark.range(1).select(folder(F.lit(gram), self.folders)).first()[0]
-
     def candidates(self, term: str) -> DataFrame:
         """id of the texts that have all grams of a term that isn't empty."""
         low = term.lower()
         if len(low) < SIZE:
             return self.postings.where(F.startswith("gram", F.lit(low))).select("id").distinct()
         own = sorted({low[i : i + SIZE] for i in range(len(low) - SIZE + 1)})
-        at = sorted({self._folder(g) for g in own})
-        found = self.postings.where(F.col("folder").isin(at) & F.col("gram").isin(own))
+        at = [folder(F.lit(g), self.folders) for g in own]  # constants, which the optimizer works out: folders are pruned
+        found = self.postings.where(F.col("folder").isin(*at) & F.col("gram").isin(own))
         if len(own) == 1:
             return found.select("id")
         return found.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") == len(own)).select("id")
