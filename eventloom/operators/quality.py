@@ -35,8 +35,14 @@ def require_unique(rows: DataFrame, key: str) -> None:
         raise ValueError(f"{key} must be filled and unique")
 
 
-def null_out_failed(rows: DataFrame, url: str, probes: DataFrame) -> DataFrame:
-    """Addresses whose probe failed become null; unprobed ones stay. probes: url, ok."""
-    p = probes.groupBy(F.col("url").alias("_u")).agg(F.bool_and("ok").alias("_ok"))
-    df = rows.join(p, rows[url] == p["_u"], "left")
-    return df.withColumn(url, F.when(F.coalesce(F.col("_ok"), F.lit(True)), F.col(url))).drop("_u", "_ok")
+def null_out_failed(rows: DataFrame, url: str, probes: DataFrame, of: tuple[str, ...] = ()) -> DataFrame:
+    """Addresses whose probe failed become null; unprobed ones stay. probes: url, ok.
+
+    of: columns of both that tell whose address was probed; a probe then counts for those rows only, not for all that have the address.
+    """
+    p = probes.groupBy(*(F.col(c).alias(f"_of_{c}") for c in of), F.col("url").alias("_u")).agg(F.bool_and("ok").alias("_ok"))
+    same = rows[url] == p["_u"]
+    for c in of:
+        same = same & (rows[c] == p[f"_of_{c}"])
+    df = rows.join(p, same, "left")
+    return df.withColumn(url, F.when(F.coalesce(F.col("_ok"), F.lit(True)), F.col(url))).drop("_u", "_ok", *(f"_of_{c}" for c in of))
