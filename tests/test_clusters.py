@@ -203,3 +203,32 @@ def test_negative_samples(spark):
         for at in dict.fromkeys(r[3] for r in rows):
             want += [(x[2], y[2]) for x, y in itertools.combinations([r for r in rows if r[3] == at], 2) if x[0] != y[0]]
         assert [(r.left_id, r.right_id) for r in resolve.negative_samples(df).collect()] == want[:10]
+
+
+@pytest.mark.parametrize("chunk", [1024, 5])
+def test_classes_say_what_all_pairs_say(spark, monkeypatch, chunk):
+    """Each pair follows from one link of classes and the members, with its likeness; copies add members, not links."""
+    monkeypatch.setattr(similarity, "CHUNK", chunk)
+    rows = made(60, 3, 1)
+    rng = random.Random(5)
+    copies = [(f"{rng.randint(0, 9999):04d}x{k}", *r[1:]) for k in range(3) for r in rows[:40]]
+    df = spark.createDataFrame(rows + copies, SCHEMA)
+    for pairs, classes, value in ((resolve.similar_pairs, resolve.similar_classes, "confidence"), (resolve.ambiguous_pairs, resolve.ambiguous_classes, "similarity")):
+        found = classes(df).collect()
+        of = {}
+        for r in found:
+            if r.copy:
+                of[r.b] = r.a
+        member = {}
+        for i in df.select("id").collect():
+            member.setdefault(of.get(i.id, i.id), []).append(i.id)
+        links = [(of.get(r.a, r.a), of.get(r.b, r.b), r[value]) for r in found if not r.copy]
+        assert len({x[:2] for x in links}) == len(links) and of
+        got = {(i, j, s) for a, b, s in links for i in member[a] for j in member[b] if i < j}
+        want = {(r.a, r.b, r[value]) for r in pairs(df).collect()}
+        if value == "confidence":
+            kept = {r.a: r.confidence for r in found if r.copy}
+            got |= {(i, j, kept[a]) for a, m in member.items() for i, j in itertools.combinations(sorted(m), 2)}
+        assert got == want and want
+        assert {(r.a, r.b) for r in found if not r.copy} <= {x[:2] for x in want}
+        assert len(found) < len(want)
