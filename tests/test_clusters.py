@@ -232,3 +232,16 @@ def test_classes_say_what_all_pairs_say(spark, monkeypatch, chunk):
         assert got == want and want
         assert {(r.a, r.b) for r in found if not r.copy} <= {x[:2] for x in want}
         assert len(found) < len(want)
+
+
+def test_queries_of_pairs_grow_with_the_copies(spark, tmp_path):
+    """Twenty copies of each name: twenty times the rows at most, where their pairs are four hundred times as many."""
+    from eventloom.plans import queries as plain
+
+    n = {}
+    for times in (1, 20):
+        rows = [(i + 1000 * k, f"Customer#{i:09d}", 1, "S") for i in range(12) for k in range(times)]
+        spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string").write.parquet(f"{tmp_path}/{times}/customer.parquet")
+        for q in ("similar_pairs", "ambiguous_pairs"):
+            n[q, times] = plain.queries()[q](spark, f"{tmp_path}/{times}").count()
+    assert n["similar_pairs", 1] and all(n[q, 20] <= 2 * n[q, 1] + 12 * 19 for q in ("similar_pairs", "ambiguous_pairs"))
