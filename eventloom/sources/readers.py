@@ -9,7 +9,7 @@ from __future__ import annotations
 import html
 import json
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from urllib.parse import urljoin
 
 import pyarrow as pa
@@ -92,10 +92,34 @@ def ics_records(spark: SparkSession, path: str) -> DataFrame:
     return events.join(named, "file", "left")
 
 
+def _begun_later(rule, first: datetime):
+    """A rule without its occurrences long before `first`: begun whole intervals later, at least two days before it.
+
+    A rule with a count, of another frequency than days to years, or begun on a day that not all months have, stays as it is.
+    """
+    from dateutil.rrule import DAILY, MONTHLY, WEEKLY, YEARLY, rrule
+
+    if not isinstance(rule, rrule) or rule._count is not None or rule._freq not in (DAILY, WEEKLY, MONTHLY, YEARLY):
+        return rule
+    begin, every = rule._dtstart, rule._interval
+    gap = (first.astimezone(begin.tzinfo).replace(tzinfo=None) - begin.replace(tzinfo=None)).days - 2
+    if gap <= 0 or every < 1:
+        return rule
+    if rule._freq in (DAILY, WEEKLY):
+        step = every * (7 if rule._freq == WEEKLY else 1)
+        return rule.replace(dtstart=begin + timedelta(days=gap // step * step))
+    if begin.day > 28:
+        return rule
+    step = every * (12 if rule._freq == YEARLY else 1)
+    months = begin.year * 12 + begin.month - 1 + gap // 31 // step * step  # no month has more than 31 days
+    return rule.replace(dtstart=begin.replace(year=months // 12, month=months % 12 + 1))
+
+
 def expand_rrule(events: DataFrame, window_start: datetime, window_end: datetime, zone: str = times.TOKYO) -> DataFrame:
     """Events with a rule become their occurrences between the window's ends (UTC, both included), however old the start is.
 
     Rules are RFC 5545's, read by dateutil; one that can't be read leaves the start. Events without a rule stay as they are.
+    Equal rules with one start are expanded once in a batch, and those begun long before the window from near it on.
     """
     from dateutil.rrule import rrulestr
     from zoneinfo import ZoneInfo
@@ -106,14 +130,20 @@ def expand_rrule(events: DataFrame, window_start: datetime, window_end: datetime
     def occurrences(rule: str, start: datetime) -> list[datetime]:
         at = start.replace(tzinfo=utc).astimezone(local)
         try:
-            found = rrulestr(rule, dtstart=at).between(first, last, inc=True)
+            found = _begun_later(rrulestr(rule, dtstart=at), first).between(first, last, inc=True)
         except (TypeError, ValueError, OverflowError):
             found = [at] if first <= at <= last else []
         return [x.astimezone(utc).replace(tzinfo=None) for x in found]
 
     @F.arrow_udf("array<timestamp_ntz>")
     def expanded(rule: pa.Array, start: pa.Array) -> pa.Array:
-        return pa.array([occurrences(a, b) if a else [b] for a, b in zip(rule.to_pylist(), start.to_pylist(), strict=True)], pa.list_(pa.timestamp("us")))
+        met: dict[tuple, list[datetime]] = {}
+        out = []
+        for of in zip(rule.to_pylist(), start.to_pylist(), strict=True):
+            if of not in met:
+                met[of] = occurrences(*of) if of[0] else [of[1]]
+            out.append(met[of])
+        return pa.array(out, pa.list_(pa.timestamp("us")))
 
     length = F.col("ends_at") - F.col("starts_at")
     one = events.withColumn("_len", length).withColumn("_at", F.explode(expanded("rrule", F.col("starts_at").cast("timestamp_ntz"))))
