@@ -93,3 +93,18 @@ def test_crawl_report(spark):
     edges = [(home, home + "events/a/"), (home, home + "events/a/"), (home + "events/a/", home), (home + "c/", home + "events/b/"), (home + "c/", home + "events/gone/"), (home, home + "other/gone/"), ("https://x/", home + "c/")]
     got = {(r.kind, r.value): r.n for r in graph.crawl_report(spark.createDataFrame(edges, "src string, dst string"), nodes, "url", home, ("events/",)).collect()}
     assert got == {("pages", None): 4, ("edges", None): 3, ("broken", None): 1, ("orphans", None): 1, ("unreachable", None): 2, ("depth", 0): 1, ("depth", 1): 1}
+
+
+def test_tokenizer_holds_few_pages_of_a_batch():
+    """A batch's pages aren't all Python objects at one time."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    pages = pa.array([f"<title>{i}</title>" + "x" * 20_000 for i in range(2000)])
+    tracemalloc.start()
+    found = markup.tags.func(pages)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [f[0]["body"] for f in found.to_pylist()] == [str(i) for i in range(2000)] and peak < 10_000_000
+    assert markup.tags.func(pages.slice(0, 0)).type == found.type
