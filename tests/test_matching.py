@@ -85,3 +85,18 @@ def test_search_reads_few_folders(index):
     assert "PushedFilters: [In(gram" in plan
     assert {r.id for r in index.search_any(["mic", "夜会", "MIC"]).collect()} == {1, 5}
     assert index.search_any([]).collect() == []
+
+
+def test_terms_looked_up_together(spark, tmp_path):
+    """Short terms, end marks, repeated ids and terms; the texts are joined once for all terms, and grams are made in one pass."""
+    rows = [(1, "Abc abc 字"), (2, "xab"), (2, "abc def"), (3, "ab\x03"), (4, ""), (5, None), (6, "aaaa"), (7, "AAA bbb"), (8, "é\U0001f600z")]
+    df = spark.createDataFrame(rows, "doc long, text string")
+    text_index.write_index(df, "doc", "text", str(tmp_path / "ix"), folders=8)
+    index = text_index.TextIndex(spark, str(tmp_path / "ix"), folders=8)
+    terms = ["abc", "ab", "b", "\x03", "c\x03\x03", "abc def", "xab def", "aaaa", "", "字", "\U0001f600", "é\U0001f600z", "ABC", "abc"]
+    want = {(t, i) for t in terms for i, x in rows if x is not None and t.lower() in x.lower()}
+    got = index.search_each(terms)
+    assert sorted((r.term, r.id) for r in got.collect()) == sorted(want)
+    assert {r.id for r in index.search_any(["ABC", "字", "aaaa"]).collect()} == {1, 2, 6}
+    many = index.search_each([f"term number {i}" for i in range(6)])._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation" in line and "text#" in line for line in many.splitlines()) <= 2  # the texts, and the empty table of the result's columns
