@@ -25,12 +25,16 @@ from .vocabulary import MARK, PieceVocabulary, default_path
 
 codecs.register_error("each_byte", lambda e: ("\ufffd", e.start + 1))
 
+#: Score of what is no piece.
+_NO = float("-inf")
+
 
 class MergeEncoder:
     def __init__(self, path: str):
         self.vocab = v = PieceVocabulary(path)
         self.byte_of = {i: b for b, i in v.byte_id.items()}
         self.rank = {p: v.score[i] for p, i in v.id_of.items()}
+        self.said = {p: str(i) for p, i in v.id_of.items()}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.memo = common.Memo(self._entry)
 
@@ -54,9 +58,31 @@ class MergeEncoder:
         if known is None:
             if len(self.pairs) >= 200_000:
                 self.pairs.clear()
-            known = self.pairs[key] = self.remerge(left + right) == [left, right]
+            known = self.pairs[key] = self._stays_cut(left, right)
         return known
 
+    def _stays_cut(self, left: str, right: str) -> bool:
+        """Whether remerge(left + right) is [left, right]: given up at the first merge across the cut."""
+        rank, no = self.rank.get, _NO
+        parts, cut = [*left, *right], len(left)
+        scores = [rank(a + b, no) for a, b in zip(parts, parts[1:])]
+        while scores:
+            best = max(scores)
+            if best == no:
+                break
+            at = scores.index(best)
+            if at == cut - 1:
+                return False
+            if at < cut:
+                cut -= 1
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at:
+                scores[at - 1] = rank(parts[at - 1] + parts[at], no)
+            if at < len(scores):
+                scores[at] = rank(parts[at] + parts[at + 1], no)
+        return len(parts) == 2
+
     def tokens(self, segment: str) -> list[str]:
         """The merge result of a segment as its pieces; a character that is no piece stands alone."""
         n, known, pairs = len(segment), self.vocab.id_of, self.pairs
@@ -64,6 +90,16 @@ class MergeEncoder:
         length = self.vocab.length
         for last, piece in self.vocab.automaton.iter(segment):
             longest[last - length[piece] + 1] = last + 1
+        quick: list[str] = []
+        at, before = 0, None
+        while at < n:  # mostly the longest piece at each place will do
+            token = segment[at : longest[at]]
+            if before is not None and not pairs.get((before, token)) and not self.compatible(before, token):
+                break
+            quick.append(token)
+            at, before = longest[at], token
+        else:
+            return quick
         failed, at, end = 0, 0, longest[0]
         starts: list[int] = []
         found: list[str] = []
@@ -115,8 +151,12 @@ class MergeEncoder:
         return "".join(out).replace(MARK, " ")
 
     def _entry(self, segment: str) -> tuple[str, str]:
+        tokens = self.tokens(segment)
+        said = list(map(self.said.get, tokens))
+        if None not in said:  # all are pieces, and together the segment
+            return ",".join(said), segment.replace(MARK, " ")
         ids: list[int] = []
-        for token in self.tokens(segment):
+        for token in tokens:
             i = self.vocab.id_of.get(token)
             ids.extend([i] if i is not None else [self.vocab.byte_id[b] for b in token.encode()])
         return ",".join(map(str, ids)), self._plain(ids)

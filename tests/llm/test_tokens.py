@@ -126,3 +126,20 @@ def test_rows_of_one_id_in_many_ranges(spark, monkeypatch):
     got = token_binary.write_and_read(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("start").collect()
     assert len(got) == 600 and [r.doc_id for r in got] == sorted(r[0] for r in rows)
     assert [r.start for r in got] == [sum(x.n_tokens for x in got[:k]) for k in range(600)]
+
+
+def test_pairs_that_stay_cut_are_those_of_the_merges():
+    import random
+
+    from eventloom.llm.piece_codec import MergeEncoder
+    from eventloom.llm.vocabulary import default_path
+
+    enc, rng = MergeEncoder(default_path()), random.Random(1)
+    pieces = [p for p in enc.vocab.id_of if len(p) < 7]
+    seen = set()
+    for _ in range(3000):
+        a, b = rng.choice(pieces), rng.choice(pieces)
+        want = enc.remerge(a + b) == [a, b]
+        assert enc._stays_cut(a, b) == want
+        seen.add(want)
+    assert seen == {True, False}
