@@ -27,6 +27,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -169,12 +170,15 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 #: A row of a document (its set's size, 128-bit key, band and sketch) or, where part isn't null, signatures on their way.
-PASS = "doc_id long, text_hash long, n_shingles long, key long, key2 long, band int, sketch binary, part int, payload binary"
+SET = "doc_id long, text_hash long, n_shingles long, key long, key2 long, band int, sketch binary"
+PASS = f"{SET}, part int, payload binary"
 NAMES = [c.split()[0] for c in PASS.split(", ")]
+#: Bits of a signature that travel, beside its part: a false match in a part of a million costs a comparison, no link.
+SENT_BITS = 40
 
 
 def one_pass(docs: DataFrame, parts: int) -> DataFrame:
-    """Shingles each text once: a row for each document, and payloads of (signature, key) pairs packed by the part that they go to.
+    """Shingles each text once: a row for each document, and payloads of signatures and keys packed by the part that they go to.
 
     Equal sets of a task send their signatures once.
     """
@@ -220,13 +224,21 @@ def one_pass(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def dealt(sig: np.ndarray, key: np.ndarray, parts: int) -> tuple[list[int], list[bytes]]:
-    """The parts that signatures go to, and the (signature, key) pairs of each."""
+    """The parts that signatures go to, and for each what unpacked() reads: SENT_BITS of its signatures, then their keys."""
     part = (sig % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
-    both = np.stack([sig.view(np.int64), key], 1)[order]
+    rest, key = (sig // np.uint64(parts))[order], key[order]
+    low, high = rest.astype(np.uint32), (rest >> np.uint64(32)).astype(np.uint8)
     cut = np.searchsorted(part[order], np.arange(parts + 1))
     got = np.flatnonzero(cut[1:] > cut[:-1]).tolist()
-    return got, [both[cut[p] : cut[p + 1]].tobytes() for p in got]
+    return got, [b"".join(x[cut[p] : cut[p + 1]].tobytes() for x in (low, high, key)) for p in got]
+
+
+def unpacked(payload: bytes, part: int, parts: int) -> bytes:
+    """(signature, key) pairs of a payload; equal signatures get equal numbers, those of different parts never do."""
+    n = len(payload) // (SENT_BITS // 8 + 8)
+    low, high, key = np.frombuffer(payload, np.uint32, n), np.frombuffer(payload, np.uint8, n, 4 * n), np.frombuffer(payload[5 * n :], np.int64)
+    return np.stack([(low + (high.astype(np.int64) << 32)) * parts + part, key], 1).tobytes()
 
 
 def classes_of(sets: DataFrame, store: common.Durable) -> tuple[DataFrame, DataFrame]:
@@ -247,7 +259,7 @@ def classes_of(sets: DataFrame, store: common.Durable) -> tuple[DataFrame, DataF
 
 
 def sent_again(docs: DataFrame, later: DataFrame, parts: int) -> DataFrame:
-    """part, payload of the classes that share another's key, under their own v."""
+    """All payloads once more, and those of the classes that share another's key under their own v."""
     rows = common.id_text(docs).join(later.select(F.col("rep").alias("doc_id"), "v", "key", "key2"), "doc_id").select("v", "key", "key2", "text")
 
     def start():
@@ -266,7 +278,8 @@ def sent_again(docs: DataFrame, later: DataFrame, parts: int) -> DataFrame:
 
         return step
 
-    return common.map_rows(rows, "part int, payload binary", start, SEND_ROWS)
+    again = common.map_rows(rows, "part int, payload binary", start, SEND_ROWS)
+    return one_pass(docs, parts).where("part is not null").unionByName(again, allowMissingColumns=True)
 
 
 class Buckets:
@@ -306,11 +319,17 @@ class Buckets:
 
 
 def candidates(sent: DataFrame, parts: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """a, b (a the smallest of a bucket, b another) or bucket, members (of a bucket of three or more); each once a part.
+    """a, b (a the smallest of a bucket, b another) or bucket, members (of a bucket of three or more), each once a part; or a document's row, as it came.
 
     A task takes its parts one after the other and each in chunks of chunk_bytes, so its memory follows neither their
-    number nor the size of a bucket.
+    number nor the size of a bucket. Documents' rows come along so that the signatures need no table: those are most of
+    what a run has on disk.
     """
+    out = f"a long, b long, bucket long, members array<long>, {SET}"
+    names, kinds = [c.split()[0] for c in out.split(", ")], [pa.int64()] * 3 + [pa.list_(pa.int64())] + [pa.int64()] * 5 + [pa.int32(), pa.binary()]
+
+    def rows_of(n: int, **columns):
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in zip(names, kinds, strict=True)], names)
 
     def run(batches):
         part, held, size, own = None, [], 0, Buckets()
@@ -320,14 +339,19 @@ def candidates(sent: DataFrame, parts: int, chunk_bytes: int = CHUNK_BYTES) -> D
             held.clear()
             for i in range(0, len(pairs), 50_000):
                 p = pairs[i : i + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1]), pa.nulls(len(p), pa.int64()), pa.nulls(len(p), pa.list_(pa.int64()))], ["a", "b", "bucket", "members"])
+                yield rows_of(len(p), a=p[:, 0], b=p[:, 1])
             cut = [(mark, m[k : k + 100_000]) for mark, m in lists for k in range(0, len(m), 100_000)]
             for i in range(0, len(cut), 2_000):
                 p = cut[i : i + 2_000]
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(p), pa.int64()), pa.nulls(len(p), pa.int64()), pa.array([k for k, _ in p], pa.int64()), pa.array([m.tolist() for _, m in p], pa.list_(pa.int64()))], ["a", "b", "bucket", "members"])
+                yield rows_of(len(p), bucket=[k for k, _ in p], members=[m.tolist() for _, m in p])
 
         for batch in batches:
-            for p, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            of_document = batch.filter(pc.is_null(batch.column("part")))
+            if of_document.num_rows:
+                yield rows_of(of_document.num_rows, **{c: of_document.column(c) for c in names[4:]})
+            batch = batch.filter(pc.is_valid(batch.column("part")))
+            for p, packed in zip(batch.column("part").to_pylist(), batch.column("payload"), strict=True):
+                x = unpacked(packed.as_py(), p, parts)
                 if part is not None and p != part:
                     yield from flush(True)
                     own, size = Buckets(), 0
@@ -340,8 +364,10 @@ def candidates(sent: DataFrame, parts: int, chunk_bytes: int = CHUNK_BYTES) -> D
         if part is not None:
             yield from flush(True)
 
-    dealt_out = sent.repartition(min(parts, MOST_PARTITIONS), "part").sortWithinPartitions("part")
-    return dealt_out.mapInArrow(common.releasing(run), "a long, b long, bucket long, members array<long>")
+    # documents' rows of no part are spread by what they hold
+    deal = F.coalesce(F.col("part").cast("long"), F.xxhash64("doc_id", "text_hash"))
+    dealt_out = sent.repartition(min(parts, MOST_PARTITIONS), deal).sortWithinPartitions("part")
+    return dealt_out.mapInArrow(common.releasing(run), out)
 
 
 def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, store: common.Durable) -> DataFrame:
@@ -349,15 +375,16 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, store: common.D
 
     Members travel to their leader as texts, at most about MEMBERS to one task's leader at a time.
     """
+    own = common.Durable(docs.sparkSession, "jaccard-texts")
     needed = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
     most = pairs.count()
-    needed = store.put(needed.join(reps.select("v", "key", "key2", "rep"), "v"), rows=2 * most)
+    needed = own.put(needed.join(reps.select("v", "key", "key2", "rep"), "v"), rows=2 * most)
     few = needed.count() <= 500_000  # at most 16 MB of numbers; a shuffle join beyond
     texts = common.id_text(docs).withColumnRenamed("doc_id", "rep").join(F.broadcast(needed) if few else needed, "rep")
-    texts = store.put(texts.select("v", F.struct("key", "key2", "text").alias("own")))
+    texts = own.put(texts.select("v", F.struct("key", "key2", "text").alias("own")))
     # only leaders of many pairs; a table of its own, so that the join's two sides are shuffled and a hot leader can be split
-    salts = store.put(pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("salts")).where("salts > 1"), rows=most // MEMBERS + 1)
-    dealt = store.put(pairs.join(salts, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt")), rows=most)
+    salts = own.put(pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("salts")).where("salts > 1"), rows=most // MEMBERS + 1)
+    dealt = own.put(pairs.join(salts, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt")), rows=most)
     leaders = dealt.select("a", "salt").distinct().join(texts, F.col("a") == F.col("v")).select("a", "salt", F.lit(0).alias("member"), F.col("a").alias("b"), "own.*")
     members = dealt.join(texts, F.col("b") == F.col("v")).select("a", "salt", F.lit(1).alias("member"), "b", "own.*")
     rows = leaders.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
@@ -367,17 +394,19 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, store: common.D
         for batch in batches:
             a, b = [], []
             for ka, salt, member, kb, k1, k2, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = make(text)
-                if set_key(own) != (k1, k2):  # another text under the same doc_id
+                shingles = make(text)
+                if set_key(shingles) != (k1, k2):  # another text under the same doc_id
                     continue
                 if not member:
-                    leader, of = own, (ka, salt)
-                elif of == (ka, salt) and linked(leader, own):
+                    leader, of = shingles, (ka, salt)
+                elif of == (ka, salt) and linked(leader, shingles):
                     a.append(ka)
                     b.append(kb)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return store.put(rows.mapInArrow(common.releasing(run), "a long, b long").distinct(), rows=most)
+    out = store.put(rows.mapInArrow(common.releasing(run), "a long, b long").distinct(), rows=most)
+    own.keep()
+    return out
 
 
 def components(edges: DataFrame, store: common.Durable) -> DataFrame:
@@ -408,12 +437,14 @@ def components(edges: DataFrame, store: common.Durable) -> DataFrame:
 
 
 def remaining(members: DataFrame, n_members: int, label: DataFrame, reps: DataFrame, store: common.Durable, nearest: bool) -> DataFrame | None:
-    """Pairs of a bucket's classes in different components whose sizes and sketches allow a link, or None if no bucket has such classes.
+    """bucket, a, b: a bucket's classes in different components whose sizes and sketches allow a link, or None if no bucket has such classes.
 
-    members: bucket, v. nearest: only the likeliest partner of each class outside its bucket's most frequent component. It can't find every
+    members: bucket, v, live. nearest: only the likeliest partner of each class a that is asked for. It can't find every
     link, but after it few components are left, and so few pairs for the full pass.
 
-    A pair across components has an end outside any one component, so members outside the most frequent one meet all.
+    A pair across components has an end outside any one component, so members outside the most frequent one meet all:
+    they are asked for where live is null. Later it says which had a partner at all the time before. Components only
+    merge, so of any pair that is left one end had one: these are asked for then, in their buckets alone.
     Buckets of more than UNIT members are split by size band (linked sets are in the same or neighbouring ones), and in
     blocks of UNIT members and OUTSIDE of those outside; each pair of blocks is a group of its own.
     """
@@ -424,7 +455,7 @@ def remaining(members: DataFrame, n_members: int, label: DataFrame, reps: DataFr
     largest = open_.agg(F.max("size")).first()[0]
     if largest is None:
         return None
-    rows = rows.join(open_, "bucket").join(reps.select("v", "n_shingles", "band", "sketch"), "v").withColumn("minor", F.col("label") != F.col("main"))
+    rows = rows.join(open_, "bucket").join(reps.select("v", "n_shingles", "band", "sketch"), "v").withColumn("minor", F.coalesce("live", F.col("label") != F.col("main")))
     whole = rows.where(F.col("size") <= UNIT).withColumns({"sub": F.lit(0), "i": F.lit(0), "j": F.lit(0), "as_minor": F.col("minor"), "as_other": F.lit(True)})
     columns = ["bucket", "sub", "i", "j", "as_minor", "as_other", "v", "label", "n_shingles", "sketch"]
     units = whole.select(*columns)
@@ -479,7 +510,14 @@ def remaining(members: DataFrame, n_members: int, label: DataFrame, reps: DataFr
     found = units.mapInArrow(common.releasing(run), "bucket long, a long, b long, apart long")
     if nearest and largest > UNIT:
         found = found.groupBy("bucket", "a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return found.select("bucket", "a", "b")
+
+
+def still_open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of buckets in which something was found; live says of which."""
+    live = found.select("bucket", F.col("a").alias("v")).distinct().withColumn("live", F.lit(True))
+    rows = members.drop("live").join(found.select("bucket").distinct(), "bucket", "left_semi").join(live, ["bucket", "v"], "left")
+    return rows.select("bucket", "v", F.coalesce("live", F.lit(False)).alias("live"))
 
 
 def joined(docs: DataFrame) -> DataFrame:
@@ -488,22 +526,26 @@ def joined(docs: DataFrame) -> DataFrame:
     store = common.Durable(spark, "jaccard")
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / WORD_BYTES * 0.55 * 16 / PART_BYTES))
-    passed = store.put(one_pass(docs, parts))
-    sets = passed.where("part is null").drop("part", "payload")
+    found = passed = store.put(candidates(one_pass(docs, parts), parts))
+    sets = passed.where("n_shingles is not null").select(*NAMES[:7])
     reps, later = classes_of(sets, store)
-    sent = passed.where("part is not null").select("part", "payload")
     if not later.isEmpty():
-        sent = sent.unionByName(sent_again(docs, later, parts))
-    found = store.put(candidates(sent, parts))
+        found = store.put(candidates(sent_again(docs, later, parts), parts))
+    found = found.where("n_shingles is null").select("a", "b", "bucket", "members")
     pairs = store.put(found.where("a is not null").select("a", "b").distinct(), rows=found.count())
     edges = verified(docs, reps, pairs, store)
     label = components(edges, store)
-    members = store.put(found.where("members is not null").select("bucket", F.explode("members").alias("v")).distinct())
+    members = store.put(found.where("members is not null").select("bucket", F.explode("members").alias("v"), F.lit(None).cast("boolean").alias("live")).distinct())
     n_members = members.count()
     for nearest in (True, True, False):
-        rest = remaining(members, n_members, label, reps, store, nearest)
-        if rest is None:
+        left = remaining(members, n_members, label, reps, store, nearest)
+        if left is None:
             break
+        if nearest:
+            left = store.put(left)
+            members = store.put(still_open(members, left), rows=n_members)
+            n_members = members.count()
+        rest = left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         rest = store.put(rest.join(pairs, ["a", "b"], "left_anti"))
         if rest.isEmpty():
             continue

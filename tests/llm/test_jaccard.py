@@ -130,6 +130,42 @@ def test_chunks_keep_every_link_of_a_bucket():
     assert set(parent) == {1, 2, 3, 7, 41, 42}
 
 
+def test_signatures_travel_without_a_table(spark, monkeypatch):
+    """They are most of what a run has on disk: they are shuffled once, in 13 bytes each with their keys, and not written before."""
+    tables, put = [], common.Durable.put
+    monkeypatch.setattr(common.Durable, "put", lambda self, df, *a, **b: tables.append(df.columns) or put(self, df, *a, **b))
+    rows = near_copies(5, 200)
+    assert components_by(J, spark, rows) == brute(rows)
+    assert tables and not any("payload" in c for c in tables)
+    rng = np.random.default_rng(7)
+    sig, key = rng.integers(0, 2**64, 5000, np.uint64), rng.integers(-(2**63), 2**63, 5000)
+    sig[2500:] = sig[:2500]
+    got, payload = J.dealt(sig, key, 37)
+    assert sum(map(len, payload)) == 13 * 5000
+    back = np.concatenate([np.frombuffer(J.unpacked(x, p, 37), np.int64).reshape(-1, 2) for p, x in zip(got, payload, strict=True)])
+    by_key = dict(zip(back[:, 1].tolist(), back[:, 0].tolist(), strict=True))
+    named = [by_key[k] for k in key.tolist()]
+    assert named[:2500] == named[2500:] and len(set(named)) == 2500
+
+
+def test_later_rounds_ask_only_where_a_partner_was(spark):
+    """Bucket 1 has classes far apart: it is left out after the first round. In bucket 2 none of the pairs is lost."""
+    sets = {v: np.unique(np.random.default_rng(v).integers(0, 2**63, 50, dtype=np.int64).view(np.uint64)) for v in range(1, 8)}
+    near = {10 + k: np.concatenate([sets[1][k:], sets[2][:k]]) for k in range(4)}
+    every = {k: np.unique(x) for k, x in (sets | near).items()}
+    reps = spark.createDataFrame([(v, len(x), J.band_of(len(x)), J.sketch(x)) for v, x in every.items()], "v long, n_shingles long, band int, sketch binary")
+    members = spark.createDataFrame([(1, v, None) for v in range(2, 8)] + [(2, v, None) for v in (3, 4, *near)], "bucket long, v long, live boolean")
+    label = spark.createDataFrame([(10, 10), (11, 10)], "v long, label long")
+    store = common.Durable(spark, "test")
+    found = J.remaining(members, 12, label, reps, store, True)
+    left = J.still_open(members, found)
+    rows = {(r.bucket, r.v): r.live for r in left.collect()}
+    assert {b for b, _ in rows} == {2} and {v for _, v in rows} == {3, 4, *near}
+    assert not rows[2, 3] and not rows[2, 4] and rows[2, 12] and rows[2, 13]
+    pairs = {tuple(sorted((r.a, r.b))) for r in J.remaining(left, 6, label, reps, store, False).collect()}
+    assert pairs == {(10, 12), (10, 13), (11, 12), (11, 13), (12, 13)}
+
+
 def test_null_and_repeated_ids(spark):
     a, b = "one two three four five six", "seven eight nine ten eleven twelve"
     rows = [(None, a), (None, a), (None, None), (5, a), (5, b), (3, b), (7, a), (7, a), (8, "x y z"), (8, "x y z")]
