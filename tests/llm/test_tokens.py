@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -143,3 +144,40 @@ def test_pairs_that_stay_cut_are_those_of_the_merges():
         assert enc._stays_cut(a, b) == want
         seen.add(want)
     assert seen == {True, False}
+
+
+def test_blocks_go_in_even_groups(monkeypatch):
+    """A few blocks over the number that goes in lockstep don't take a round of steps of their own."""
+    monkeypatch.setattr(token_binary, "LANES", 8)
+    steps, step = [], token_binary.Coder.step
+    monkeypatch.setattr(token_binary.Coder, "step", lambda self, *a: (steps.append(1), step(self, *a))[1])
+    rng = np.random.default_rng(3)
+    blocks = [rng.integers(0, 3000, size=100).astype(np.uint16) for _ in range(9)]
+    data = token_binary.encode_blocks(blocks)
+    assert len(steps) == 100
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, token_binary.decode_blocks(data, [100] * 9), strict=True))
+    assert len(steps) == 200
+
+
+def test_pieces_are_learned_once():
+    """Words that differ in case and marks only share their pieces, and the library isn't asked for these again."""
+    from tokenizers import Tokenizer
+
+    tok, lib = token_binary.WordTokenizer(token_binary.default_path()), Tokenizer.from_file(token_binary.default_path())
+    asked = []
+    tok.bare = SimpleNamespace(encode_batch_fast=lambda x, f=tok.bare.encode_batch_fast, **k: (asked.extend(x), f(x, **k))[1])
+    made = ["thnedly Thnedly, thnedly. (THNEDLY) éaiau Éaiau!", "thnedly; éaiau? nfß NFẞ", "\x85thnedly\xa0éaiau\u2028", "a\u0301 \u212b \u212a thnedly<|endoftext|>", None, ""]
+    for t, ids in zip(made, tok.ids(made), strict=True):
+        assert list(ids) == lib.encode(t or "", add_special_tokens=False).ids
+    assert tok.ids(made[:2])[0].tolist() == lib.encode(made[0], add_special_tokens=False).ids
+    pieces = " ".join(asked).split()
+    assert len(pieces) == len(set(pieces)) and "thnedly" in pieces and "éaiau" in pieces
+    assert all(np.array_equal(a, b) for a, b in zip(tok.ids(["nothing more"] * 2), token_binary.WordTokenizer(token_binary.default_path()).ids(["nothing more"] * 2), strict=True))
+
+
+def test_numbers_by_frequency():
+    """A frame's ids are coded as numbers by frequency, which its row gives back."""
+    ids = np.array([40000, 7, 40000, 9, 40000, 7, 1], np.uint16)
+    rank, known = token_binary._ranked(ids)
+    assert rank.tolist() == [0, 1, 0, 3, 0, 1, 2] and known.tolist() == [40000, 7, 1, 9]
+    assert np.array_equal(known.take(rank), ids)
