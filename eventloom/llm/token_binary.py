@@ -7,10 +7,10 @@ every id by the adaptive counts of its upper byte and, within a class of those,
 probability is the sum over the orders of the order's weight times its prediction. The weights adapt, for each pair of
 the confidences that orders 2 and 1 have earned in their contexts. A range coder with carries writes the bytes. All
 blocks at hand are coded in lockstep, one id of each at a time, so the arithmetic runs on whole arrays, of whole numbers
-only; encoder and decoder run the same in the same order.
+only (two divisions of the decoder go through doubles, exactly); encoder and decoder run the same in the same order.
 
 A file row ("frame") holds whole documents in ascending doc_id order: their ids and lengths, the blocks' bytes and
-checksums. Rows are stored as Parquet, written and read by Spark alone. Ids must be under 65,536. Null texts count as
+checksums. Rows are stored as Parquet, written and read by Spark alone. Ids must be under 65,535. Null texts count as
 empty and still get the end id; repeated rows are all written; a damaged block raises ValueError.
 """
 
