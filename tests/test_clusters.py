@@ -5,11 +5,12 @@ import itertools
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from eventloom.functions import text as T
-from eventloom.operators import durable, graph, resolve, similarity
+from eventloom.operators import durable, graph, likeness, resolve, similarity
 
 
 def plain_components(edges):
@@ -245,3 +246,46 @@ def test_queries_of_pairs_grow_with_the_copies(spark, tmp_path):
         for q in ("similar_pairs", "ambiguous_pairs"):
             n[q, times] = plain.queries()[q](spark, f"{tmp_path}/{times}").count()
     assert n["similar_pairs", 1] and all(n[q, 20] <= 2 * n[q, 1] + 12 * 19 for q in ("similar_pairs", "ambiguous_pairs"))
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_counts_say_how_many_pairs_a_row_is_in(spark, monkeypatch, small):
+    """Whole blocks, and blocks, and classes of copies, cut into parts; a row an id, also without a pair."""
+    if small:
+        monkeypatch.setattr(similarity, "CLASSES", 9)
+        monkeypatch.setattr(similarity, "MEMBERS", 3)
+    rows = made(90, 7, 2)
+    rng = random.Random(8)
+    copies = [(f"{rng.randint(0, 9999):04d}x{k}", *r[1:]) for k in range(3) for r in rows[:30]]
+    df = spark.createDataFrame(rows + copies, SCHEMA)
+    for pairs, counts in ((resolve.similar_pairs, resolve.similar_counts), (resolve.ambiguous_pairs, resolve.ambiguous_counts)):
+        want = dict.fromkeys((r.id for r in resolve._keys(df, "id").select("id").collect()), 0)
+        for r in pairs(df).collect():
+            want[r.a] += 1
+            want[r.b] += 1
+        found = counts(df).collect()
+        assert {r.id: r.n_links for r in found} == want and len(found) == len(want) and 0 in want.values() and max(want.values()) > 3
+        assert all(r.class_id <= r.id for r in found) and any(r.class_id < r.id for r in found)
+
+
+def test_likeness_decides_as_difflib_does():
+    """Texts that differ in few places and in many, with a common beginning and without, and where it also lies elsewhere."""
+    rng = random.Random(9)
+    word = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    for begin, letters, most in (("customer0", "0123456789", 9), ("", "abc", 20), ("aaaaab", "ab", 12), ("abcd", "abcdé字", 40), ("", "abcdefghij字", 90)):
+        texts = [begin + word(letters, rng.randint(1, most)) for _ in range(14)]
+        want = np.array([[sum(m.size for m in difflib.SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks()) for y in texts] for x in texts], np.int16)
+        c, every = likeness.Compared(texts), slice(0, len(texts))
+        assert c.links(every, every, want.copy(), want + 1).all()
+        assert not c.links(every, every, want + 1, want + 2).any() and not c.links(every, every, want - 1, want.copy()).any()
+
+
+def test_queries_of_pairs_have_a_row_for_each_customer(spark, tmp_path):
+    """Names that all differ and are alike: their links grow with the square of the customers, the rows don't."""
+    from eventloom.plans import queries as plain
+
+    rows = [(i, f"Customer#{i:09d}", 1, "S") for i in range(120)]
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    for q in ("similar_pairs",):
+        found = plain.queries()[q](spark, str(tmp_path))
+        assert found.count() == 120 and found.agg(F.sum("n_links")).first()[0] > 1000
